@@ -222,4 +222,30 @@ SELECT order_id,
 FROM feed""",
     "wire_roundtrip": with_(FEED) + "SELECT * FROM feed",
     "ingest_stream": with_(FEED) + "SELECT * FROM feed",
+    "ingest_parse": with_(FEED) + f"""
+SELECT {FEED_COLS} FROM feed
+UNION ALL SELECT 1, 1.5, 2.5, '01/01/2024 00:00:00', 1, 2, 3, 'single'
+UNION ALL SELECT NULL, 1.0, 2.0, '02/01/2024 10:00:00', NULL, NULL, 4, 'badtypes'
+UNION ALL SELECT 2, NULL, NULL, NULL, NULL, NULL, NULL, 'missing'
+UNION ALL SELECT 3, NULL, NULL, NULL, NULL, NULL, NULL, 'first'""",
+    "ingest_quarantine": "SELECT * FROM (VALUES ('not json at all'), ('')) AS t(value)",
+    "consume_incremental": with_(FEED, NEIGHBORHOODS, SILVER) + "SELECT * FROM silver",
+    "flush_by_count": """
+WITH RECURSIVE sizes AS (
+  SELECT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS batch_id, count(*) AS n
+  FROM events GROUP BY 1),
+ordered AS (SELECT batch_id, n, row_number() OVER (ORDER BY batch_id) AS rn FROM sizes),
+fold(rn, batch_id, n, s, f, flushed) AS (
+  SELECT rn, batch_id, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), n > 50 FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT o.rn, o.batch_id, o.n,
+         CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END,
+         p.f + CASE WHEN p.flushed THEN 1 ELSE 0 END,
+         (CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END) + o.n > 50
+  FROM fold p JOIN ordered o ON o.rn = p.rn + 1)
+SELECT batch_id, n,
+       CAST(CASE WHEN f < (SELECT max(f + CASE WHEN flushed THEN 1 ELSE 0 END) FROM fold)
+                 THEN f + 1 END AS BIGINT) AS flush_id,
+       flushed
+FROM fold""",
 }

@@ -20,11 +20,13 @@ from .operators import (add_customer, add_employee, add_neighborhood, append_ord
                         qty_by_event_time, qty_by_neighborhood, rename, sample_dim,
                         union_versions, vertex_bounds, with_constant, within_area)
 from .plans import add_time_parts, to_gold, to_silver
-from .schemas import ORDER_SCHEMA
+from .operators.flush import flush_plan
+from .schemas import ORDER_SCHEMA, SILVER_COLUMNS
+from .streaming import parse_orders, quarantine, run_silver, start_ingest
 from .session import scratch_path
 from .sinks import append_layer, append_table, export_csv, publish_dims, replace_table, write_layer
-from .sources import (empty_orders, init_catalog, list_tables, read_bronze_json, read_landing,
-                      read_parquet, scan_table)
+from .sources import (empty_orders, init_catalog, list_tables, orders_stream, read_bronze_json,
+                      read_landing, read_parquet, scan_table)
 
 # Grid cell of the spatial joins: about the width of a test polygon.
 CELL = 1.0
@@ -280,6 +282,49 @@ def q_time_parts_by_substring(spark, d):
                                      time_parts_by_substring(parse_event_time("date")).items()])
 
 
+# --- ingest, streaming, incremental -------------------------------------------------
+
+def q_wire_roundtrip(spark, d):
+    return parse_orders(tf.wire_lines(spark, d))
+
+
+def q_ingest_parse(spark, d):
+    return parse_orders(append_orders(tf.wire_lines(spark, d), tf.bad_lines(spark)))
+
+
+def q_ingest_quarantine(spark, d):
+    return quarantine(append_orders(tf.wire_lines(spark, d), tf.bad_lines(spark)))
+
+
+def q_ingest_stream(spark, d):
+    base = scratch_path(spark, "ingest")
+    tf.wire_lines(spark, d).write.mode("overwrite").text(f"{base}/wire")
+    query = start_ingest(orders_stream(spark, "text", f"{base}/wire"), f"{base}/raw",
+                         f"{base}/_ckpt/ingest", trigger={"availableNow": True})
+    query.awaitTermination()
+    return spark.read.schema(ORDER_SCHEMA).parquet(f"{base}/raw")
+
+
+def q_consume_incremental(spark, d):
+    base = scratch_path(spark, "incremental")
+    feed, nb = tf.feed(spark, d), tf.neighborhoods(spark, d)
+    half = F.pmod(F.hash("order_id"), F.lit(2))
+    raw, silver, ckpt = f"{base}/raw", f"{base}/silver", f"{base}/_ckpt/silver"
+    write_layer(feed.where(half == 0), raw, 1)
+    run_silver(spark, f"{raw}/run-*", nb, silver, ckpt)
+    write_layer(feed.where(half == 1), raw, 2)
+    run_silver(spark, f"{raw}/run-*", nb, silver, ckpt)
+    run_silver(spark, f"{raw}/run-*", nb, silver, ckpt)  # nothing new: a no-op
+    return spark.read.parquet(silver).select(*SILVER_COLUMNS)
+
+
+def q_flush_by_count(spark, d):
+    events = tf.table(spark, d, "events")
+    sizes = (events.groupBy(F.date_format("ts", "yyyyMMddHH").cast("bigint").alias("batch_id"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    return flush_plan(sizes, threshold=50)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -93,3 +93,14 @@ BAD_WIRE_LINES = [
     '[{"object_id": 2, "order_id": "missing", "extra": true}]',
     '[{"object_id": 3, "order_id": "first"}] [{"object_id": 4, "order_id": "second"}]',
 ]
+
+
+def wire_lines(spark: SparkSession, sf_dir: str, per_batch: int = 7) -> DataFrame:
+    """The feed as wire lines: orders of events ``event_id div per_batch`` share a line."""
+    from .streaming.ingest import to_wire
+    batch = (F.substring("order_id", 5, 8).cast("bigint") / per_batch).cast("bigint")
+    return to_wire(feed(spark, sf_dir).withColumn("wire_batch", batch), "wire_batch").select("value")
+
+
+def bad_lines(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(v,) for v in BAD_WIRE_LINES], "value string")
