@@ -13,6 +13,10 @@ sequential fold into a tree scan:
 * down: from the top (level 0, no flushes yet) each group hands every member
   the state it starts in, a short scan over at most ``fanout`` members.
 
+Each level is a table ``fanout`` times smaller than the one below; it is
+checkpointed (reliable checkpoint in the shared folder), so lineage stays
+short and a lost executor only recomputes one level.
+
 Only one row per *batch* (its size) takes part, never the orders themselves,
 and no group ever holds more than ``fanout`` members, however many batches there
 are.
@@ -62,25 +66,28 @@ def flush_plan(sizes: DataFrame, threshold: int = 50, batch_col: str = "batch_id
         raise ValueError("fanout must be at least 2")
     spark = sizes.sparkSession
     shared_root(spark)  # checkpoint() below needs the shared folder
-    base = (sizes.select(F.col(batch_col).cast("bigint").alias("k"),
-                         F.col(n_col).cast("bigint").alias("n"))
-            .withColumn("m", _step(F.col("n"), threshold)))
-    base = base.checkpoint()  # cut lineage: every level below reads this once
-    lo, hi = base.agg(F.min("k"), F.max("k")).first()
-    if lo is None:
+    sized = sizes.select(F.col(batch_col).cast("bigint").alias("batch"),
+                         F.col(n_col).cast("bigint").alias("n")).checkpoint()  # cut lineage once
+    bounds = sized.agg(F.min("batch"), F.max("batch")).first()
+    if bounds[0] is None:
         schema = f"{batch_col} bigint, {n_col} bigint, flush_id bigint, flushed boolean"
         return spark.createDataFrame([], schema)
+    lo, hi = int(bounds[0]), int(bounds[1])
+    # Level keys count from the smallest batch id, so they are never negative.
+    base = sized.select("batch", (F.col("batch") - F.lit(lo)).alias("k"), "n",
+                        _step(F.col("n"), threshold).alias("m"))
 
-    # Up-sweep: level L+1 groups level L by floor(k / fanout) (exact for any bigint).
+    # Up-sweep: level L+1 groups level L by k div fanout.
     levels = [base.select("k", "m")]
-    while lo != hi:
+    span = hi - lo
+    while span > 0:
         child = levels[-1]
-        parent = (child.groupBy(F.expr(f"(k - pmod(k, {fanout})) div {fanout}").alias("k"))
+        parent = (child.groupBy(F.expr(f"k div {fanout}").alias("k"))
                   .agg(F.array_sort(F.collect_list(F.struct(F.col("k").alias("k"), "m"))).alias("kids")))
         parent = parent.withColumn("m", F.aggregate("kids", _identity(threshold),
                                                     lambda acc, x: _compose(acc, x["m"])))
-        levels.append(parent)
-        lo, hi = lo // fanout, hi // fanout
+        levels.append(parent.checkpoint())  # one small table per level, lineage cut
+        span //= fanout
 
     # Down-sweep: the top group starts empty with no flushes before it.
     state = levels[-1].select("k", F.lit(0).alias("s"), F.lit(0).cast(LongType()).alias("f"))
@@ -93,11 +100,11 @@ def flush_plan(sizes: DataFrame, threshold: int = 50, batch_col: str = "batch_id
                                                             acc["f"].alias("f"))).alias("out"),
                        x["m"][acc["s"]]["end"].alias("s"),
                        (acc["f"] + x["m"][acc["s"]]["flushes"]).alias("f")))["out"].alias("out")))
-        state = scanned.select(F.explode("out").alias("o")).select("o.k", "o.s", "o.f")
+        state = scanned.select(F.explode("out").alias("o")).select("o.k", "o.s", "o.f").checkpoint()
 
     total = levels[-1].select(F.col("m")[0]["flushes"]).first()[0]
     closes = F.col("s") + F.col("n") > threshold
-    return (base.select("k", "n").join(state, on="k")
-            .select(F.col("k").alias(batch_col), F.col("n").alias(n_col),
+    return (base.select("batch", "k", "n").join(state, on="k")
+            .select(F.col("batch").alias(batch_col), F.col("n").alias(n_col),
                     F.when(F.col("f") < F.lit(total), F.col("f") + 1).alias("flush_id"),
                     closes.alias("flushed")))

@@ -53,8 +53,6 @@ def at_coordinate(df: DataFrame, latitude: float, longitude: float) -> DataFrame
 
 def sample_dim(df: DataFrame, cols: list[str], order: list[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows of a few columns, ordered so the pick is deterministic."""
-    view = f"sample_dim_{abs(hash((tuple(cols), tuple(order), n))) % 10**9}"
-    df.createOrReplaceTempView(view)
-    sql = (f"SELECT {', '.join(cols)} FROM {view} "
+    sql = (f"SELECT {', '.join(cols)} FROM {{src}} "
            f"ORDER BY {', '.join(order)} LIMIT {int(n)}")
-    return df.sparkSession.sql(sql)
+    return df.sparkSession.sql(sql, src=df)

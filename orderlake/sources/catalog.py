@@ -33,5 +33,5 @@ def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
 
 
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
-    """K9: table names of one database (``SHOW TABLES FROM db``)."""
-    return spark.sql(f"SHOW TABLES FROM {db}").select("tableName")
+    """K9: table names of one database (``SHOW TABLES FROM db``), session temp views left out."""
+    return spark.sql(f"SHOW TABLES FROM {db}").where("NOT isTemporary").select("tableName")
