@@ -51,11 +51,20 @@ def consume_landing(spark: SparkSession, landing: str, schema: StructType,
     return query
 
 
+# Silver files are laid out by event date, so date-bounded reads prune whole folders.
+SILVER_PARTITIONS = ["event_year", "event_month", "event_day"]
+
+
 def run_silver(spark: SparkSession, raw: str, neighborhoods: DataFrame, silver_dir: str,
-               checkpoint: str, archive: str | None = None) -> StreamingQuery:
-    """T4 raw -> silver (C2) over the files landed since the last run."""
+               checkpoint: str, archive: str | None = None,
+               partition_by: list[str] | None = SILVER_PARTITIONS) -> StreamingQuery:
+    """T4 raw -> silver (C2) over the files landed since the last run.
+
+    Reading ``silver_dir`` back puts the partition columns last; select
+    :data:`~orderlake.schemas.SILVER_COLUMNS` for the layer's column order.
+    """
     return consume_landing(spark, raw, ORDER_SCHEMA, lambda df: to_silver(df, neighborhoods),
-                           silver_dir, checkpoint, archive)
+                           silver_dir, checkpoint, archive, partition_by)
 
 
 def run_gold(spark: SparkSession, silver_dir: str, silver_schema: StructType,
