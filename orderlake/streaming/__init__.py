@@ -1,7 +1,8 @@
 """Structured Streaming jobs: ingest (C1, T1–T2) and incremental layers."""
 
 from .incremental import consume_landing, run_gold, run_silver
-from .ingest import parse_orders, quarantine, start_ingest, start_quarantine, to_wire
+from .ingest import (parse_orders, quarantine, start_gated_ingest, start_ingest,
+                     start_quarantine, to_wire)
 
 __all__ = ["consume_landing", "run_gold", "run_silver", "parse_orders", "quarantine",
-           "start_ingest", "start_quarantine", "to_wire"]
+           "start_gated_ingest", "start_ingest", "start_quarantine", "to_wire"]

@@ -8,6 +8,7 @@ lists files through that log, so the chain ingest -> silver is exactly once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,3 +63,80 @@ def start_quarantine(lines: DataFrame, bad_dir: str, checkpoint: str,
                      trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Side query that lands rejected wire lines next to the raw layer."""
     return _start(quarantine(lines), bad_dir, checkpoint, trigger, name)
+
+
+def _exists(spark, path: str, schema) -> bool:
+    """True if a Parquet folder is at ``path`` (resolving the path runs no job)."""
+    try:
+        spark.read.schema(schema).parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
+def _committed(spark, path: str) -> bool:
+    """True once a write job has committed ``path`` (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
+
+def _ledger_before(spark, ledger: str, batch_id: int):
+    """The ledger row of the micro-batch just before ``batch_id`` (None at the start)."""
+    if batch_id == 0:
+        return None
+    prev = f"{ledger}/batch-{batch_id - 1:012d}"
+    if _exists(spark, prev, LEDGER_SCHEMA):
+        return spark.read.schema(LEDGER_SCHEMA).parquet(prev).first()
+    if not _exists(spark, ledger, LEDGER_SCHEMA):
+        return None
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger}/batch-*")
+    return rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
+
+
+LEDGER_SCHEMA = "batch_id bigint, n bigint, level bigint, flushes bigint, open_from bigint"
+
+
+def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint: str,
+                       threshold: int = 50, trigger: dict | None = None,
+                       name: str | None = None) -> StreamingQuery:
+    """C1 with the reference's count gate (T3/A6): micro-batches gather until more
+    than ``threshold`` rows are buffered, then all of them land in ``raw_dir`` as
+    one file set ``flush-<k>`` and the buffer starts empty.
+
+    The buffer is on shared storage, not on the driver: every micro-batch is
+    staged under its batch id (overwrite, so a retry replaces it), and a
+    one-row ledger per batch keeps the buffer level, the flush count and the
+    first buffered batch. A flush reads the staged folders as one distributed
+    scan and writes them once; a retry finds the committed flush folder and
+    leaves it alone, so downstream readers never see a flush twice. Rows still
+    below the threshold stay staged until a later batch carries them out.
+    """
+    ledger = f"{staging}/_ledger"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stage = f"{staging}/batch-{batch_id:012d}"
+        parse_orders(batch).write.mode("overwrite").parquet(stage)
+        n = spark.read.schema(ORDER_SCHEMA).parquet(stage).count()
+        prev = _ledger_before(spark, ledger, batch_id)
+        level, flushes = (prev.level, prev.flushes) if prev else (0, 0)
+        open_from = prev.open_from if prev and prev.open_from is not None else batch_id
+        if level + n > threshold:
+            target = f"{raw_dir}/flush-{flushes + 1:010d}"
+            if not _committed(spark, target):
+                staged = [f"{staging}/batch-{b:012d}" for b in range(open_from, batch_id + 1)]
+                staged = [p for p in staged if _exists(spark, p, ORDER_SCHEMA)]
+                spark.read.schema(ORDER_SCHEMA).parquet(*staged).write.mode("overwrite").parquet(target)
+            row = (batch_id, n, 0, flushes + 1, None)
+        else:
+            row = (batch_id, n, level + n, flushes, open_from)
+        (spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(f"{ledger}/batch-{batch_id:012d}"))
+
+    writer = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()

@@ -57,3 +57,30 @@ def test_incremental_layers_equal_batch(spark, scratch):
     run_gold(spark, silver, batch_silver.schema, cust, emp, gold, f"{scratch}/_ckpt/gold")
     run_gold(spark, silver, batch_silver.schema, cust, emp, gold, f"{scratch}/_ckpt/gold")
     assert _same(spark.read.parquet(gold), to_gold(batch_silver, cust, emp))
+
+
+def test_gated_ingest_flushes_like_the_fold(spark, scratch):
+    from orderlake.operators.flush import flush_plan
+    from orderlake.streaming import start_gated_ingest
+    feed = tf.feed(spark, SF).orderBy("order_id").limit(7 * 20).collect()
+    for i in range(20):  # 20 wire files of 7 orders, one micro-batch each
+        spark.createDataFrame(feed[7 * i:7 * i + 7], ORDER_SCHEMA).selectExpr(
+            "to_json(collect_list(struct(*))) AS value").write.text(f"{scratch}/wire/f{i:03d}")
+
+    def run():
+        q = start_gated_ingest(orders_stream(spark, "text", f"{scratch}/wire/*", maxFilesPerTrigger="1"),
+                               f"{scratch}/staging", f"{scratch}/raw", f"{scratch}/_ckpt",
+                               threshold=50, trigger={"availableNow": True})
+        q.awaitTermination()
+
+    run()
+    run()  # restart with nothing new
+    flushed = spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw/flush-*")
+    # 56 > 50 after every 8th batch: two flushes of 56 rows, 4 batches (28 rows) still buffered
+    assert flushed.count() == 112
+    assert sorted(r.flush for r in spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw/*")
+                  .select(F.regexp_extract(F.input_file_name(), r"flush-(\d+)", 1).alias("flush"))
+                  .distinct().collect()) == ["0000000001", "0000000002"]
+    sizes = spark.createDataFrame([(i, 7) for i in range(20)], "batch_id long, n long")
+    plan = flush_plan(sizes, 50).collect()
+    assert sum(r.n for r in plan if r.flush_id is not None) == 112
