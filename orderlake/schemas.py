@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType,
-                               StructField, StructType)
+                               StructField, StructType, TimestampType)
 
 # Fixed values that must equal the feed's conventions.
 EVENT_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"   # text of the `date` field on the wire
@@ -35,6 +35,14 @@ SILVER_COLUMNS = ["latitude", "longitude", "customer_id", "employee_id",
                   "quantity_products", "order_id", *TIME_PART_COLUMNS,
                   "neighborhood", "commune"]
 
+# Silver record as to_silver produces it (neighborhood names and communes are text).
+SILVER_SCHEMA = StructType(
+    [f for f in ORDER_SCHEMA.fields if f.name not in ("object_id", "date")]
+    + [StructField("event_date", TimestampType(), True),
+       StructField("partition_date", StringType(), True)]
+    + [StructField(c, IntegerType(), True) for c in TIME_PART_COLUMNS[2:]]
+    + [StructField("neighborhood", StringType(), True), StructField("commune", StringType(), True)])
+
 GOLD_COLUMNS = ["order_id", "customer_name", "employee_name", "employee_commission",
                 "latitude", "longitude", "commune", "neighborhood",
                 "quantity_products", "event_date"]

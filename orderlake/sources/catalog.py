@@ -35,3 +35,13 @@ def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
     """K9: table names of one database (``SHOW TABLES FROM db``), session temp views left out."""
     return spark.sql(f"SHOW TABLES FROM {db}").where("NOT isTemporary").select("tableName")
+
+
+def register_layer(spark: SparkSession, name: str, path: str) -> str:
+    """Expose a layer folder as a catalog view (``SELECT * FROM data.gold``).
+
+    A view over ``parquet.`path``` reads through the file sink's commit log, so
+    files of a failed, uncommitted micro-batch never show up in the table.
+    """
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return name

@@ -61,3 +61,23 @@ def test_spatial_join_never_cross(spark):
     from conftest import plan_text
     plan = plan_text(points_in_polygons(_points(spark), tf.polygons(spark), 1.0))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("cell", [0.3, 1.0, 7.0])
+def test_random_rectangles_against_closed_form(spark, cell):
+    import random
+    rnd = random.Random(11)
+    rects = []
+    for pid in range(1, 16):
+        x1, y1 = rnd.randint(0, 16) / 2, rnd.randint(0, 16) / 2
+        rects.append((pid, x1, y1, x1 + rnd.randint(1, 8) / 2, y1 + rnd.randint(1, 8) / 2))
+    polys = tf._polygon_frame(spark, [(pid, f"r{pid}", [[(a, b), (c, b), (c, d), (a, d)]])
+                                      for pid, a, b, c, d in rects])
+    pts = [(f"p{i}_{j}", i / 4, j / 4) for i in range(-2, 54, 3) for j in range(-2, 54, 3)]
+    points = spark.createDataFrame(pts, "order_id string, longitude double, latitude double")
+    got = sorted((r.order_id, r.polygon_id) for r in points_in_polygons(points, polys, cell).collect())
+    expect = sorted((o, pid) for o, x, y in pts for pid, a, b, c, d in rects if a < x < c and b < y < d)
+    assert got == expect
+    first = {r.order_id: r.polygon_id for r in assign_polygon(points, polys, cell).collect()}
+    assert first == {o: min((pid for pid, a, b, c, d in rects if a < x < c and b < y < d), default=None)
+                     for o, x, y in pts}

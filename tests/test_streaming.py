@@ -84,3 +84,31 @@ def test_gated_ingest_flushes_like_the_fold(spark, scratch):
     sizes = spark.createDataFrame([(i, 7) for i in range(20)], "batch_id long, n long")
     plan = flush_plan(sizes, 50).collect()
     assert sum(r.n for r in plan if r.flush_id is not None) == 112
+
+
+def test_jobs_cli_end_to_end(spark, scratch):
+    from orderlake import jobs
+    from orderlake.plans.reports import export_reports  # noqa: F401  (reports job below)
+    from orderlake.schemas import SILVER_SCHEMA
+    from orderlake.sources import register_layer
+    wire, raw, silver, gold = (f"{scratch}/{n}" for n in ("wire", "raw", "silver", "gold"))
+    tf.wire_lines(spark, SF).write.text(f"{wire}/a")
+    for name, df in (("nb", tf.neighborhoods(spark, SF)), ("cust", tf.customers(spark, SF)),
+                     ("emp", tf.employees(spark, SF))):
+        df.write.parquet(f"{scratch}/dims/{name}")
+    state = ["--state", f"{scratch}/_state"]
+    jobs.main(["ingest", "--wire", f"{wire}/*", "--raw", raw] + state)
+    jobs.main(["silver", "--raw", raw, "--neighborhoods", f"{scratch}/dims/nb", "--silver", silver] + state)
+    jobs.main(["gold", "--silver", silver, "--customers", f"{scratch}/dims/cust",
+               "--employees", f"{scratch}/dims/emp", "--gold", gold] + state)
+    jobs.main(["gold", "--silver", silver, "--customers", f"{scratch}/dims/cust",
+               "--employees", f"{scratch}/dims/emp", "--gold", gold] + state)  # re-run: no-op
+    jobs.main(["reports", "--gold", gold, "--out", f"{scratch}/reports"] + state)
+    expect = to_gold(to_silver(tf.feed(spark, SF), tf.neighborhoods(spark, SF)),
+                     tf.customers(spark, SF), tf.employees(spark, SF))
+    assert _same(spark.read.parquet(gold), expect)
+    assert spark.read.parquet(silver).select(*SILVER_SCHEMA.names).schema == SILVER_SCHEMA
+    view = register_layer(spark, "gold_view_" + scratch.rsplit("-", 1)[-1], gold)
+    assert spark.table(view).count() == expect.count()
+    by_nb = spark.read.csv(f"{scratch}/reports/by_neighborhood", header=True, inferSchema=False)
+    assert by_nb.count() == expect.where("neighborhood IS NOT NULL").select("neighborhood").distinct().count()
