@@ -21,23 +21,51 @@ not deduplicate and neither do we).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from .project import neighborhood_dim
 
-# Largest row count of a bounded dimension that may be broadcast.
+# Largest bounded dimension that may be broadcast: rows and estimated bytes.
 BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the row bound; otherwise leave it to the planner."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Rough in-memory size of a row: 8 bytes per fixed-width field, text by its
+    length, nested values by the length of their JSON form."""
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 16)
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts, F.lit(16)).cast("bigint")
+
+
+def bounded(df: DataFrame, max_rows: int, max_bytes: int | None = None,
+            size: Column | None = None) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and, when ``max_bytes`` is
+    given, at most that many estimated bytes. Reads at most ``max_rows + 1`` rows."""
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return head.count() <= max_rows
+    n, total = head.agg(F.count(F.lit(1)),
+                        F.sum(size if size is not None else row_bytes(df))).first()
+    return n <= max_rows and (total or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                         max_bytes: int | None = BROADCAST_MAX_BYTES,
+                         size: Column | None = None) -> DataFrame:
+    """Hint a broadcast only after checking the bounds; otherwise leave it to the planner."""
+    return F.broadcast(df) if bounded(df, max_rows, max_bytes, size) else df
 
 
 def add_neighborhood(orders: DataFrame, nb: DataFrame,

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import inside, ring_edges
-from .joins import BROADCAST_MAX_ROWS, broadcast_if_bounded
+from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 # Relative slack on cell bands, so rounding in x / cell never drops an edge.
 _EPS = 1e-9
@@ -93,8 +93,11 @@ def _with_candidates(points: DataFrame, index: DataFrame, cell: float, x: str, y
                      max_broadcast_rows: int) -> DataFrame:
     c = F.lit(float(cell))
     keyed = points.withColumns({"cx": F.floor(F.col(x) / c), "cy": F.floor(F.col(y) / c)})
-    return (keyed.join(broadcast_if_bounded(index, max_broadcast_rows), on=["cx", "cy"], how="left")
-            .drop("cx", "cy"))
+    # Size of one index row: key, and per candidate its ids plus 32 bytes per edge.
+    size = F.aggregate("candidates", F.lit(32).cast("bigint"),
+                       lambda acc, p: acc + 24 + 32 * F.size(p["edges"]))
+    small = broadcast_if_bounded(index, max_broadcast_rows, BROADCAST_MAX_BYTES, size)
+    return keyed.join(small, on=["cx", "cy"], how="left").drop("cx", "cy")
 
 
 def _hits(x: str, y: str) -> Column:

@@ -33,3 +33,9 @@ def test_matches_sequential_fold(spark):
 
 def test_empty_sizes(spark):
     assert flush_plan(spark.createDataFrame([], "batch_id long, n long")).count() == 0
+
+
+def test_flush_ready_threshold(spark):
+    from orderlake.operators.flush import flush_ready
+    out = spark.range(49, 53).select("id", flush_ready("id", 50).alias("ready")).collect()
+    assert [r.ready for r in out] == [False, False, True, True]

@@ -59,3 +59,31 @@ def test_coordinate_lookup(spark):
     places = spark.createDataFrame([(1.0, 2.0, "p")], "latitude double, longitude double, place string")
     out = {r.order_id: r.place for r in lookup_by_coordinate(orders, places).collect()}
     assert out == {"a": "p", "b": None}
+
+
+def test_bounded_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from orderlake.operators.joins import row_bytes
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("s"))
+    assert bounded(df, 1000, 10_000_000)
+    assert not bounded(df, 1000, 50_000)  # ~100 kB of text
+    assert df.select(row_bytes(df).alias("b")).first().b >= 1000
+
+
+def test_unbounded_dimension_is_not_hinted(spark):
+    from conftest import plan_text
+    from pyspark.sql import functions as F
+
+    from orderlake.operators.joins import broadcast_if_bounded
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(50).select(F.col("id").cast("int").alias("k"))
+        plan = plan_text(spark.range(10).select(F.col("id").cast("int").alias("k"))
+                         .join(broadcast_if_bounded(big, 10), "k", "left"))
+        assert "BroadcastHashJoin" not in plan
+        plan = plan_text(spark.range(10).select(F.col("id").cast("int").alias("k"))
+                         .join(broadcast_if_bounded(big, 100), "k", "left"))
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
