@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import ORDER_SCHEMA
@@ -15,8 +16,8 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def empty_orders(spark: SparkSession, schema: StructType = ORDER_SCHEMA) -> DataFrame:
-    """A typed frame with no rows."""
-    return spark.createDataFrame([], schema)
+    """A typed frame with no rows (built in the JVM; all fields nullable)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_landing(spark: SparkSession, glob: str, schema: StructType = ORDER_SCHEMA) -> DataFrame:

@@ -96,7 +96,8 @@ def _ledger_before(spark, ledger: str, batch_id: int):
     return rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
 
 
-LEDGER_SCHEMA = "batch_id bigint, n bigint, level bigint, flushes bigint, open_from bigint"
+LEDGER_COLUMNS = ["batch_id", "n", "level", "flushes", "open_from"]
+LEDGER_SCHEMA = ", ".join(f"{c} bigint" for c in LEDGER_COLUMNS)
 
 
 def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint: str,
@@ -133,7 +134,7 @@ def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint:
             row = (batch_id, n, 0, flushes + 1, None)
         else:
             row = (batch_id, n, level + n, flushes, open_from)
-        (spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1)
+        (spark.range(1).select(*[F.lit(v).cast("bigint").alias(c) for v, c in zip(row, LEDGER_COLUMNS)])
          .write.mode("overwrite").parquet(f"{ledger}/batch-{batch_id:012d}"))
 
     writer = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
