@@ -88,7 +88,6 @@ def test_gated_ingest_flushes_like_the_fold(spark, scratch):
 
 def test_jobs_cli_end_to_end(spark, scratch):
     from orderlake import jobs
-    from orderlake.plans.reports import export_reports  # noqa: F401  (reports job below)
     from orderlake.schemas import SILVER_SCHEMA
     from orderlake.sources import register_layer
     wire, raw, silver, gold = (f"{scratch}/{n}" for n in ("wire", "raw", "silver", "gold"))
