@@ -121,7 +121,7 @@ def q_sink_csv_roundtrip(spark, d):
 
 def q_publish_dims(spark, d):
     dest = scratch_path(spark, "dims")
-    out = publish_dims(spark, {n: f"{d}/{n}.parquet" for n in ("customer", "supplier", "nation")}, dest)
+    out = publish_dims(spark, [f"{d}/{n}.parquet" for n in ("customer", "supplier", "nation")], dest)
     frames = [count_rows(spark.read.parquet(p)).select(F.lit(n).alias("dim"), "n") for n, p in out.items()]
     return append_orders(*frames)
 

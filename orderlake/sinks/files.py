@@ -34,11 +34,15 @@ def export_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def publish_dims(spark: SparkSession, sources: dict[str, str], dest: str) -> dict[str, str]:
+def publish_dims(spark: SparkSession, sources: dict[str, str] | list[str], dest: str) -> dict[str, str]:
     """K7: copy each dimension Parquet to ``dest/<name>.parquet`` (overwrite).
 
-    Each copy is a distributed read + write; nothing passes through the driver.
+    ``sources`` maps names to paths, or is a list of paths named by their base
+    name (``/data/customers.parquet`` -> ``customers``). Each copy is a
+    distributed read + write; nothing passes through the driver.
     """
+    if not isinstance(sources, dict):
+        sources = {p.rstrip("/").rsplit("/", 1)[-1].removesuffix(".parquet"): p for p in sources}
     out = {}
     for name, src in sources.items():
         target = f"{dest}/{name}.parquet"
