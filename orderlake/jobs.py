@@ -5,7 +5,8 @@
     python -m orderlake.jobs gold   --silver S --customers C --employees E --gold G
     python -m orderlake.jobs reports --gold G --out O
 
-A scheduler calls these at its own cadence (30 min for silver and 60 min for
+Dimensions are Parquet paths or catalog table names (a bucketed table keeps
+its bucketing, so a sort-merge join shuffles only the orders). A scheduler calls these at its own cadence (30 min for silver and 60 min for
 gold in the reference) and may retry them: each job resumes from its checkpoint
 below ``--state`` (default: the session's ``spark.checkpoint.dir``), so a retry
 or an early re-run neither skips nor doubles input. Nothing runs at import time.
@@ -24,6 +25,11 @@ from .streaming.incremental import run_gold, run_silver
 from .streaming.ingest import start_gated_ingest, start_ingest
 
 
+def _dimension(spark, ref: str):
+    """A dimension by catalog name (keeps its bucketing) or by Parquet path."""
+    return spark.table(ref) if "/" not in ref else read_parquet(spark, ref)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="orderlake.jobs")
     ap.add_argument("job", choices=["ingest", "silver", "gold", "reports"])
@@ -44,11 +50,11 @@ def main(argv: list[str] | None = None) -> None:
             start_gated_ingest(lines, args.staging, args.raw, f"{state}/ingest-gated",
                                threshold=args.threshold, trigger=once).awaitTermination()
     elif args.job == "silver":
-        run_silver(spark, args.raw, read_parquet(spark, args.neighborhoods), args.silver,
+        run_silver(spark, args.raw, _dimension(spark, args.neighborhoods), args.silver,
                    f"{state}/silver")
     elif args.job == "gold":
-        run_gold(spark, args.silver, SILVER_SCHEMA, read_parquet(spark, args.customers),
-                 read_parquet(spark, args.employees), args.gold, f"{state}/gold")
+        run_gold(spark, args.silver, SILVER_SCHEMA, _dimension(spark, args.customers),
+                 _dimension(spark, args.employees), args.gold, f"{state}/gold")
     else:
         export_reports(spark.read.parquet(args.gold), args.out)
 

@@ -15,10 +15,14 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
-                 location: str | None = None) -> list[str]:
+                 location: str | None = None,
+                 buckets: dict[str, tuple[str, int]] | None = None) -> list[str]:
     """K8: create the database, drop every lakehouse table, load the dimensions.
 
     Running it twice leaves the same tables with the same rows (drop, then write).
+    ``buckets`` maps a dimension to ``(key, n)``: that table is stored bucketed
+    and sorted by its key, so a sort-merge join against it (a dimension too big
+    to broadcast) shuffles only the order side, never the dimension.
     Returns the qualified names of the dimension tables written.
     """
     where = f" LOCATION '{location}'" if location else ""
@@ -27,7 +31,11 @@ def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
         spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
     written = []
     for name, df in dims.items():
-        df.write.mode("overwrite").saveAsTable(f"{db}.{name}")
+        writer = df.write.mode("overwrite")
+        if buckets and name in buckets:
+            key, n = buckets[name]
+            writer = writer.bucketBy(n, key).sortBy(key)
+        writer.saveAsTable(f"{db}.{name}")
         written.append(f"{db}.{name}")
     return written
 

@@ -1,5 +1,7 @@
 """Physical-plan checks: pruning, pushdown, broadcast and no fact-side shuffle."""
 
+import re
+
 from conftest import plan_text
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ from orderlake.sinks import write_layer
 SF = "/root/testdata/sf0.001"
 
 
+def _shuffles(plan: str) -> int:
+    """Number of shuffle exchanges in the plan tree (broadcasts not counted)."""
+    tree = plan.split("\n\n\n")[0]
+    return len(re.findall(r"(?<!Broadcast)Exchange \(\d+\)", tree))
+
+
 def _gold(spark):
     return to_gold(to_silver(tf.feed(spark, SF), tf.neighborhoods(spark, SF)),
                    tf.customers(spark, SF), tf.employees(spark, SF))
@@ -22,7 +30,7 @@ def test_gold_prunes_dimension_columns_and_does_not_shuffle_orders(spark):
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
     assert "ReadSchema: struct<s_suppkey:bigint,s_name:string,s_acctbal:double>" in plan
     assert "BroadcastHashJoin LeftOuter" in plan
-    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert "SortMergeJoin" not in plan and _shuffles(plan) == 0
 
 
 def test_coordinate_filter_reaches_parquet_scan(spark, scratch):
@@ -42,3 +50,20 @@ def test_sort_has_tiebreak_for_hot_keys(spark):
     plan = plan_text(latest_first(df))
     assert "xxhash64" in plan
     assert df.count() == latest_first(df).count()
+
+
+def test_bucketed_dimension_is_not_shuffled(spark, scratch):
+    from orderlake.operators import add_customer
+    from orderlake.sources import init_catalog, scan_table
+    db = "ol_bucket_" + scratch.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/db'")
+    init_catalog(spark, db, {"customers": tf.customers(spark, SF)}, buckets={"customers": ("customer_id", 8)})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = add_customer(tf.feed(spark, SF), scan_table(spark, f"{db}.customers"))
+        plan = plan_text(joined)
+        assert "SortMergeJoin" in plan
+        assert _shuffles(plan) == 1 and "Bucketed: true" in plan  # only the order side moves
+        assert joined.count() == tf.feed(spark, SF).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
