@@ -1,6 +1,6 @@
 """Scheduled entry points (T4): each run processes what is new and stops.
 
-    python -m orderlake.jobs ingest --wire W --raw R --staging S [--threshold 50]
+    python -m orderlake.jobs ingest --wire W --raw R [--bad Q] [--staging S --threshold 50]
     python -m orderlake.jobs silver --raw R --neighborhoods N --silver S
     python -m orderlake.jobs gold   --silver S --customers C --employees E --gold G
     python -m orderlake.jobs reports --gold G --out O
@@ -22,7 +22,7 @@ from .session import build_session, shared_root
 from .sources.files import read_parquet
 from .sources.stream import orders_stream
 from .streaming.incremental import run_gold, run_silver
-from .streaming.ingest import start_gated_ingest, start_ingest
+from .streaming.ingest import start_gated_ingest, start_ingest, start_quarantine
 
 
 def _dimension(spark, ref: str):
@@ -33,7 +33,7 @@ def _dimension(spark, ref: str):
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="orderlake.jobs")
     ap.add_argument("job", choices=["ingest", "silver", "gold", "reports"])
-    for opt in ("wire", "raw", "staging", "neighborhoods", "silver", "customers", "employees",
+    for opt in ("wire", "raw", "bad", "staging", "neighborhoods", "silver", "customers", "employees",
                 "gold", "out", "state"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--threshold", type=int, default=None,
@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     once = {"availableNow": True}
     if args.job == "ingest":
         lines = orders_stream(spark, "text", args.wire)
+        if args.bad:  # side query: rejected lines, with a checkpoint of their own
+            start_quarantine(lines, args.bad, f"{state}/quarantine", trigger=once).awaitTermination()
         if args.threshold is None:
             start_ingest(lines, args.raw, f"{state}/ingest", trigger=once).awaitTermination()
         else:

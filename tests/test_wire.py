@@ -27,3 +27,28 @@ def test_to_wire_packs_batches(spark):
     orders = tf.feed(spark, "/root/testdata/sf0.001").limit(10).withColumn("b", F.lit(1))
     line = to_wire(orders, "b").first().value
     assert line.startswith("[{") and line.count("order_id") == 10
+
+
+def test_wire_roundtrip_property(spark):
+    """Random orders (nulls, unicode, extreme values) survive pack -> JSON -> parse."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from orderlake.schemas import ORDER_SCHEMA
+
+    ints = st.one_of(st.none(), st.integers(-2**31, 2**31 - 1))
+    dbls = st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=64))
+    text = st.one_of(st.none(), st.text(max_size=12))
+    order = st.tuples(ints, dbls, dbls, text, ints, ints, ints, text)
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 3), order), min_size=1, max_size=12))
+    def check(rows):
+        df = spark.createDataFrame([(b, *o) for b, o in rows],
+                                   "b int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                                                         for f in ORDER_SCHEMA.fields))
+        back = parse_orders(to_wire(df, "b").select("value"))
+        orig = df.drop("b")
+        assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
+
+    check()
