@@ -54,8 +54,24 @@ def on_boundary(edges: Column | str, px: Column, py: Column) -> Column:
     return F.exists(ed, lambda e: _on_edge(e, px, py))
 
 
+# Added to the crossing count when the point lies on an edge; far above any real count.
+_ON_EDGE = 1 << 32
+
+
 def inside(edges: Column | str, px: Column, py: Column) -> Column:
-    """Strict containment: odd number of ray crossings and not on the boundary."""
+    """Strict containment: odd number of ray crossings and not on the boundary.
+
+    One pass over the edges: an edge whose y-range misses the point is rejected
+    by two comparisons; otherwise it adds ``_ON_EDGE`` if the point lies on it,
+    else 1 if it crosses the ray to the right.
+    """
     ed = F.col(edges) if isinstance(edges, str) else edges
-    crossings = F.aggregate(ed, F.lit(0), lambda acc, e: acc + _crosses(e, px, py))
-    return ((crossings % 2) == 1) & ~on_boundary(ed, px, py)
+
+    def step(acc: Column, e: Column) -> Column:
+        misses = (py < F.least(e["y1"], e["y2"])) | (py > F.greatest(e["y1"], e["y2"]))
+        return acc + F.when(misses, F.lit(0).cast("bigint")).when(
+            _on_edge(e, px, py), F.lit(_ON_EDGE).cast("bigint")).otherwise(
+            _crosses(e, px, py).cast("bigint"))
+
+    total = F.aggregate(ed, F.lit(0).cast("bigint"), step)
+    return (total < _ON_EDGE) & ((total % 2) == 1)

@@ -8,7 +8,7 @@ from .project import (at_coordinate, drop_key, drop_raw_date, flatten, neighborh
                       pick, rename, sample_dim, with_constant)
 from .setops import append_orders, union_versions
 from .spatial import (assign_polygon, cell_index, points_in_polygons, polygon_bounds,
-                      vertex_bounds, within, within_area)
+                      suggest_cell, vertex_bounds, within, within_area)
 
 __all__ = [
     "count_rows", "qty_by_event_time", "qty_by_neighborhood",
@@ -16,6 +16,6 @@ __all__ = [
     "lookup_by_coordinate", "latest", "latest_first",
     "at_coordinate", "drop_key", "drop_raw_date", "flatten", "neighborhood_dim", "pick",
     "rename", "sample_dim", "with_constant", "append_orders", "union_versions",
-    "assign_polygon", "cell_index", "points_in_polygons", "polygon_bounds", "vertex_bounds",
+    "assign_polygon", "cell_index", "suggest_cell", "points_in_polygons", "polygon_bounds", "vertex_bounds",
     "within", "within_area",
 ]

@@ -3,7 +3,8 @@
 A containment predicate on its own plans as a nested-loop (cross) join. Here it
 becomes an equi-join instead:
 
-1. each polygon's bounding box is cut into square grid cells of side ``cell``;
+1. each polygon's bounding box is cut into grid cells of ``cell`` (a side, or
+   a ``(width, height)`` pair; thin cells suit polygons with many vertices);
    for every (polygon, cell) only the edges that can matter for a point in that
    cell are kept (edges whose y-range meets the cell's row band and that are not
    wholly to the left of the cell), so even a huge polygon costs a few edges per
@@ -11,7 +12,7 @@ becomes an equi-join instead:
 2. cells are grouped into one *cell index* row ``(cx, cy, candidates)`` where
    ``candidates`` is the list of (priority, polygon id, edges) sorted by
    priority. Its size is bounded by the polygon layer, not by the points;
-3. each point gets its cell ``(floor(x / cell), floor(y / cell))`` and is
+3. each point gets its cell ``(floor(x / width), floor(y / height))`` and is
    left-joined to the index on the cell: a broadcast hash join after a row-bound
    check, a shuffle join on the cell beyond it. The index has one row per cell,
    so the join never multiplies points and the points are never shuffled in the
@@ -52,16 +53,46 @@ def vertex_bounds(vertices: DataFrame, id_col: str, x: str = "x", y: str = "y")
         F.max(F.col(x).cast("double")).alias("max_x"), F.max(F.col(y).cast("double")).alias("max_y"))
 
 
-def cell_index(polys: DataFrame, cell: float, id_col: str = "polygon_id",
+def _cell_size(cell) -> tuple[float, float]:
+    wx, wy = (cell, cell) if isinstance(cell, (int, float)) else cell
+    if wx <= 0 or wy <= 0:
+        raise ValueError("cell sizes must be positive")
+    return float(wx), float(wy)
+
+
+def suggest_cell(polys: DataFrame, rings: str = "rings",
+                 edges_per_cell: int = 16) -> tuple[float, float]:
+    """A ``(width, height)`` cell for a polygon layer, from one small aggregate.
+
+    Width is the median polygon width, so a point meets only a few candidates;
+    height cuts the median polygon into strips of about ``edges_per_cell``
+    edges each, so every candidate carries few edges into the join.
+    """
+    verts = F.flatten(F.col(rings))
+    xs = F.transform(verts, lambda v: v["x"].cast("double"))
+    ys = F.transform(verts, lambda v: v["y"].cast("double"))
+    stats = polys.select((F.array_max(xs) - F.array_min(xs)).alias("w"),
+                         (F.array_max(ys) - F.array_min(ys)).alias("h"),
+                         F.size(verts).alias("v"))
+    w, h, v = stats.agg(F.percentile_approx("w", 0.5), F.percentile_approx("h", 0.5),
+                        F.percentile_approx("v", 0.5)).first()
+    if not w or not h:
+        return (1.0, 1.0)
+    strips = max(1, int(v or 0) // max(1, edges_per_cell))
+    return (float(w), float(h) / strips)
+
+
+def cell_index(polys: DataFrame, cell, id_col: str = "polygon_id",
                rings: str = "rings", priority: str | None = None) -> DataFrame:
     """Grid-cell index of a polygon layer: ``cx, cy, candidates``.
 
+    ``cell`` is a side length or a ``(width, height)`` pair. Thin cells (height
+    well below width) keep few edges per cell for polygons with many vertices.
     ``priority`` orders the candidates of a cell (first match wins in
     :func:`assign_polygon`); it defaults to the polygon id.
     """
-    if cell <= 0:
-        raise ValueError("cell must be positive")
-    c = F.lit(float(cell))
+    wx, wy = _cell_size(cell)
+    cx_, cy_ = F.lit(wx), F.lit(wy)
     prio = F.col(priority or id_col)
     verts = F.flatten(F.col(rings))
     shaped = polys.select(
@@ -71,12 +102,11 @@ def cell_index(polys: DataFrame, cell: float, id_col: str = "polygon_id",
         F.array_max(F.transform(verts, lambda v: v["x"].cast("double"))).alias("max_x"),
         F.array_max(F.transform(verts, lambda v: v["y"].cast("double"))).alias("max_y"))
     cells = (shaped
-             .withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / c), F.floor(F.col("max_x") / c))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / c), F.floor(F.col("max_y") / c)))))
-    slack = F.lit(float(cell) * _EPS)
-    lo_y = F.col("cy") * c - slack
-    hi_y = (F.col("cy") + 1) * c + slack
-    lo_x = F.col("cx") * c - slack
+             .withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cx_), F.floor(F.col("max_x") / cx_))))
+             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cy_), F.floor(F.col("max_y") / cy_)))))
+    lo_y = F.col("cy") * cy_ - F.lit(wy * _EPS)
+    hi_y = (F.col("cy") + 1) * cy_ + F.lit(wy * _EPS)
+    lo_x = F.col("cx") * cx_ - F.lit(wx * _EPS)
     clipped = cells.select(
         "cx", "cy", "_prio", F.col(id_col),
         F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y)
@@ -89,10 +119,10 @@ def cell_index(polys: DataFrame, cell: float, id_col: str = "polygon_id",
                                                       F.col("edges")))).alias("candidates")))
 
 
-def _with_candidates(points: DataFrame, index: DataFrame, cell: float, x: str, y: str,
+def _with_candidates(points: DataFrame, index: DataFrame, cell, x: str, y: str,
                      max_broadcast_rows: int) -> DataFrame:
-    c = F.lit(float(cell))
-    keyed = points.withColumns({"cx": F.floor(F.col(x) / c), "cy": F.floor(F.col(y) / c)})
+    wx, wy = _cell_size(cell)
+    keyed = points.withColumns({"cx": F.floor(F.col(x) / F.lit(wx)), "cy": F.floor(F.col(y) / F.lit(wy))})
     # Size of one index row: key, and per candidate its ids plus 32 bytes per edge.
     size = F.aggregate("candidates", F.lit(32).cast("bigint"),
                        lambda acc, p: acc + 24 + 32 * F.size(p["edges"]))
@@ -105,7 +135,7 @@ def _hits(x: str, y: str) -> Column:
     return F.filter("candidates", lambda p: inside(p["edges"], px, py))
 
 
-def points_in_polygons(points: DataFrame, polys: DataFrame, cell: float,
+def points_in_polygons(points: DataFrame, polys: DataFrame, cell,
                        id_col: str = "polygon_id", x: str = "longitude", y: str = "latitude",
                        out_col: str = "polygon_id", rings: str = "rings",
                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -117,7 +147,7 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, cell: float,
             .drop("_hit", "candidates"))
 
 
-def assign_polygon(points: DataFrame, polys: DataFrame, cell: float,
+def assign_polygon(points: DataFrame, polys: DataFrame, cell,
                    id_col: str = "polygon_id", x: str = "longitude", y: str = "latitude",
                    out_col: str = "polygon_id", priority: str | None = None, rings: str = "rings",
                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -129,7 +159,7 @@ def assign_polygon(points: DataFrame, polys: DataFrame, cell: float,
             .drop("candidates"))
 
 
-def within(points: DataFrame, polys: DataFrame, cell: float, id_col: str = "polygon_id",
+def within(points: DataFrame, polys: DataFrame, cell, id_col: str = "polygon_id",
            x: str = "longitude", y: str = "latitude", rings: str = "rings",
            max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Semi-join: points strictly inside at least one polygon of the layer."""
@@ -138,7 +168,7 @@ def within(points: DataFrame, polys: DataFrame, cell: float, id_col: str = "poly
     return joined.where(F.size(_hits(x, y)) > 0).drop("candidates")
 
 
-def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell: float,
+def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell,
                 boundary_cell: float | None = None, **kw) -> DataFrame:
     """Points inside the municipality boundary *and* inside some neighborhood.
 

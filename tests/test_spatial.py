@@ -21,7 +21,7 @@ def _points(spark):
     return spark.createDataFrame(POINTS, "order_id string, longitude double, latitude double")
 
 
-@pytest.mark.parametrize("cell", [0.5, 1.0, 3.0, 50.0])
+@pytest.mark.parametrize("cell", [0.5, 1.0, 3.0, 50.0, (1.0, 0.25), (4.0, 0.1)])
 def test_points_in_polygons_closed_form(spark, cell):
     out = points_in_polygons(_points(spark), tf.polygons(spark), cell).collect()
     got = {}
@@ -63,7 +63,7 @@ def test_spatial_join_never_cross(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("cell", [0.3, 1.0, 7.0])
+@pytest.mark.parametrize("cell", [0.3, 1.0, 7.0, (2.0, 0.2)])
 def test_random_rectangles_against_closed_form(spark, cell):
     import random
     rnd = random.Random(11)
@@ -81,3 +81,11 @@ def test_random_rectangles_against_closed_form(spark, cell):
     first = {r.order_id: r.polygon_id for r in assign_polygon(points, polys, cell).collect()}
     assert first == {o: min((pid for pid, a, b, c, d in rects if a < x < c and b < y < d), default=None)
                      for o, x, y in pts}
+
+
+def test_suggest_cell(spark):
+    from orderlake.operators import suggest_cell
+    w, h = suggest_cell(tf.polygons(spark), edges_per_cell=2)
+    assert w == 4.0 and 0 < h <= 4.0
+    got = {r.order_id for r in within(_points(spark), tf.polygons(spark), (w, h)).collect()}
+    assert got == {k for k, v in EXPECT.items() if v}
