@@ -67,3 +67,36 @@ def test_bucketed_dimension_is_not_shuffled(spark, scratch):
         assert joined.count() == tf.feed(spark, SF).count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_customer_join_is_split_by_aqe(spark):
+    """A third of the orders on one customer and a third with a null key: with the
+    dimension too big to broadcast, AQE splits the skewed partitions of the
+    sort-merge join instead of giving them to one task."""
+    from orderlake.operators import add_customer
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        orders = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1))
+             .when(F.col("id") % 3 == 1, F.lit(None).cast("int"))
+             .otherwise((F.col("id") % 1000).cast("int")).alias("customer_id"),
+            F.col("id").alias("order_id"))
+        customers = spark.range(1000).select(F.col("id").cast("int").alias("customer_id"),
+                                             F.concat(F.lit("c"), F.col("id")).alias("name"),
+                                             F.lit("p").alias("phone"), F.lit("e").alias("email"),
+                                             F.lit("a").alias("address"))
+        joined = add_customer(orders, customers)
+        assert len(joined.collect()) == 30000
+        final = plan_text(joined)  # the executed, final adaptive plan
+        assert "isFinalPlan=true" in final and "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
