@@ -1,7 +1,7 @@
 """Scheduled entry points (T4): each run processes what is new and stops.
 
     python -m orderlake.jobs ingest --wire W --raw R [--bad Q] [--staging S --threshold 50]
-    python -m orderlake.jobs silver --raw R --neighborhoods N --silver S
+    python -m orderlake.jobs silver --raw R --neighborhoods N --silver S [--polygons P]
     python -m orderlake.jobs gold   --silver S --customers C --employees E --gold G
     python -m orderlake.jobs reports --gold G --out O
 
@@ -33,7 +33,7 @@ def _dimension(spark, ref: str):
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="orderlake.jobs")
     ap.add_argument("job", choices=["ingest", "silver", "gold", "reports"])
-    for opt in ("wire", "raw", "bad", "staging", "neighborhoods", "silver", "customers", "employees",
+    for opt in ("wire", "raw", "bad", "staging", "polygons", "neighborhoods", "silver", "customers", "employees",
                 "gold", "out", "state"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--threshold", type=int, default=None,
@@ -52,8 +52,9 @@ def main(argv: list[str] | None = None) -> None:
             start_gated_ingest(lines, args.staging, args.raw, f"{state}/ingest-gated",
                                threshold=args.threshold, trigger=once).awaitTermination()
     elif args.job == "silver":
+        polygons = _dimension(spark, args.polygons) if args.polygons else None
         run_silver(spark, args.raw, _dimension(spark, args.neighborhoods), args.silver,
-                   f"{state}/silver")
+                   f"{state}/silver", polygons=polygons)
     elif args.job == "gold":
         run_gold(spark, args.silver, SILVER_SCHEMA, _dimension(spark, args.customers),
                  _dimension(spark, args.employees), args.gold, f"{state}/gold")

@@ -155,6 +155,21 @@ SELECT f.latitude, f.longitude, f.date, f.customer_id, f.employee_id, f.quantity
        f.order_id, n.NOMBRE AS neighborhood, n.IDENTIFICACION AS commune
 FROM feed f LEFT JOIN neighborhoods n ON f.object_id = n.OBJECTID""",
     "silver_orders": with_(FEED, NEIGHBORHOODS, SILVER) + "SELECT * FROM silver",
+    "silver_spatial": with_(FEED, NEIGHBORHOODS, edges_cte((1, 2, 3)), contains_cte()) + """,
+first_hit AS (SELECT order_id, min(pid) AS pid FROM hits GROUP BY order_id)
+SELECT f.latitude, f.longitude, f.customer_id, f.employee_id, f.quantity_products, f.order_id,
+       strptime(f.date, '%d/%m/%Y %H:%M:%S') AS event_date,
+       strftime(strptime(f.date, '%d/%m/%Y %H:%M:%S'), '%d%m%Y') AS partition_date,
+       CAST(day(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_day,
+       CAST(hour(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_hour,
+       CAST(minute(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_minute,
+       CAST(month(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_month,
+       CAST(second(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_second,
+       CAST(year(strptime(f.date, '%d/%m/%Y %H:%M:%S')) AS INT) AS event_year,
+       n.NOMBRE AS neighborhood, n.IDENTIFICACION AS commune
+FROM feed f
+LEFT JOIN first_hit h ON f.order_id = h.order_id
+LEFT JOIN neighborhoods n ON h.pid = n.OBJECTID""",
     "enrich_customer": with_(FEED, CUSTOMERS) + """
 SELECT f.*, c.name AS customer_name, c.phone AS customer_phone, c.email AS customer_email,
        c.address AS customer_address

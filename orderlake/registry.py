@@ -184,6 +184,11 @@ def q_silver_neighborhood(spark, d):
     return add_neighborhood(tf.feed(spark, d), tf.neighborhoods(spark, d))
 
 
+def q_silver_spatial(spark, d):
+    return to_silver(tf.feed(spark, d), tf.neighborhoods(spark, d),
+                     polygons=tf.polygons(spark, (1, 2, 3)), cell=CELL)
+
+
 def q_silver_orders(spark, d):
     return to_silver(tf.feed(spark, d), tf.neighborhoods(spark, d))
 

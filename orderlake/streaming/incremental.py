@@ -57,13 +57,17 @@ SILVER_PARTITIONS = ["event_year", "event_month", "event_day"]
 
 def run_silver(spark: SparkSession, raw: str, neighborhoods: DataFrame, silver_dir: str,
                checkpoint: str, archive: str | None = None,
-               partition_by: list[str] | None = SILVER_PARTITIONS) -> StreamingQuery:
+               partition_by: list[str] | None = SILVER_PARTITIONS,
+               polygons: DataFrame | None = None, cell=None) -> StreamingQuery:
     """T4 raw -> silver (C2) over the files landed since the last run.
 
-    Reading ``silver_dir`` back puts the partition columns last; select
-    :data:`~orderlake.schemas.SILVER_COLUMNS` for the layer's column order.
+    With ``polygons`` the neighborhood is found by location (see
+    :func:`~orderlake.plans.silver.to_silver`). Reading ``silver_dir`` back puts
+    the partition columns last; select :data:`~orderlake.schemas.SILVER_COLUMNS`
+    for the layer's column order.
     """
-    return consume_landing(spark, raw, ORDER_SCHEMA, lambda df: to_silver(df, neighborhoods),
+    return consume_landing(spark, raw, ORDER_SCHEMA,
+                           lambda df: to_silver(df, neighborhoods, polygons=polygons, cell=cell),
                            silver_dir, checkpoint, archive, partition_by)
 
 

@@ -140,3 +140,14 @@ def test_archive_option_keeps_exactly_once(spark, scratch):
     consume_landing(spark, f"{raw}/run-*", *args, archive=f"{scratch}/archive")
     consume_landing(spark, f"{raw}/run-*", *args, archive=f"{scratch}/archive")
     assert _same(spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/out"), feed)
+
+
+def test_spatial_silver_stream_equals_batch(spark, scratch):
+    feed, nb, polys = tf.feed(spark, SF), tf.neighborhoods(spark, SF), tf.polygons(spark)
+    write_layer(feed, f"{scratch}/raw", 1)
+    run_silver(spark, f"{scratch}/raw/run-*", nb, f"{scratch}/silver", f"{scratch}/_ckpt",
+               polygons=polys, cell=1.0)
+    got = spark.read.parquet(f"{scratch}/silver").select(*SILVER_COLUMNS)
+    expect = to_silver(feed, nb, polygons=polys, cell=1.0)
+    assert _same(got, expect)
+    assert expect.where("neighborhood IS NOT NULL").count() > 0
