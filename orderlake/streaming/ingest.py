@@ -100,20 +100,11 @@ LEDGER_COLUMNS = ["batch_id", "n", "level", "flushes", "open_from"]
 LEDGER_SCHEMA = ", ".join(f"{c} bigint" for c in LEDGER_COLUMNS)
 
 
-def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint: str,
-                       threshold: int = 50, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
-    """C1 with the reference's count gate (T3/A6): micro-batches gather until more
-    than ``threshold`` rows are buffered, then all of them land in ``raw_dir`` as
-    one file set ``flush-<k>`` and the buffer starts empty.
+def gated_batch_handler(staging: str, raw_dir: str, threshold: int = 50):
+    """The ``foreachBatch`` function of :func:`start_gated_ingest`.
 
-    The buffer is on shared storage, not on the driver: every micro-batch is
-    staged under its batch id (overwrite, so a retry replaces it), and a
-    one-row ledger per batch keeps the buffer level, the flush count and the
-    first buffered batch. A flush reads the staged folders as one distributed
-    scan and writes them once; a retry finds the committed flush folder and
-    leaves it alone, so downstream readers never see a flush twice. Rows still
-    below the threshold stay staged until a later batch carries them out.
+    Running it again for the same batch id and data (a retry) rewrites the
+    same staged folder and ledger row and leaves a committed flush alone.
     """
     ledger = f"{staging}/_ledger"
 
@@ -137,7 +128,26 @@ def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint:
         (spark.range(1).select(*[F.lit(v).cast("bigint").alias(c) for v, c in zip(row, LEDGER_COLUMNS)])
          .write.mode("overwrite").parquet(f"{ledger}/batch-{batch_id:012d}"))
 
-    writer = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return handle
+
+
+def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint: str,
+                       threshold: int = 50, trigger: dict | None = None,
+                       name: str | None = None) -> StreamingQuery:
+    """C1 with the reference's count gate (T3/A6): micro-batches gather until more
+    than ``threshold`` rows are buffered, then all of them land in ``raw_dir`` as
+    one file set ``flush-<k>`` and the buffer starts empty.
+
+    The buffer is on shared storage, not on the driver: every micro-batch is
+    staged under its batch id (overwrite, so a retry replaces it), and a
+    one-row ledger per batch keeps the buffer level, the flush count and the
+    first buffered batch. A flush reads the staged folders as one distributed
+    scan and writes them once; a retry finds the committed flush folder and
+    leaves it alone, so downstream readers never see a flush twice. Rows still
+    below the threshold stay staged until a later batch carries them out.
+    """
+    writer = (lines.writeStream.foreachBatch(gated_batch_handler(staging, raw_dir, threshold))
+              .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()

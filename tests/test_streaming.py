@@ -151,3 +151,22 @@ def test_spatial_silver_stream_equals_batch(spark, scratch):
     expect = to_silver(feed, nb, polygons=polys, cell=1.0)
     assert _same(got, expect)
     assert expect.where("neighborhood IS NOT NULL").count() > 0
+
+
+def test_gated_batch_retry_is_idempotent(spark, scratch):
+    from orderlake.streaming.ingest import gated_batch_handler
+    handle = gated_batch_handler(f"{scratch}/staging", f"{scratch}/raw", threshold=50)
+    feed = tf.feed(spark, SF).orderBy("order_id").limit(7 * 8).collect()
+    batches = [spark.createDataFrame(feed[7 * i:7 * i + 7], ORDER_SCHEMA)
+               .selectExpr("to_json(collect_list(struct(*))) AS value") for i in range(8)]
+    for i, b in enumerate(batches):
+        handle(b, i)
+    raw = spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw/flush-*")
+    files = sorted(spark.read.text(f"{scratch}/raw/flush-0000000001").inputFiles())
+    assert raw.count() == 56
+    handle(batches[7], 7)  # retry of the batch that closed the flush
+    handle(batches[7], 7)
+    assert spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw/flush-*").count() == 56
+    assert sorted(spark.read.text(f"{scratch}/raw/flush-0000000001").inputFiles()) == files
+    ledger = spark.read.parquet(f"{scratch}/staging/_ledger/batch-000000000007").first()
+    assert (ledger.level, ledger.flushes, ledger.open_from) == (0, 1, None)
