@@ -48,3 +48,13 @@ def test_tables_and_catalog(spark, scratch):
     init_catalog(spark, db, dims)
     assert sorted(r.tableName for r in list_tables(spark, db).collect()) == ["customers", "neighborhoods"]
     assert scan_table(spark, f"{db}.customers").count() == dims["customers"].count()
+
+
+def test_overwrite_of_a_table_read_by_the_plan_fails(spark, scratch):
+    db = "ol_self_" + scratch.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/db'")
+    feed = tf.feed(spark, SF)
+    replace_table(feed, f"{db}.silver")
+    with pytest.raises(AnalysisException):
+        replace_table(scan_table(spark, f"{db}.silver").where("quantity_products > 0"), f"{db}.silver")
+    assert scan_table(spark, f"{db}.silver").count() == feed.count()  # left intact
