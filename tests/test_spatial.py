@@ -89,3 +89,17 @@ def test_suggest_cell(spark):
     assert w == 4.0 and 0 < h <= 4.0
     got = {r.order_id for r in within(_points(spark), tf.polygons(spark), (w, h)).collect()}
     assert got == {k for k, v in EXPECT.items() if v}
+
+
+def test_unbounded_index_falls_back_to_shuffle_join(spark):
+    from conftest import plan_text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fallback = points_in_polygons(_points(spark), tf.polygons(spark), 1.0, max_broadcast_rows=0)
+        plan = plan_text(fallback)
+        assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+        got = sorted((r.order_id, r.polygon_id) for r in fallback.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expect = sorted((k, pid) for k, ids in EXPECT.items() for pid in ids)
+    assert got == expect
