@@ -1,10 +1,12 @@
 """Scheduled entry points (T4): each run processes what is new and stops.
 
-    python -m orderlake.jobs ingest --wire W --raw R [--bad Q] [--staging S --threshold 50]
+    python -m orderlake.jobs ingest --wire W --raw R [--bad Q | --staging S --threshold 50]
     python -m orderlake.jobs silver --raw R --neighborhoods N --silver S [--polygons P]
     python -m orderlake.jobs gold   --silver S --customers C --employees E --gold G
     python -m orderlake.jobs reports --gold G --out O
 
+With ``--bad`` the raw layer is one folder per micro-batch (read it as
+``R/batch-*``); otherwise it is a file-sink folder (read it as ``R``).
 Dimensions are Parquet paths or catalog table names (a bucketed table keeps
 its bucketing, so a sort-merge join shuffles only the orders). A scheduler calls these at its own cadence (30 min for silver and 60 min for
 gold in the reference) and may retry them: each job resumes from its checkpoint
@@ -22,7 +24,7 @@ from .session import build_session, shared_root
 from .sources.files import read_parquet
 from .sources.stream import orders_stream
 from .streaming.incremental import run_gold, run_silver
-from .streaming.ingest import start_gated_ingest, start_ingest, start_quarantine
+from .streaming.ingest import start_gated_ingest, start_ingest, start_ingest_with_quarantine
 
 
 def _dimension(spark, ref: str):
@@ -44,9 +46,10 @@ def main(argv: list[str] | None = None) -> None:
     once = {"availableNow": True}
     if args.job == "ingest":
         lines = orders_stream(spark, "text", args.wire)
-        if args.bad:  # side query: rejected lines, with a checkpoint of their own
-            start_quarantine(lines, args.bad, f"{state}/quarantine", trigger=once).awaitTermination()
-        if args.threshold is None:
+        if args.bad:  # one parse per line: orders to raw/batch-<id>, rejects to bad/batch-<id>
+            start_ingest_with_quarantine(lines, args.raw, args.bad, f"{state}/ingest-q",
+                                         trigger=once).awaitTermination()
+        elif args.threshold is None:
             start_ingest(lines, args.raw, f"{state}/ingest", trigger=once).awaitTermination()
         else:
             start_gated_ingest(lines, args.staging, args.raw, f"{state}/ingest-gated",

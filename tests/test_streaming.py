@@ -170,3 +170,20 @@ def test_gated_batch_retry_is_idempotent(spark, scratch):
     assert sorted(spark.read.text(f"{scratch}/raw/flush-0000000001").inputFiles()) == files
     ledger = spark.read.parquet(f"{scratch}/staging/_ledger/batch-000000000007").first()
     assert (ledger.level, ledger.flushes, ledger.open_from) == (0, 1, None)
+
+
+def test_single_parse_ingest_with_quarantine(spark, scratch):
+    from orderlake.streaming import ingest_batch_handler, start_ingest_with_quarantine
+    tf.wire_lines(spark, SF).write.text(f"{scratch}/wire/a")
+    tf.bad_lines(spark).write.text(f"{scratch}/wire/b")
+    raw, bad = f"{scratch}/raw", f"{scratch}/bad"
+    q = start_ingest_with_quarantine(orders_stream(spark, "text", f"{scratch}/wire/*"), raw, bad,
+                                     f"{scratch}/_ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    orders = spark.read.schema(ORDER_SCHEMA).parquet(f"{raw}/batch-*")
+    assert orders.count() == tf.feed(spark, SF).count() + 4   # feed + surviving inline records
+    assert sorted(r.value for r in spark.read.parquet(f"{bad}/batch-*").collect()) == ["", "not json at all"]
+    files = sorted(spark.read.parquet(f"{raw}/batch-*").inputFiles())
+    lines = spark.read.text(f"{scratch}/wire/*")
+    ingest_batch_handler(raw, bad)(lines, 0)  # a retry of batch 0 leaves the committed folders alone
+    assert sorted(spark.read.parquet(f"{raw}/batch-*").inputFiles()) == files
