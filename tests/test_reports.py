@@ -26,3 +26,8 @@ def test_count_sort_topk(spark):
     assert [r.order_id for r in latest_first(df).collect()] == ["c", "b", "a", None]
     assert [r.order_id for r in latest(df, 2).collect()] == ["c", "b"]
     assert "TakeOrderedAndProject" in plan_text(latest(df, 2))
+
+
+def test_sort_with_map_column(spark):
+    df = spark.createDataFrame([("b", {"k": 1}), ("a", {"k": 2})], "order_id string, props map<string,int>")
+    assert [r.order_id for r in latest_first(df).collect()] == ["b", "a"]
