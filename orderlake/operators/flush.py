@@ -108,3 +108,8 @@ def flush_plan(sizes: DataFrame, threshold: int = 50, batch_col: str = "batch_id
             .select(F.col("batch").alias(batch_col), F.col("n").alias(n_col),
                     F.when(F.col("f") < F.lit(total), F.col("f") + 1).alias("flush_id"),
                     closes.alias("flushed")))
+
+
+def flush_by_count(sizes: DataFrame, min_rows: int = 51, **kw) -> DataFrame:
+    """T3 with the buffer size that triggers a flush (51 = more than 50)."""
+    return flush_plan(sizes, threshold=min_rows - 1, **kw)

@@ -176,3 +176,10 @@ def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell,
     """
     inside_boundary = within(points, boundary, boundary_cell or cell, **kw)
     return within(inside_boundary, polys, cell, **kw)
+
+
+def assign_neighborhood(points: DataFrame, polys: DataFrame, cell=None, **kw) -> DataFrame:
+    """J7 + P14 under the planned name: the first neighborhood polygon holding each
+    point (``polygon_id`` column, null when none). The cell defaults to
+    :func:`suggest_cell`."""
+    return assign_polygon(points, polys, cell if cell is not None else suggest_cell(polys), **kw)

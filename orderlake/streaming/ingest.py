@@ -190,3 +190,15 @@ def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint:
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
+
+
+def ingest(lines: DataFrame, raw_path: str, checkpoint: str, min_rows: int | None = None,
+           staging: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """C1 as planned: land wire lines in ``raw_path``; with ``min_rows`` (51 in the
+    reference, i.e. more than 50) batches gather in ``staging`` until a flush."""
+    if min_rows is None:
+        return start_ingest(lines, raw_path, checkpoint, trigger)
+    if staging is None:
+        raise ValueError("a gated ingest needs a staging folder")
+    return start_gated_ingest(lines, staging, raw_path, checkpoint, threshold=min_rows - 1,
+                              trigger=trigger)

@@ -39,3 +39,10 @@ def test_flush_ready_threshold(spark):
     from orderlake.operators.flush import flush_ready
     out = spark.range(49, 53).select("id", flush_ready("id", 50).alias("ready")).collect()
     assert [r.ready for r in out] == [False, False, True, True]
+
+
+def test_planned_name_min_rows(spark):
+    from orderlake.operators import flush_by_count
+    rows = [(i, 7) for i in range(16)]
+    out = flush_by_count(spark.createDataFrame(rows, "batch_id long, n long"), min_rows=51).collect()
+    assert sorted(r.batch_id for r in out if r.flushed) == [7, 15]

@@ -103,3 +103,9 @@ def test_unbounded_index_falls_back_to_shuffle_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     expect = sorted((k, pid) for k, ids in EXPECT.items() for pid in ids)
     assert got == expect
+
+
+def test_assign_neighborhood_default_cell(spark):
+    from orderlake.operators import assign_neighborhood
+    out = {r.order_id: r.polygon_id for r in assign_neighborhood(_points(spark), tf.polygons(spark)).collect()}
+    assert out["overlap"] == 1 and out["in_ring"] == 2 and out["notch"] is None
