@@ -33,6 +33,8 @@ from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 # Relative slack on cell bands, so rounding in x / cell never drops an edge.
 _EPS = 1e-9
+# Name of the joined candidate list on the point side (kept clear of user columns).
+_CANDIDATES = "_ol_candidates"
 
 
 def polygon_bounds(polys: DataFrame, id_col: str = "polygon_id", rings: str = "rings") -> DataFrame:
@@ -122,17 +124,20 @@ def cell_index(polys: DataFrame, cell, id_col: str = "polygon_id",
 def _with_candidates(points: DataFrame, index: DataFrame, cell, x: str, y: str,
                      max_broadcast_rows: int) -> DataFrame:
     wx, wy = _cell_size(cell)
-    keyed = points.withColumns({"cx": F.floor(F.col(x) / F.lit(wx)), "cy": F.floor(F.col(y) / F.lit(wy))})
+    keyed = points.withColumns({"_ol_cx": F.floor(F.col(x) / F.lit(wx)),
+                                "_ol_cy": F.floor(F.col(y) / F.lit(wy))})
     # Size of one index row: key, and per candidate its ids plus 32 bytes per edge.
     size = F.aggregate("candidates", F.lit(32).cast("bigint"),
                        lambda acc, p: acc + 24 + 32 * F.size(p["edges"]))
     small = broadcast_if_bounded(index, max_broadcast_rows, BROADCAST_MAX_BYTES, size)
-    return keyed.join(small, on=["cx", "cy"], how="left").drop("cx", "cy")
+    small = small.select(F.col("cx").alias("_ol_cx"), F.col("cy").alias("_ol_cy"),
+                         F.col("candidates").alias(_CANDIDATES))
+    return keyed.join(small, on=["_ol_cx", "_ol_cy"], how="left").drop("_ol_cx", "_ol_cy")
 
 
 def _hits(x: str, y: str) -> Column:
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    return F.filter("candidates", lambda p: inside(p["edges"], px, py))
+    return F.filter(_CANDIDATES, lambda p: inside(p["edges"], px, py))
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, cell,
@@ -142,9 +147,9 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, cell,
     """One row per (point, polygon that strictly contains it)."""
     idx = cell_index(polys, cell, id_col, rings)
     joined = _with_candidates(points, idx, cell, x, y, max_broadcast_rows)
-    return (joined.withColumn("_hit", F.explode(_hits(x, y)))
-            .withColumn(out_col, F.col("_hit")["id"])
-            .drop("_hit", "candidates"))
+    return (joined.withColumn("_ol_hit", F.explode(_hits(x, y)))
+            .withColumn(out_col, F.col("_ol_hit")["id"])
+            .drop("_ol_hit", _CANDIDATES))
 
 
 def assign_polygon(points: DataFrame, polys: DataFrame, cell,
@@ -156,7 +161,7 @@ def assign_polygon(points: DataFrame, polys: DataFrame, cell,
     idx = cell_index(polys, cell, id_col, rings, priority)
     joined = _with_candidates(points, idx, cell, x, y, max_broadcast_rows)
     return (joined.withColumn(out_col, F.get(_hits(x, y), 0)["id"])
-            .drop("candidates"))
+            .drop(_CANDIDATES))
 
 
 def within(points: DataFrame, polys: DataFrame, cell, id_col: str = "polygon_id",
@@ -165,7 +170,7 @@ def within(points: DataFrame, polys: DataFrame, cell, id_col: str = "polygon_id"
     """Semi-join: points strictly inside at least one polygon of the layer."""
     idx = cell_index(polys, cell, id_col, rings)
     joined = _with_candidates(points, idx, cell, x, y, max_broadcast_rows)
-    return joined.where(F.size(_hits(x, y)) > 0).drop("candidates")
+    return joined.where(F.size(_hits(x, y)) > 0).drop(_CANDIDATES)
 
 
 def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell,

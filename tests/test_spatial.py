@@ -109,3 +109,10 @@ def test_assign_neighborhood_default_cell(spark):
     from orderlake.operators import assign_neighborhood
     out = {r.order_id: r.polygon_id for r in assign_neighborhood(_points(spark), tf.polygons(spark)).collect()}
     assert out["overlap"] == 1 and out["in_ring"] == 2 and out["notch"] is None
+
+
+def test_point_columns_named_like_internals_survive(spark):
+    pts = _points(spark).selectExpr("*", "'keep' AS cx", "'keep' AS candidates")
+    out = points_in_polygons(pts, tf.polygons(spark), 1.0)
+    assert {"cx", "candidates"} <= set(out.columns)
+    assert {r.cx for r in out.collect()} == {"keep"}
