@@ -22,3 +22,13 @@ def test_flatten_rename_literal_filter_sample(spark):
     pts = spark.createDataFrame([(0.91, 0.37), (0.91, 0.38)], "latitude double, longitude double")
     assert at_coordinate(pts, 0.91, 0.37).count() == 1
     assert [r.a for r in sample_dim(flat, ["a"], ["a DESC"], 2).collect()] == [2, 1]
+
+
+def test_unions_positional_and_by_name(spark):
+    from orderlake.operators import append_orders, union_versions
+    a = spark.createDataFrame([(1, "x")], "object_id int, order_id string")
+    b = spark.createDataFrame([(2, "y")], "other int, name string")  # positional: names ignored
+    assert [tuple(r) for r in append_orders(a, b, a).collect()] == [(1, "x"), (2, "y"), (1, "x")]
+    old = spark.createDataFrame([("z",)], "order_id string")           # 7-field ancestor shape
+    out = {r.order_id: r.object_id for r in union_versions(a, old).collect()}
+    assert out == {"x": 1, "z": None}

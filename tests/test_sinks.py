@@ -58,3 +58,15 @@ def test_overwrite_of_a_table_read_by_the_plan_fails(spark, scratch):
     with pytest.raises(AnalysisException):
         replace_table(scan_table(spark, f"{db}.silver").where("quantity_products > 0"), f"{db}.silver")
     assert scan_table(spark, f"{db}.silver").count() == feed.count()  # left intact
+
+
+def test_append_layer_and_publish_dims(spark, scratch):
+    from orderlake.sinks import append_layer, publish_dims
+    feed = tf.feed(spark, SF)
+    append_layer(feed, f"{scratch}/raw")
+    append_layer(feed, f"{scratch}/raw")
+    assert spark.read.parquet(f"{scratch}/raw").count() == 2 * feed.count()
+    out = publish_dims(spark, [f"{SF}/nation.parquet", f"{SF}/region.parquet/"], f"{scratch}/dims")
+    assert sorted(out) == ["nation", "region"]
+    publish_dims(spark, {"nation": f"{SF}/nation.parquet"}, f"{scratch}/dims")  # overwrite, not append
+    assert spark.read.parquet(out["nation"]).count() == 25
