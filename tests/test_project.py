@@ -32,3 +32,10 @@ def test_unions_positional_and_by_name(spark):
     old = spark.createDataFrame([("z",)], "order_id string")           # 7-field ancestor shape
     out = {r.order_id: r.object_id for r in union_versions(a, old).collect()}
     assert out == {"x": 1, "z": None}
+
+
+def test_neighborhood_dim_aliases(spark):
+    from orderlake.operators import neighborhood_dim
+    nb = spark.createDataFrame([(1, "n", "c", "x")], "OBJECTID int, NOMBRE string, IDENTIFICACION string, CODIGO string")
+    out = neighborhood_dim(nb)
+    assert out.columns == ["object_id", "neighborhood", "commune"] and tuple(out.first()) == (1, "n", "c")

@@ -70,3 +70,13 @@ def test_append_layer_and_publish_dims(spark, scratch):
     assert sorted(out) == ["nation", "region"]
     publish_dims(spark, {"nation": f"{SF}/nation.parquet"}, f"{scratch}/dims")  # overwrite, not append
     assert spark.read.parquet(out["nation"]).count() == 25
+
+
+def test_parquet_and_json_scans(spark, scratch):
+    from orderlake.sources import read_bronze_json, read_parquet
+    assert read_parquet(spark, f"{SF}/nation.parquet").count() == 25
+    spark.range(1).selectExpr("'{\"object_id\": \"7\", \"order_id\": \"a\", \"x\": 1}' AS value") \
+        .write.text(f"{scratch}/json")
+    row = read_bronze_json(spark, f"{scratch}/json", ORDER_SCHEMA).first()
+    assert read_bronze_json(spark, f"{scratch}/json", ORDER_SCHEMA).schema == ORDER_SCHEMA  # no inference
+    assert row.order_id == "a" and row.latitude is None
