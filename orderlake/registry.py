@@ -13,20 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import testfeed as tf
-from .functions.timeparts import epoch_to_text, text_to_epoch, time_parts_by_substring, parse_event_time
+from .functions.timeparts import epoch_to_text, parse_event_time, text_to_epoch, time_parts_by_substring
 from .operators import (add_customer, add_employee, add_neighborhood, append_orders,
-                        assign_polygon, at_coordinate, count_rows, latest, latest_first,
+                        assign_polygon, at_coordinate, count_rows, flush_plan, latest, latest_first,
                         lookup_by_coordinate, neighborhood_dim, pick, points_in_polygons,
                         qty_by_event_time, qty_by_neighborhood, rename, sample_dim,
                         union_versions, vertex_bounds, with_constant, within_area)
 from .plans import add_time_parts, to_gold, to_silver
-from .operators.flush import flush_plan
 from .schemas import ORDER_SCHEMA, SILVER_COLUMNS
-from .streaming import parse_orders, quarantine, run_silver, start_ingest
 from .session import scratch_path
 from .sinks import append_layer, append_table, export_csv, publish_dims, replace_table, write_layer
 from .sources import (empty_orders, init_catalog, list_tables, orders_stream, read_bronze_json,
                       read_landing, read_parquet, scan_table)
+from .streaming import parse_orders, quarantine, run_silver, start_ingest
 
 # Grid cell of the spatial joins: about the width of a test polygon.
 CELL = 1.0
