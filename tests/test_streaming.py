@@ -187,3 +187,15 @@ def test_single_parse_ingest_with_quarantine(spark, scratch):
     lines = spark.read.text(f"{scratch}/wire/*")
     ingest_batch_handler(raw, bad)(lines, 0)  # a retry of batch 0 leaves the committed folders alone
     assert sorted(spark.read.parquet(f"{raw}/batch-*").inputFiles()) == files
+
+
+def test_planned_ingest_entry_point(spark, scratch):
+    import pytest
+
+    from orderlake.streaming import ingest
+    tf.wire_lines(spark, SF).write.text(f"{scratch}/wire/a")
+    lines = orders_stream(spark, "text", f"{scratch}/wire/*")
+    with pytest.raises(ValueError):
+        ingest(lines, f"{scratch}/raw", f"{scratch}/_ckpt", min_rows=51)  # gate needs staging
+    ingest(lines, f"{scratch}/raw", f"{scratch}/_ckpt", trigger={"availableNow": True}).awaitTermination()
+    assert _same(spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw"), tf.feed(spark, SF))
