@@ -36,3 +36,22 @@ def test_epoch_roundtrip_and_substring_parts(spark):
 def test_substr_start_zero_acts_like_one(spark):
     out = spark.range(1).select(F.lit("2024-06-05").substr(0, 4).alias("y")).first()
     assert out.y == "2024"
+
+
+def test_time_parts_property(spark):
+    """Random wall times written as feed text parse back to the same calendar parts."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.datetimes(min_value=dt.datetime(1950, 1, 1), max_value=dt.datetime(2100, 12, 31)),
+                    min_size=1, max_size=20))
+    def check(times):
+        texts = [t.replace(microsecond=0) for t in times]
+        df = spark.createDataFrame([(t.strftime("%d/%m/%Y %H:%M:%S"),) for t in texts], "date string")
+        got = [(r.event_year, r.event_month, r.event_day, r.event_hour, r.event_minute, r.event_second,
+                r.partition_date) for r in add_time_parts(df).collect()]
+        assert got == [(t.year, t.month, t.day, t.hour, t.minute, t.second, t.strftime("%d%m%Y"))
+                       for t in texts]
+
+    check()
