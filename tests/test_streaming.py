@@ -199,3 +199,17 @@ def test_planned_ingest_entry_point(spark, scratch):
         ingest(lines, f"{scratch}/raw", f"{scratch}/_ckpt", min_rows=51)  # gate needs staging
     ingest(lines, f"{scratch}/raw", f"{scratch}/_ckpt", trigger={"availableNow": True}).awaitTermination()
     assert _same(spark.read.schema(ORDER_SCHEMA).parquet(f"{scratch}/raw"), tf.feed(spark, SF))
+
+
+def test_layer_view_over_partitioned_silver(spark, scratch):
+    from conftest import plan_text
+
+    from orderlake.sources import register_layer
+    feed, nb = tf.feed(spark, SF), tf.neighborhoods(spark, SF)
+    write_layer(feed, f"{scratch}/raw", 1)
+    run_silver(spark, f"{scratch}/raw/run-*", nb, f"{scratch}/silver", f"{scratch}/_ckpt")
+    view = register_layer(spark, "silver_view_" + scratch.rsplit("-", 1)[-1], f"{scratch}/silver")
+    one_day = spark.table(view).where("event_year = 2024 AND event_month = 1 AND event_day = 2")
+    assert "PartitionFilters" in plan_text(one_day)
+    assert one_day.count() == to_silver(feed, nb).where(
+        "event_year = 2024 AND event_month = 1 AND event_day = 2").count()
