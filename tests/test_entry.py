@@ -11,6 +11,8 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_mod  # noqa: E402
+from orderlake.oracles import ORACLES  # noqa: E402
+from orderlake.registry import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "events"]
@@ -45,10 +47,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLES) <= set(entry_mod.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = entry_mod.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
