@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import chat, langid, urlrules
 from .common import table
 
 
@@ -21,6 +21,33 @@ def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+#: The rules that op10 judges by.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op10_url_filters(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    judged = urlrules.judge(pages, urlrules.rules_frame(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "by_alias")
+
+
+#: The conversation that op5 adds to the table.
+PLANTED_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op5_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED_TEXT), (-7, 1, "assistant", PLANTED_TEXT)], turns.schema)
+    back = chat.read_back(chat.format_chats(turns.unionByName(planted)))
+    lines = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name.startswith("op") and callable(fn)}
 ORACLES: dict[str, str] = {}
