@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a SparkContext, so that tasks can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_orderlake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    to = os.path.join(tempfile.mkdtemp(prefix="orderlake-code-"), "orderlake.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(to)
+    context._orderlake_shipped = True
+
+
+def arrow_map(df: DataFrame, task: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the task."""
+    ship(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` less the columns an operator is about to add (compared without case, as Spark does)."""
     new = {n.lower() for n in names}

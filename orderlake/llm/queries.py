@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, urlrules
+from ..session import scratch_path
+from . import bitpack, chat, langid, packing, tokens, urlrules
 from .common import table
 
 
@@ -48,6 +49,23 @@ def op5_chat_format(spark: SparkSession, d: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+#: Tokenizers, vocabulary sizes and end ids of op3 and op4.
+FILE_TOKENIZER, FILE_VOCABULARY, FILE_END = "byte_bpe_50k.json", 50_257, 2
+PACK_TOKENIZER, PACK_END, SEQUENCE = "word_bpe_49k.json", 1, 2048
+
+
+def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    bitpack.write_ids(table(spark, d, "documents").select("doc_id", "text"), path,
+                      tokens.public_path(FILE_TOKENIZER), FILE_VOCABULARY, FILE_END)
+    return bitpack.read_documents(bitpack.blocks(spark, path))
+
+
+def op4_packing(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokens.public_path(PACK_TOKENIZER), PACK_END, SEQUENCE)
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name.startswith("op") and callable(fn)}
 ORACLES: dict[str, str] = {}
