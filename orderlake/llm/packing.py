@@ -30,6 +30,8 @@ from .common import arrow_map, settle
 
 GRAIN = 8
 EPS = 1e-9
+#: Pivots end when the bound on what they can still save is below this share of all sequences.
+SLACK = 2e-4
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -61,24 +63,24 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_pivots: int
     if not m:
         return []
     basis = np.diag((capacity // sizes).astype(float))
-    inverse = np.linalg.inv(basis)
-    uses = inverse @ demand
+    inverse = np.diag(1 / np.diag(basis))
+    dot = np.einsum  # small products; BLAS threads would only wait for each other on a busy driver
+    uses = dot("ij,j->i", inverse, demand)
     for pivot in range(max_pivots):
         value, pattern = best_pattern(inverse.sum(0), sizes, capacity)  # every pattern costs one sequence
-        if value <= 1 + 1e-7:
-            break
-        step = inverse @ pattern
+        if value <= 1 + 1e-7 or uses.sum() * (1 - 1 / value) < max(0.2, SLACK * uses.sum()):
+            break  # no dual solution can save more than that
+        step = dot("ij,j->i", inverse, pattern)
         ratio = np.full(m, np.inf)
         np.divide(uses, step, out=ratio, where=step > 1e-9)
         out = int(ratio.argmin())
         basis[:, out] = pattern
-        if pivot % 200 == 199:  # afresh, against rounding
-            inverse = np.linalg.inv(basis)
-        else:
-            inverse[out] /= step[out]
-            rest = np.arange(m) != out
-            inverse[rest] -= np.outer(step[rest], inverse[out])
-        uses = np.maximum(inverse @ demand, 0)
+        inverse[out] /= step[out]
+        rest = np.arange(m) != out
+        inverse[rest] -= step[rest, None] * inverse[out]
+        if pivot % 500 == 499:  # a Newton step against rounding
+            inverse = 2 * inverse - dot("ij,jk->ik", inverse, dot("ij,jk->ik", basis, inverse))
+        uses = np.maximum(dot("ij,j->i", inverse, demand), 0)
     plan, left = [], demand.astype(np.int64).copy()
     for j in np.argsort(-uses):
         pattern = basis[:, j].astype(np.int64)
