@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, langid, packing, tokens, urlrules
+from . import bitpack, chat, decontaminate, langid, packing, tokens, urlrules
 from .common import table
 
 
@@ -66,6 +66,25 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(docs, tokens.public_path(PACK_TOKENIZER), PACK_END, SEQUENCE)
 
 
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name.startswith("op") and callable(fn)}
-ORACLES: dict[str, str] = {}
+
+#: Distinct five-word shingles of a text (its whole sequence with fewer words, none without words).
+_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x20\\x09-\\x0D]+')")
+_SHINGLES = """(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"""
+
+ORACLES: dict[str, str] = {
+    "op7_decontamination": f"""
+WITH d AS (SELECT doc_id, unnest({_SHINGLES}) AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+b AS (SELECT item_id, unnest({_SHINGLES}) AS s FROM (SELECT DISTINCT item_id, text, {_WORDS} AS w FROM benchmark)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+p AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM p JOIN n USING (item_id) WHERE n_shared >= 0.75 * n_shingles""",
+}
