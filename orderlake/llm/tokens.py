@@ -17,7 +17,7 @@ from functools import cache
 import numpy as np
 
 #: Words whose ids a worker keeps; beyond that it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 #: White space is plain, letters are ASCII or Latin-1 (composed), and no special token can occur.
 SAFE = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]*")
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -44,17 +44,17 @@ class Words:
         self.used = 0
 
     def learn(self, words: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, e in zip(words, got):
-            k, ids = len(self.number), e.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if k + 2 > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.ends[k + 1] = self.used
-            self.number[word] = k
+        got = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids, k = np.array(got.ids, np.uint32), len(self.number)
+        size = np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while k + len(words) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.ends[k + 1:k + 1 + len(words)] = self.used + np.cumsum(size)
+        self.used += len(ids)
+        self.number.update(zip(words, range(k, k + len(words))))
 
     def encode(self, text: str) -> np.ndarray:
         if not SAFE.fullmatch(text) or "<|" in text:
@@ -62,14 +62,12 @@ class Words:
         words = (self.words if "'" in text else self.pieces)(text)
         if not words:
             return np.zeros(0, np.uint32)
-        number = self.number
-        new = [w for w in dict.fromkeys(words) if w not in number]
-        if new:
-            if len(number) + len(new) > CACHE_WORDS and number:
+        if new := set(words).difference(self.number):
+            if len(self.number) + len(new) > CACHE_WORDS and self.number:
                 self.clear()
-                number, new = self.number, list(dict.fromkeys(words))
-            self.learn(new)
-        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                new = set(words)
+            self.learn(list(new))
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         first = self.ends[at]
         size = self.ends[at + 1] - first
         ends = np.cumsum(size)
