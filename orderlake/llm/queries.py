@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, decontaminate, langid, packing, tokens, urlrules
+from . import bitpack, chat, decontaminate, langid, packing, quality, tokens, urlrules
 from .common import table
 
 
@@ -70,6 +70,13 @@ def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Documents have no url: their source stands for the host, their language for the path."""
+    judged = quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+    keep = (F.col("quality") >= 0.5) & (F.col("toxic") < 0.5)
+    return judged.select("doc_id", "quality", "toxic", "quality_site", "toxic_site", keep.alias("keep"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name.startswith("op") and callable(fn)}
 

@@ -35,17 +35,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, ends): the shingles of all texts in order; text i's end before ``ends[i]``."""
+def hashed_words(texts: list[bytes], space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): the words of all texts in order; text i's end before ``ends[i]``.
+
+    ``space`` says of every byte value whether it parts words (a space must).
+    """
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = SPACE[data]
-    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
-    stops = np.flatnonzero(space & np.concatenate([[False], ~space[:-1]]))
+    parts = space[data]
+    starts = np.flatnonzero(~parts & np.concatenate([[True], parts[:-1]]))
+    stops = np.flatnonzero(parts & np.concatenate([[False], ~parts[:-1]]))
     up, down = powers(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[data] * up[:-1], dtype=np.uint64)])
     words = mix64((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
-    text_ends = np.cumsum([len(t) + 1 for t in texts])
-    word_ends = np.searchsorted(starts, text_ends)
+    return words, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+
+
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): the shingles of all texts in order; text i's end before ``ends[i]``."""
+    words, word_ends = hashed_words(texts)
     n_words = np.diff(word_ends, prepend=0)
     whole = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
     for k in range(WORDS):
