@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, decontaminate, langid, packing, quality, tokens, urlrules
-from .common import table
+from . import bitpack, chat, decontaminate, fingerprint, langid, packing, quality, tokens, urlrules
+from .common import settle, table
 
 
 def held_out(key: Column) -> Column:
@@ -70,6 +70,23 @@ def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op1_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    docs = fingerprint.with_next(table(spark, d, "documents"), "doc_id", "text")
+    half = F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
+    sides = {"own": "text", "edit": "edited", "next": "next_text"}
+    rows = settle(docs.withColumn("edited", edited).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        *[fingerprint.paragraphs(F.col(c)).alias(n) for n, c in sides.items()], F.monotonically_increasing_id().alias("uid")), "texts")
+    near = fingerprint.likeness(rows, "own", ["edit", "next"])
+    found = fingerprint.elements(rows.select("uid", "own", "edit").repartition("uid"), ["own", "edit"], ["uid"])
+    prints = fingerprint.fingerprints(found, ["uid", "side"]).groupBy("uid").agg(
+        *[F.max(F.when(F.col("side") == i, F.col("fingerprint"))).alias(n) for i, n in enumerate(("fingerprint", "edited_fingerprint"))])
+    return rows.select("uid", "doc_id", "n_chars", "edited_sha256").join(near, "uid").join(prints, "uid", "left").select(
+        "doc_id", "n_chars", "edited_sha256", *[F.coalesce(n, F.lit(fingerprint.EMPTY)).alias(n) for n in ("fingerprint", "edited_fingerprint")],
+        F.col("near0").alias("near_edited"), F.col("near1").alias("near_next"))
+
+
 def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     """Documents have no url: their source stands for the host, their language for the path."""
     judged = quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
