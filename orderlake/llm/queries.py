@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, decontaminate, fingerprint, langid, packing, quality, tokens, urlrules
+from . import bitpack, chat, decontaminate, fingerprint, jaccard, langid, packing, quality, tokens, urlrules
 from .common import settle, table
 
 
@@ -66,6 +66,10 @@ def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(docs, tokens.public_path(PACK_TOKENIZER), PACK_END, SEQUENCE)
 
 
+def op6_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -104,6 +108,13 @@ _SHINGLES = """(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1,
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"""
 
 ORACLES: dict[str, str] = {
+    "op6_jaccard_join": f"""
+WITH RECURSIVE s AS (SELECT doc_id, {_SHINGLES} AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+n AS (SELECT doc_id, len(s) AS n FROM s), u AS (SELECT doc_id, unnest(s) AS s FROM s),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM u x JOIN u y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 75 * (p.n + q.n - i)),
+r(doc_id, o) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.o)
+SELECT n.doc_id, n AS n_shingles, min(o) AS component_id FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n""",
     "op7_decontamination": f"""
 WITH d AS (SELECT doc_id, unnest({_SHINGLES}) AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
 b AS (SELECT item_id, unnest({_SHINGLES}) AS s FROM (SELECT DISTINCT item_id, text, {_WORDS} AS w FROM benchmark)),
