@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, decontaminate, fingerprint, jaccard, langid, packing, quality, tokens, urlrules
+from . import bitpack, chat, decontaminate, fingerprint, jaccard, langid, packing, quality, suffixes, tokens, urlrules
 from .common import settle, table
 
 
@@ -15,6 +15,11 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    cut = suffixes.dedupe(table(spark, d, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     train = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
