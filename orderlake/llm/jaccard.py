@@ -80,11 +80,12 @@ def _class_of(tokens: np.ndarray) -> int:
 
 
 def _docs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       F.xxhash64(F.col(text).cast("string")).alias("mark"))
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: a document (doc_id, n, class, small: its shingles if few), or a frequent shingle (token, n)."""
+    """Rows of two kinds: a document (doc_id, mark, n, class, small: its shingles if few), or a frequent shingle (token, n)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk: list[np.ndarray] = []
         held = 0
@@ -94,7 +95,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             often = n > OFTEN
             none = pa.nulls(int(often.sum()), pa.int64())
             return pa.RecordBatch.from_arrays([none, pa.array(n[often]), none, pa.nulls(len(none), pa.binary()),
-                                               pa.array(tokens[often].view(np.int64))], names=["doc_id", "n", "class", "small", "token"])
+                                               pa.array(tokens[often].view(np.int64)), none], names=names)
 
         for batch in batches:
             for first, texts in text_slices(batch.column(1)):
@@ -103,7 +104,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([len(s) for s in found], pa.int64()), pa.array([_class_of(s) for s in found], pa.int64()),
                     pa.array([s.tobytes() if len(s) <= LIGHT_MOST else None for s in found], pa.binary()),
-                    pa.nulls(len(found), pa.int64())], names=["doc_id", "n", "class", "small", "token"])
+                    pa.nulls(len(found), pa.int64()), batch.column(2).slice(first, len(texts))], names=names)
                 chunk += found
                 held += sum(map(len, found))
                 if held >= CHUNK:
@@ -112,7 +113,8 @@ def sets_of(docs: DataFrame) -> DataFrame:
         if chunk:
             yield frequent()
 
-    return arrow_map(docs, read, "doc_id long, n long, class long, small binary, token long")
+    names = ["doc_id", "n", "class", "small", "token", "mark"]
+    return arrow_map(docs, read, "doc_id long, n long, class long, small binary, token long, mark long")
 
 
 def light_links(classes: DataFrame, most: int) -> DataFrame:
@@ -234,10 +236,14 @@ def heavy_links(docs: DataFrame, classes: DataFrame, often: np.ndarray, least: i
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, class, component_id: the least key that links lead to, a row a document."""
+    """doc_id, mark, n_shingles, group, component_id, a row a document.
+
+    ``mark`` is a hash of the text, ``group`` the component (null for an empty set) and ``component_id`` the
+    least key in it.
+    """
     docs = _docs(docs, key, text)
     read = settle(sets_of(docs), "shingle-sets")
-    sets = read.where("class is not null").select("doc_id", "n", "class", "small")
+    sets = read.where("class is not null").select("doc_id", "n", "class", "small", "mark")
     counts = read.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
     often = np.sort(np.array([r["token"] for r in counts.orderBy(F.desc("n"), "token").limit(OFTEN_MOST).select("token").toLocalIterator()],
                              np.int64).view(np.uint64))
@@ -248,9 +254,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     heavy = heavy_links(docs, classes, often, -(-PERCENT * (most + 1) // 100), light)
     groups = connected_components(light.unionByName(heavy)).withColumnRenamed("node", "class")
     named = classes.select("class", "rep").join(groups, "class")
-    names = settle(named.join(named.groupBy("component").agg(F.min("rep").alias("name")), "component").select("class", "name"), "names")
-    own = classes.select("class", "rep").join(names, "class", "left").select("class", F.coalesce("name", "rep").alias("component_id"))
-    full = sets.where("n > 0").select("doc_id", "n", "class").join(own, "class").select(
-        "doc_id", F.col("n").alias("n_shingles"), "class", "component_id")
-    empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), "class", F.col("doc_id").alias("component_id"))
+    names = settle(named.join(named.groupBy("component").agg(F.min("rep").alias("name")), "component")
+                   .select("class", "name", "component"), "names")
+    own = classes.select("class", "rep").join(names, "class", "left").select(
+        "class", F.coalesce("component", "class").alias("group"), F.coalesce("name", "rep").alias("component_id"))
+    full = sets.where("n > 0").select("doc_id", "mark", "n", "class").join(own, "class").select(
+        "doc_id", "mark", F.col("n").alias("n_shingles"), "group", "component_id")
+    empty = sets.where("n = 0").select("doc_id", "mark", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("group"),
+                                       F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: the one with the least key (then the least mark).
+
+    Documents with an empty set all stay. Rows with the same key and text are one document.
+    """
+    found = settle(near_duplicates(docs, key, text), "near-duplicates")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    best = found.where("group is not null").groupBy("group").agg(first).select("first.doc_id", "first.mark")
+    times = found.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("times"))
+    stay = best.unionByName(found.where("group is null").select("doc_id", "mark")).distinct()
+    same = (stay["doc_id"].eqNullSafe(times["doc_id"])) & (stay["mark"] == times["mark"])
+    stay = settle(stay.join(times, same).select(stay["doc_id"].alias("_doc_id"), stay["mark"].alias("_mark"), "times"), "stay")
+    marked = docs.withColumn("_m", F.xxhash64(F.col(text).cast("string")))
+
+    def kept(which: DataFrame) -> DataFrame:
+        which = broadcast_if_bounded(which.drop("times"))
+        return marked.join(which, F.col(key).cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_m") == F.col("_mark")), "left_semi")
+
+    repeated = kept(stay.where("times > 1")).dropDuplicates([key, "_m"])
+    return kept(stay.where("times = 1")).unionByName(repeated).drop("_m")

@@ -296,8 +296,9 @@ def spans_of(found: DataFrame, holders: DataFrame) -> DataFrame:
 
 
 def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs) and kept, the bytes that stay."""
-    new = ["n_bytes", "n_removed", "n_spans", "kept"]
+    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs), kept, the bytes that stay, and kept_text,
+    the same as text."""
+    new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
     docs = without(docs, new)
     texts = _texts(docs, key, text)
     thin = settle(texts.select("doc", "one", "two", "n"), "texts")
@@ -337,7 +338,8 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 removed.append(len(raw) - len(kept[-1]))
                 runs.append(len(whole))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                                              pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
+                                              pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
+                                              pa.array([k.decode(errors="ignore") for k in kept], pa.string())],
                                              names=[*batch.schema.names[:-1], *new])
 
-    return arrow_map(rows, cut, extended(docs, "n_bytes long, n_removed long, n_spans long, kept binary"))
+    return arrow_map(rows, cut, extended(docs, "n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"))
