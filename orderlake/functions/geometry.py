@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 
 def ring_edges(rings: Column | str = "rings") -> Column:
-    """All closed-ring edges of a polygon as one array of (x1, y1, x2, y2)."""
+    """All closed-ring edges of a polygon as one array of (x1, y1, x2, y2); empty rings have none."""
     r = F.col(rings) if isinstance(rings, str) else rings
 
     def edges_of(ring: Column) -> Column:
@@ -27,7 +27,7 @@ def ring_edges(rings: Column | str = "rings") -> Column:
                 ring[(i + 1) % n]["x"].cast("double").alias("x2"),
                 ring[(i + 1) % n]["y"].cast("double").alias("y2")))
 
-    return F.flatten(F.transform(r, edges_of))
+    return F.flatten(F.transform(F.filter(r, lambda ring: F.size(ring) > 0), edges_of))
 
 
 def _crosses(e: Column, px: Column, py: Column) -> Column:
@@ -48,12 +48,6 @@ def _on_edge(e: Column, px: Column, py: Column) -> Column:
     return collinear & in_box
 
 
-def on_boundary(edges: Column | str, px: Column, py: Column) -> Column:
-    """True if (px, py) lies on some edge (vertices included)."""
-    ed = F.col(edges) if isinstance(edges, str) else edges
-    return F.exists(ed, lambda e: _on_edge(e, px, py))
-
-
 # Added to the crossing count when the point lies on an edge; far above any real count.
 _ON_EDGE = 1 << 32
 

@@ -22,11 +22,6 @@ def parse_event_time(text: Column | str, fmt: str = EVENT_TIME_FORMAT) -> Column
     return F.try_to_timestamp(_col(text), F.lit(fmt))
 
 
-def event_time(text: Column | str = "date", fmt: str = EVENT_TIME_FORMAT) -> Column:
-    """Alias of :func:`parse_event_time` named after the silver column."""
-    return parse_event_time(text, fmt)
-
-
 def time_parts(ts: Column | str = "event_date") -> dict[str, Column]:
     """F2–F8: ``partition_date`` text and six INT calendar parts of ``ts``."""
     t = _col(ts)

@@ -1,30 +1,39 @@
 """Scheduled entry points (T4): each run processes what is new and stops.
 
-    python -m orderlake.jobs ingest --wire W --raw R [--bad Q | --staging S --threshold 50]
-    python -m orderlake.jobs silver --raw R --neighborhoods N --silver S [--polygons P]
-    python -m orderlake.jobs gold   --silver S --customers C --employees E --gold G
+    python -m orderlake.jobs ingest  --wire W --raw R [--quarantine | --threshold 50] [--catalog DB]
+    python -m orderlake.jobs silver  --raw R --neighborhoods N --silver S [--landing | --gated] [--polygons P]
+    python -m orderlake.jobs gold    --silver S --customers C --employees E --gold G [--gated]
     python -m orderlake.jobs reports --gold G --out O
+    python -m orderlake.jobs init    --db DB --dims customers=C employees=E ...
+    python -m orderlake.jobs publish --out O --dims customers=C ...
 
-With ``--bad`` the raw layer is one folder per micro-batch (read it as
-``R/batch-*``); otherwise it is a file-sink folder (read it as ``R``).
-Dimensions are Parquet paths or catalog table names (a bucketed table keeps
-its bucketing, so a sort-merge join shuffles only the orders). A scheduler calls these at its own cadence (30 min for silver and 60 min for
-gold in the reference) and may retry them: each job resumes from its checkpoint
-below ``--state`` (default: the session's ``spark.checkpoint.dir``), so a retry
-or an early re-run neither skips nor doubles input. Nothing runs at import time.
+``--quarantine`` lands orders and rejected lines in one folder (read it with ``--landing``);
+``--threshold`` makes R the staging folder of the count gate (read it with ``--gated``, as are the layers made from it). The
+two forms exclude each other. Dimensions are Parquet paths or catalog table names (a bucketed table
+keeps its bucketing, so a sort-merge join shuffles only the orders). With ``--catalog`` a job makes its
+layer a view of that database (bronze, silver, gold): the folder is the only copy.
+
+A scheduler calls these at its own cadence (30 min for silver and 60 min for gold in the reference) and may
+retry them. Each job's checkpoint lies with its output (or below ``--state``) and is bound to its
+input; a job that would mix two inputs in one state is refused. Nothing runs at import time.
 """
 
 from __future__ import annotations
 
 import argparse
 
+from .plans.gold import to_gold
 from .plans.reports import export_reports
-from .schemas import SILVER_SCHEMA
-from .session import build_session, shared_root
+from .plans.silver import to_silver
+from .schemas import GOLD_COLUMNS, SILVER_SCHEMA
+from .session import build_session
+from .sinks.files import publish_dims
+from .sources.catalog import init_catalog, register_query
 from .sources.files import read_parquet
 from .sources.stream import orders_stream
-from .streaming.incremental import run_gold, run_silver
-from .streaming.ingest import start_gated_ingest, start_ingest, start_ingest_with_quarantine
+from .streaming.incremental import bound_checkpoint, run_gold, run_silver
+from .streaming.ingest import (consume_flushes, read_consumed, start_gated_ingest, start_ingest,
+                               start_ingest_with_quarantine)
 
 
 def _dimension(spark, ref: str):
@@ -32,37 +41,86 @@ def _dimension(spark, ref: str):
     return spark.table(ref) if "/" not in ref else read_parquet(spark, ref)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="orderlake.jobs")
-    ap.add_argument("job", choices=["ingest", "silver", "gold", "reports"])
-    for opt in ("wire", "raw", "bad", "staging", "polygons", "neighborhoods", "silver", "customers", "employees",
-                "gold", "out", "state"):
-        ap.add_argument(f"--{opt}")
-    ap.add_argument("--threshold", type=int, default=None,
-                    help="ingest: buffer micro-batches until more than this many rows")
-    args = ap.parse_args(argv)
+    jobs = ap.add_subparsers(dest="job", required=True)
+
+    def job(name: str, *needed: str, dims: bool = False, stream: bool = False) -> argparse.ArgumentParser:
+        p = jobs.add_parser(name)
+        for opt in needed:
+            p.add_argument(f"--{opt}", required=True)
+        if dims:
+            p.add_argument("--dims", nargs="+", required=True, metavar="NAME=REF")
+        if stream:
+            p.add_argument("--state")
+            p.add_argument("--catalog")
+            p.add_argument("--max-files", type=int, help="files a micro-batch takes at most")
+        return p
+
+    form = job("ingest", "wire", "raw", stream=True).add_mutually_exclusive_group()
+    form.add_argument("--quarantine", action="store_true", help="land rejected lines next to the orders")
+    form.add_argument("--threshold", type=int, help="hold micro-batches until more than this many rows")
+    silver = job("silver", "raw", "neighborhoods", "silver", stream=True)
+    silver.add_argument("--polygons")
+    silver.add_argument("--priority", help="polygon column that says which comes first")
+    kind = silver.add_mutually_exclusive_group()
+    kind.add_argument("--landing", action="store_true", help="raw is the folder of an ingest with quarantine")
+    kind.add_argument("--gated", action="store_true", help="raw is the staging folder of a gated ingest")
+    job("gold", "silver", "customers", "employees", "gold", stream=True).add_argument("--gated", action="store_true")
+    job("reports", "gold", "out")
+    job("init", "db", dims=True)
+    job("publish", "out", dims=True)
+    return ap
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _parser().parse_args(argv)
     spark = build_session(app=f"orderlake-{args.job}")
-    state = (args.state or f"{shared_root(spark)}/orderlake-state").rstrip("/")
     once = {"availableNow": True}
     if args.job == "ingest":
-        lines = orders_stream(spark, "text", args.wire)
-        if args.bad:  # one parse per line: orders to raw/batch-<id>, rejects to bad/batch-<id>
-            start_ingest_with_quarantine(lines, args.raw, args.bad, f"{state}/ingest-q",
-                                         trigger=once).awaitTermination()
+        kind = "ingest-q" if args.quarantine else "ingest" if args.threshold is None else "ingest-gated"
+        state = bound_checkpoint(spark, kind, args.wire, args.raw, args.state)
+        more = {"maxFilesPerTrigger": str(args.max_files)} if args.max_files else {}
+        lines = orders_stream(spark, "text", args.wire, **more)
+        if args.quarantine:
+            query = start_ingest_with_quarantine(lines, args.raw, state, trigger=once)
         elif args.threshold is None:
-            start_ingest(lines, args.raw, f"{state}/ingest", trigger=once).awaitTermination()
+            query = start_ingest(lines, args.raw, state, trigger=once)
         else:
-            start_gated_ingest(lines, args.staging, args.raw, f"{state}/ingest-gated",
-                               threshold=args.threshold, trigger=once).awaitTermination()
+            query = start_gated_ingest(lines, args.raw, state, threshold=args.threshold, trigger=once)
+        query.awaitTermination()
+        if args.catalog and args.threshold is None:
+            where = " WHERE status = 'order'" if args.quarantine else ""
+            register_query(spark, f"{args.catalog}.bronze", f"SELECT * FROM parquet.`{args.raw}`{where}")
     elif args.job == "silver":
+        neighborhoods = _dimension(spark, args.neighborhoods)
         polygons = _dimension(spark, args.polygons) if args.polygons else None
-        run_silver(spark, args.raw, _dimension(spark, args.neighborhoods), args.silver,
-                   f"{state}/silver", polygons=polygons)
+        if args.gated:
+            consume_flushes(spark, args.raw, lambda df: to_silver(df, neighborhoods, polygons=polygons, priority=args.priority),
+                            args.silver)
+        else:
+            run_silver(spark, args.raw, neighborhoods, args.silver,
+                       bound_checkpoint(spark, "silver", args.raw, args.silver, args.state), polygons=polygons,
+                       priority=args.priority, max_files=args.max_files, landing=args.landing)
+        if args.catalog and not args.gated:
+            register_query(spark, f"{args.catalog}.silver", f"SELECT * FROM parquet.`{args.silver}`")
     elif args.job == "gold":
-        run_gold(spark, args.silver, SILVER_SCHEMA, _dimension(spark, args.customers),
-                 _dimension(spark, args.employees), args.gold, f"{state}/gold")
+        customers, employees = _dimension(spark, args.customers), _dimension(spark, args.employees)
+        if args.gated:  # made anew from the silver parts that the manifest lists
+            to_gold(read_consumed(spark, args.silver, SILVER_SCHEMA), customers, employees).write.mode("overwrite").parquet(args.gold)
+        else:
+            run_gold(spark, args.silver, SILVER_SCHEMA, customers, employees, args.gold,
+                     bound_checkpoint(spark, "gold", args.silver, args.gold, args.state), max_files=args.max_files)
+        if args.catalog:
+            register_query(spark, f"{args.catalog}.gold", f"SELECT {', '.join(GOLD_COLUMNS)} FROM parquet.`{args.gold}`")
+    elif args.job == "reports":
+        export_reports(spark.read.parquet(args.gold).select(*GOLD_COLUMNS), args.out)
     else:
-        export_reports(spark.read.parquet(args.gold), args.out)
+        dims = dict(d.split("=", 1) for d in args.dims)
+        if args.job == "init":
+            init_catalog(spark, args.db, {n: _dimension(spark, ref) for n, ref in dims.items()})
+        else:
+            publish_dims(spark, dims, args.out)
 
 
 if __name__ == "__main__":

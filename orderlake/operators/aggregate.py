@@ -27,29 +27,20 @@ def qty_by_neighborhood(gold: DataFrame) -> DataFrame:
             .orderBy("neighborhood"))
 
 
-def qty_by_event_time(gold: DataFrame, pandas_text: bool = False) -> DataFrame:
+def qty_by_event_time(gold: DataFrame, key_format: str = REPORT_TIME_FORMAT,
+                      missing: str | None = None) -> DataFrame:
     """A3: total quantity per event second, keyed by its text.
 
     Grouping runs on the TIMESTAMP (fixed width, cheap to hash); the text is
-    made once per group. A missing time is its own group with a null key.
+    made once per group. A missing time is its own group, keyed ``missing`` (null by default).
     Null quantities are skipped and an all-null group sums to 0.
 
-    ``pandas_text=True`` renders keys the way the reference's pandas report does:
-    the missing time is ``'NaT'``, and keys are dates only when every time is
-    midnight. Deciding that takes one extra aggregate over the grouped result,
-    which returns a single boolean to the driver.
+    The reference's pandas report writes a missing time as ``'NaT'`` and, when every time is midnight,
+    dates only: ``key_format="yyyy-MM-dd", missing="NaT"`` renders that.
     """
     grouped = (gold.select("event_date", "quantity_products")
                .groupBy("event_date")
                .agg(F.coalesce(F.sum("quantity_products"), F.lit(0)).cast("bigint")
                     .alias("quantity_products")))
-    fmt = REPORT_TIME_FORMAT
-    if pandas_text:
-        midnight = F.date_format("event_date", "HH:mm:ss.SSSSSS") == "00:00:00.000000"
-        all_midnight = (grouped.where(F.col("event_date").isNotNull())
-                        .agg(F.bool_and(midnight)).first()[0])
-        fmt = "yyyy-MM-dd" if all_midnight else REPORT_TIME_FORMAT
-    text = F.date_format("event_date", fmt)
-    if pandas_text:
-        text = F.coalesce(text, F.lit("NaT"))
+    text = F.coalesce(F.date_format("event_date", key_format), F.lit(missing).cast("string"))
     return grouped.select(text.alias("event_date"), "quantity_products").orderBy("event_date")

@@ -1,115 +1,11 @@
-"""Count-gated flush (T3, A6) as a parallel scan over batch sizes.
-
-The ingest buffer gathers micro-batches until it holds more than ``threshold``
-rows, then writes all of them as one file set and starts empty again. The
-buffer level before a batch is always in ``0..threshold``, so a run of batches
-acts on it as a function ``0..threshold -> 0..threshold`` that also counts the
-flushes it makes. Such functions compose associatively, which turns the
-sequential fold into a tree scan:
-
-* up: batches are grouped by ``floor(batch_id / fanout)``, each group composes
-  its members' functions in batch order; groups are grouped again, and so on
-  until one group is left. Every group holds at most ``fanout`` members;
-* down: from the top (level 0, no flushes yet) each group hands every member
-  the state it starts in, a short scan over at most ``fanout`` members.
-
-Each level is a table ``fanout`` times smaller than the one below; it is
-checkpointed (reliable checkpoint in the shared folder), so lineage stays
-short and a lost executor only recomputes one level.
-
-Only one row per *batch* (its size) takes part, never the orders themselves,
-and no group ever holds more than ``fanout`` members, however many batches there
-are.
-"""
+"""The count gate's threshold test (A6); the gate itself is in :mod:`orderlake.streaming.ingest`."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
-
-from ..session import shared_root
 
 
-def flush_ready(n: Column | int, threshold: int = 50) -> Column:
+def flush_ready(n: Column | str, threshold: int = 50) -> Column:
     """True once the buffered row count exceeds the threshold."""
-    return (F.col(n) if isinstance(n, str) else F.lit(n) if isinstance(n, int) else n) > threshold
-
-
-def _step(n: Column, threshold: int) -> Column:
-    """Function of one batch of ``n`` rows: level -> (next level, flushes)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(threshold)), lambda s: F.when(
-        s + n > threshold, F.struct(F.lit(0).alias("end"), F.lit(1).cast("bigint").alias("flushes"))
-    ).otherwise(F.struct((s + n).cast("int").alias("end"), F.lit(0).cast("bigint").alias("flushes"))))
-
-
-def _identity(threshold: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(threshold)), lambda s: F.struct(
-        s.cast("int").alias("end"), F.lit(0).cast("bigint").alias("flushes")))
-
-
-def _compose(a: Column, b: Column) -> Column:
-    """``a`` then ``b``."""
-    return F.transform(a, lambda x: F.struct(
-        b[x["end"]]["end"].alias("end"), (x["flushes"] + b[x["end"]]["flushes"]).alias("flushes")))
-
-
-def flush_plan(sizes: DataFrame, threshold: int = 50, batch_col: str = "batch_id",
-               n_col: str = "n", fanout: int = 64) -> DataFrame:
-    """T3 over ``(batch_id, n)`` rows (one per micro-batch, ids ordered).
-
-    Returns ``batch_id, n, flush_id, flushed``: ``flush_id`` numbers (from 1) the
-    flush that writes the batch out, null while it is still buffered;
-    ``flushed`` marks the batch that closes its flush.
-    """
-    if fanout < 2:
-        raise ValueError("fanout must be at least 2")
-    spark = sizes.sparkSession
-    shared_root(spark)  # checkpoint() below needs the shared folder
-    sized = sizes.select(F.col(batch_col).cast("bigint").alias("batch"),
-                         F.col(n_col).cast("bigint").alias("n")).checkpoint()  # cut lineage once
-    bounds = sized.agg(F.min("batch"), F.max("batch")).first()
-    if bounds[0] is None:
-        schema = f"{batch_col} bigint, {n_col} bigint, flush_id bigint, flushed boolean"
-        return spark.createDataFrame([], schema)
-    lo, hi = int(bounds[0]), int(bounds[1])
-    # Level keys count from the smallest batch id, so they are never negative.
-    base = sized.select("batch", (F.col("batch") - F.lit(lo)).alias("k"), "n",
-                        _step(F.col("n"), threshold).alias("m"))
-
-    # Up-sweep: level L+1 groups level L by k div fanout.
-    levels = [base.select("k", "m")]
-    span = hi - lo
-    while span > 0:
-        child = levels[-1]
-        parent = (child.groupBy(F.expr(f"k div {fanout}").alias("k"))
-                  .agg(F.array_sort(F.collect_list(F.struct(F.col("k").alias("k"), "m"))).alias("kids")))
-        parent = parent.withColumn("m", F.aggregate("kids", _identity(threshold),
-                                                    lambda acc, x: _compose(acc, x["m"])))
-        levels.append(parent.checkpoint())  # one small table per level, lineage cut
-        span //= fanout
-
-    # Down-sweep: the top group starts empty with no flushes before it.
-    state = levels[-1].select("k", F.lit(0).alias("s"), F.lit(0).cast(LongType()).alias("f"))
-    for parent in reversed(levels[1:]):
-        start = F.struct(F.array().cast("array<struct<k:bigint,s:int,f:bigint>>").alias("out"),
-                         F.col("s").alias("s"), F.col("f").alias("f"))
-        scanned = (parent.select("k", "kids").join(state, on="k")
-                   .select(F.aggregate("kids", start, lambda acc, x: F.struct(
-                       F.array_append(acc["out"], F.struct(x["k"].alias("k"), acc["s"].alias("s"),
-                                                            acc["f"].alias("f"))).alias("out"),
-                       x["m"][acc["s"]]["end"].alias("s"),
-                       (acc["f"] + x["m"][acc["s"]]["flushes"]).alias("f")))["out"].alias("out")))
-        state = scanned.select(F.explode("out").alias("o")).select("o.k", "o.s", "o.f").checkpoint()
-
-    total = levels[-1].select(F.col("m")[0]["flushes"]).first()[0]
-    closes = F.col("s") + F.col("n") > threshold
-    return (base.select("batch", "k", "n").join(state, on="k")
-            .select(F.col("batch").alias(batch_col), F.col("n").alias(n_col),
-                    F.when(F.col("f") < F.lit(total), F.col("f") + 1).alias("flush_id"),
-                    closes.alias("flushed")))
-
-
-def flush_by_count(sizes: DataFrame, min_rows: int = 51, **kw) -> DataFrame:
-    """T3 with the buffer size that triggers a flush (51 = more than 50)."""
-    return flush_plan(sizes, threshold=min_rows - 1, **kw)
+    return (F.col(n) if isinstance(n, str) else n) > threshold

@@ -3,34 +3,35 @@
 A containment predicate on its own plans as a nested-loop (cross) join. Here it
 becomes an equi-join instead:
 
-1. each polygon's bounding box is cut into grid cells of ``cell`` (a side, or
-   a ``(width, height)`` pair; thin cells suit polygons with many vertices);
-   for every (polygon, cell) only the edges that can matter for a point in that
-   cell are kept (edges whose y-range meets the cell's row band and that are not
-   wholly to the left of the cell), so even a huge polygon costs a few edges per
-   cell;
-2. cells are grouped into one *cell index* row ``(cx, cy, candidates)`` where
-   ``candidates`` is the list of (priority, polygon id, edges) sorted by
-   priority. Its size is bounded by the polygon layer, not by the points;
-3. each point gets its cell ``(floor(x / width), floor(y / height))`` and is
-   left-joined to the index on the cell: a broadcast hash join after a row-bound
-   check, a shuffle join on the cell beyond it. The index has one row per cell,
-   so the join never multiplies points and the points are never shuffled in the
-   broadcast case;
-4. containment is decided by the even-odd rule with native higher-order
+1. each polygon gets a grid level: cells of ``cell`` (a side, or a ``(width, height)`` pair), four times as
+   wide and high a level, so that its bounding box has at most about ``CELLS`` cells (or as many as it
+   has vertices). One huge polygon among small ones costs no more cells than they do;
+2. its edges are exploded once over the grid rows that they cross and gathered by row. A cell takes
+   the edges of its own row that are not wholly to its left, and only if some edge comes near it: a cell
+   that no edge touches is wholly inside (kept without edges) or wholly outside (dropped);
+3. cells make one *cell index* row ``(level, cx, cy, candidates)`` with the list of (priority, polygon id, whole,
+   edges) in order. The index is written once to the shared folder; its size is measured there;
+4. each point looks up its cell once a level: a broadcast hash join if the stored index is small, a shuffle join on the
+   cell beyond that. The index has one row per cell, so the join never multiplies points;
+5. containment is decided by the even-odd rule with native higher-order
    functions over the candidates' edges (:mod:`orderlake.functions.geometry`).
 
-Points on an edge or vertex are not contained.
+Points on an edge or vertex are not contained. Polygons without a vertex contain nothing.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import inside, ring_edges
+from ..session import scratch_path
 from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, broadcast_if_bounded
 
+# Cells of a polygon's bounding box at its grid level, and how much wider a cell is a level up.
+CELLS, STEP = 256, 4
 # Relative slack on cell bands, so rounding in x / cell never drops an edge.
 _EPS = 1e-9
 # Name of the joined candidate list on the point side (kept clear of user columns).
@@ -48,13 +49,6 @@ def polygon_bounds(polys: DataFrame, id_col: str = "polygon_id", rings: str = "r
         F.array_max(F.transform(verts, lambda v: v["y"].cast("double"))).alias("max_y"))
 
 
-def vertex_bounds(vertices: DataFrame, id_col: str, x: str = "x", y: str = "y") -> DataFrame:
-    """A4 for polygons stored one vertex per row: grouped min/max (partial + final agg)."""
-    return vertices.groupBy(id_col).agg(
-        F.min(F.col(x).cast("double")).alias("min_x"), F.min(F.col(y).cast("double")).alias("min_y"),
-        F.max(F.col(x).cast("double")).alias("max_x"), F.max(F.col(y).cast("double")).alias("max_y"))
-
-
 def _cell_size(cell) -> tuple[float, float]:
     wx, wy = (cell, cell) if isinstance(cell, (int, float)) else cell
     if wx <= 0 or wy <= 0:
@@ -84,60 +78,80 @@ def suggest_cell(polys: DataFrame, rings: str = "rings",
     return (float(w), float(h) / strips)
 
 
+def _priority(polys: DataFrame, id_col: str, priority: str | None) -> str:
+    return priority or ("poly_seq" if "poly_seq" in polys.columns else id_col)
+
+
 def cell_index(polys: DataFrame, cell, id_col: str = "polygon_id",
                rings: str = "rings", priority: str | None = None) -> DataFrame:
-    """Grid-cell index of a polygon layer: ``cx, cy, candidates``.
+    """Grid-cell index of a polygon layer: ``level, cx, cy, candidates``.
 
-    ``cell`` is a side length or a ``(width, height)`` pair. Thin cells (height
+    ``cell`` is a side length or a ``(width, height)`` pair, the cell of level 0. Thin cells (height
     well below width) keep few edges per cell for polygons with many vertices.
-    ``priority`` orders the candidates of a cell (first match wins in
-    :func:`assign_polygon`); it defaults to the polygon id.
+    ``priority`` orders the candidates of a cell (first match wins in :func:`assign_polygon`); it
+    defaults to ``poly_seq``, the polygons' own sequence, where there is such a column, else to the id.
     """
     wx, wy = _cell_size(cell)
-    cx_, cy_ = F.lit(wx), F.lit(wy)
-    prio = F.col(priority or id_col)
-    verts = F.flatten(F.col(rings))
+    verts = F.flatten(F.filter(F.col(rings), lambda ring: F.size(ring) > 0))
+    xs = F.transform(verts, lambda v: v["x"].cast("double"))
+    ys = F.transform(verts, lambda v: v["y"].cast("double"))
     shaped = polys.select(
-        F.col(id_col), prio.alias("_prio"), ring_edges(rings).alias("_edges"),
-        F.array_min(F.transform(verts, lambda v: v["x"].cast("double"))).alias("min_x"),
-        F.array_min(F.transform(verts, lambda v: v["y"].cast("double"))).alias("min_y"),
-        F.array_max(F.transform(verts, lambda v: v["x"].cast("double"))).alias("max_x"),
-        F.array_max(F.transform(verts, lambda v: v["y"].cast("double"))).alias("max_y"))
-    cells = (shaped
-             .withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / cx_), F.floor(F.col("max_x") / cx_))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("min_y") / cy_), F.floor(F.col("max_y") / cy_)))))
-    lo_y = F.col("cy") * cy_ - F.lit(wy * _EPS)
-    hi_y = (F.col("cy") + 1) * cy_ + F.lit(wy * _EPS)
-    lo_x = F.col("cx") * cx_ - F.lit(wx * _EPS)
-    clipped = cells.select(
-        "cx", "cy", "_prio", F.col(id_col),
-        F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y)
-                 & (F.least(e["y1"], e["y2"]) <= hi_y)
-                 & (F.greatest(e["x1"], e["x2"]) >= lo_x)).alias("edges"))
-    return (clipped
-            .groupBy("cx", "cy")
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("_prio").alias("prio"),
-                                                      F.col(id_col).alias("id"),
-                                                      F.col("edges")))).alias("candidates")))
+        F.monotonically_increasing_id().alias("uid"), F.col(_priority(polys, id_col, priority)).alias("prio"),
+        F.col(id_col).alias("id"), ring_edges(rings).alias("edges"), F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"),
+        (F.array_max(ys) - F.array_min(ys)).alias("height"), F.size(verts).alias("n")).where("n > 0")
+    n_cells = ((F.col("max_x") - F.col("min_x")) / wx + 1) * (F.col("height") / wy + 1)
+    level = F.greatest(F.lit(0), F.ceil(F.log(n_cells / F.greatest(F.lit(CELLS), F.col("n"))) / (2 * math.log(STEP)))).cast("int")
+    shaped = shaped.withColumn("level", level).withColumns({"w": F.lit(wx) * F.pow(F.lit(float(STEP)), "level"),
+                                                            "h": F.lit(wy) * F.pow(F.lit(float(STEP)), "level")})
+    keep = ["uid", "prio", "id", "level", "w", "h", "min_x", "max_x"]
+    edges = shaped.select(*keep, F.explode("edges").alias("e"))
+    low, high = F.least("e.y1", "e.y2") / F.col("h") - _EPS, F.greatest("e.y1", "e.y2") / F.col("h") + _EPS
+    bands = (edges.withColumn("cy", F.explode(F.sequence(F.floor(low), F.floor(high))))
+             .groupBy(*keep, "cy").agg(F.collect_list("e").alias("edges")))
+    cells = bands.withColumn("cx", F.explode(F.sequence(F.floor(F.col("min_x") / F.col("w")), F.floor(F.col("max_x") / F.col("w")))))
+    lo_x = (F.col("cx") - _EPS) * F.col("w")
+    hi_x = (F.col("cx") + 1 + _EPS) * F.col("w")
+    near = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= lo_x)
+    touched = F.exists("edges", lambda e: (F.greatest(e["x1"], e["x2"]) >= lo_x) & (F.least(e["x1"], e["x2"]) <= hi_x))
+    centre = inside("edges", (F.col("cx") + 0.5) * F.col("w"), (F.col("cy") + 0.5) * F.col("h"))
+    clipped = (cells.select("level", "cx", "cy", "prio", "id", near.alias("edges"), touched.alias("touched"), "w", "h")
+               .withColumn("whole", ~F.col("touched") & centre).where("touched or whole")
+               .withColumn("edges", F.when(F.col("whole"), F.slice("edges", 1, 0)).otherwise(F.col("edges"))))
+    return (clipped.groupBy("level", "cx", "cy")
+            .agg(F.array_sort(F.collect_list(F.struct("prio", "id", "whole", "edges"))).alias("candidates")))
 
 
 def _with_candidates(points: DataFrame, index: DataFrame, cell, x: str, y: str,
                      max_broadcast_rows: int) -> DataFrame:
+    spark = points.sparkSession
     wx, wy = _cell_size(cell)
-    keyed = points.withColumns({"_ol_cx": F.floor(F.col(x) / F.lit(wx)),
-                                "_ol_cy": F.floor(F.col(y) / F.lit(wy))})
+    path = scratch_path(spark, "cell-index")
+    index.write.parquet(path)
+    stored = spark.read.schema(index.schema).parquet(path)
+    levels = sorted(r.level for r in stored.select("level").distinct().collect())  # a few: each is four times the last
     # Size of one index row: key, and per candidate its ids plus 32 bytes per edge.
     size = F.aggregate("candidates", F.lit(32).cast("bigint"),
                        lambda acc, p: acc + 24 + 32 * F.size(p["edges"]))
-    small = broadcast_if_bounded(index, max_broadcast_rows, BROADCAST_MAX_BYTES, size)
-    small = small.select(F.col("cx").alias("_ol_cx"), F.col("cy").alias("_ol_cy"),
-                         F.col("candidates").alias(_CANDIDATES))
-    return keyed.join(small, on=["_ol_cx", "_ol_cy"], how="left").drop("_ol_cx", "_ol_cy")
+    none = F.from_json(F.lit(None).cast("string"), stored.schema["candidates"].dataType)
+    out, found = points, []
+    for level in levels:
+        own = broadcast_if_bounded(stored.where(F.col("level") == level), max_broadcast_rows, BROADCAST_MAX_BYTES, size)
+        own = own.select(F.col("cx").alias("_ol_cx"), F.col("cy").alias("_ol_cy"), F.col("candidates").alias(f"_ol_{level}"))
+        out = (out.withColumns({"_ol_cx": F.floor(F.col(x) / F.lit(wx * STEP ** level)),
+                                "_ol_cy": F.floor(F.col(y) / F.lit(wy * STEP ** level))})
+               .join(own, on=["_ol_cx", "_ol_cy"], how="left").drop("_ol_cx", "_ol_cy"))
+        found.append(f"_ol_{level}")
+    if not found:
+        return out.withColumn(_CANDIDATES, none)
+    if len(found) == 1:
+        return out.withColumnRenamed(found[0], _CANDIDATES)
+    every = F.array_sort(F.flatten(F.filter(F.array(*found), lambda c: c.isNotNull())))
+    return out.withColumn(_CANDIDATES, every).drop(*found)
 
 
 def _hits(x: str, y: str) -> Column:
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    return F.filter(_CANDIDATES, lambda p: inside(p["edges"], px, py))
+    return F.filter(_CANDIDATES, lambda p: p["whole"] | inside(p["edges"], px, py))
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, cell,
@@ -157,7 +171,7 @@ def assign_polygon(points: DataFrame, polys: DataFrame, cell,
                    out_col: str = "polygon_id", priority: str | None = None, rings: str = "rings",
                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """J7 + P14: every point keeps one row; ``out_col`` is the first containing
-    polygon by priority (lowest id by default), null when none contains it."""
+    polygon by priority (``poly_seq``, else the lowest id), null when none contains it."""
     idx = cell_index(polys, cell, id_col, rings, priority)
     joined = _with_candidates(points, idx, cell, x, y, max_broadcast_rows)
     return (joined.withColumn(out_col, F.get(_hits(x, y), 0)["id"])
@@ -173,18 +187,9 @@ def within(points: DataFrame, polys: DataFrame, cell, id_col: str = "polygon_id"
     return joined.where(F.size(_hits(x, y)) > 0).drop(_CANDIDATES)
 
 
-def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell,
-                boundary_cell: float | None = None, **kw) -> DataFrame:
+def within_area(points: DataFrame, boundary: DataFrame, polys: DataFrame, cell, **kw) -> DataFrame:
     """Points inside the municipality boundary *and* inside some neighborhood.
 
-    The boundary is one large polygon, so it gets its own (coarser) cell size.
+    The boundary is one large polygon; the index gives it a level of its own.
     """
-    inside_boundary = within(points, boundary, boundary_cell or cell, **kw)
-    return within(inside_boundary, polys, cell, **kw)
-
-
-def assign_neighborhood(points: DataFrame, polys: DataFrame, cell=None, **kw) -> DataFrame:
-    """J7 + P14 under the planned name: the first neighborhood polygon holding each
-    point (``polygon_id`` column, null when none). The cell defaults to
-    :func:`suggest_cell`."""
-    return assign_polygon(points, polys, cell if cell is not None else suggest_cell(polys), **kw)
+    return within(within(points, boundary, cell, **kw), polys, cell, **kw)

@@ -13,7 +13,7 @@ FEED = """feed AS (
          CAST((event_id * 91) % 1000 AS DOUBLE) / 100 AS latitude,
          CAST((event_id * 37) % 1000 AS DOUBLE) / 100 AS longitude,
          strftime(ts, '%d/%m/%Y %H:%M:%S') AS date,
-         CAST(user_id AS INT) AS customer_id,
+         CAST(CASE WHEN user_id % 10 = 9 THEN -user_id ELSE user_id END AS INT) AS customer_id,
          CAST(event_id % 120 AS INT) AS employee_id,
          CAST(floor(value) AS INT) AS quantity_products,
          concat('evt-', lpad(CAST(event_id AS VARCHAR), 8, '0')) AS order_id
@@ -22,7 +22,7 @@ FEED = """feed AS (
 CUSTOMERS = """customers AS (
   SELECT CAST(c_custkey AS INT) AS customer_id, c_name AS name, c_mktsegment AS phone,
          concat(c_name, '@x') AS email, c_mktsegment AS address
-  FROM customer WHERE c_custkey % 10 <> 9)"""
+  FROM customer)"""
 
 EMPLOYEES = """employees AS (
   SELECT CAST(s_suppkey AS INT) AS employee_id, s_name AS name, s_name AS phone,
@@ -105,6 +105,21 @@ def with_(*ctes: str) -> str:
 FEED_COLS = ("object_id, latitude, longitude, date, customer_id, employee_id, "
              "quantity_products, order_id")
 
+# The count gate over batches of three days, in order: a batch flushes once more than 600 rows are held.
+GATE = """,
+sizes AS (SELECT CAST(substring(date, 1, 2) AS INT) // 3 AS part, count(*) AS n FROM feed GROUP BY 1),
+ordered AS (SELECT part, n, row_number() OVER (ORDER BY part) AS rn FROM sizes),
+fold(rn, part, n, s, f, flushed) AS (
+  SELECT rn, part, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), n > 600 FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT o.rn, o.part, o.n, CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END, p.f + CASE WHEN p.flushed THEN 1 ELSE 0 END,
+         (CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END) + o.n > 600
+  FROM fold p JOIN ordered o ON o.rn = p.rn + 1),
+gate AS (SELECT rn, part, n, flushed,
+    CAST(CASE WHEN f < (SELECT max(f + CASE WHEN flushed THEN 1 ELSE 0 END) FROM fold) THEN f + 1 END AS BIGINT) AS flush_id
+  FROM fold)
+"""
+
 ORACLES: dict[str, str] = {
     "scan_parquet": "SELECT * FROM customer",
     "scan_landing_glob": with_(FEED) + "SELECT * FROM feed",
@@ -116,14 +131,14 @@ ORACLES: dict[str, str] = {
     "sink_table_append": with_(FEED) + "SELECT * FROM feed UNION ALL SELECT * FROM feed",
     "sink_table_overwrite": with_(FEED) + "SELECT * FROM feed",
     "sink_csv_roundtrip": with_(FEED, CUSTOMERS, EMPLOYEES, NEIGHBORHOODS, GOLD) + "SELECT * FROM gold",
-    "publish_dims": ("SELECT 'customer' AS dim, count(*) AS n FROM customer UNION ALL "
-                     "SELECT 'supplier' AS dim, count(*) AS n FROM supplier UNION ALL "
-                     "SELECT 'nation' AS dim, count(*) AS n FROM nation"),
+    "publish_dims": ("SELECT 'customer' AS dim, CAST(c_custkey AS BIGINT) AS k, c_name AS name FROM customer UNION ALL "
+                     "SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL "
+                     "SELECT 'nation', n_nationkey, n_name FROM nation"),
     "catalog_init": with_(CUSTOMERS, EMPLOYEES, NEIGHBORHOODS) + (
-        "SELECT 'customers' AS table_name, count(*) AS n FROM customers UNION ALL "
-        "SELECT 'employees', count(*) FROM employees UNION ALL "
-        "SELECT 'neighborhoods', count(*) FROM neighborhoods UNION ALL "
-        "SELECT 'municipality', CAST(1 AS BIGINT)"),
+        "SELECT 'customers' AS table_name, CAST(customer_id AS BIGINT) AS k, name FROM customers UNION ALL "
+        "SELECT 'employees', employee_id, name FROM employees UNION ALL "
+        "SELECT 'neighborhoods', OBJECTID, NOMBRE FROM neighborhoods UNION ALL "
+        "SELECT 'municipality', 0, 'boundary'"),
     "catalog_list": ("SELECT * FROM (VALUES ('customers'), ('employees'), ('municipality'), "
                      "('neighborhoods')) AS t(tableName)"),
     "project_star_plus": with_(FEED, NEIGHBORHOODS) + (
@@ -156,7 +171,7 @@ SELECT f.latitude, f.longitude, f.date, f.customer_id, f.employee_id, f.quantity
 FROM feed f LEFT JOIN neighborhoods n ON f.object_id = n.OBJECTID""",
     "silver_orders": with_(FEED, NEIGHBORHOODS, SILVER) + "SELECT * FROM silver",
     "silver_spatial": with_(FEED, NEIGHBORHOODS, edges_cte((1, 2, 3)), contains_cte()) + """,
-first_hit AS (SELECT order_id, min(pid) AS pid FROM hits GROUP BY order_id)
+first_hit AS (SELECT order_id, max(pid) AS pid FROM hits GROUP BY order_id)
 SELECT f.latitude, f.longitude, f.customer_id, f.employee_id, f.quantity_products, f.order_id,
        strptime(f.date, '%d/%m/%Y %H:%M:%S') AS event_date,
        strftime(strptime(f.date, '%d/%m/%Y %H:%M:%S'), '%d%m%Y') AS partition_date,
@@ -181,8 +196,7 @@ FROM feed f LEFT JOIN employees e ON f.employee_id = e.employee_id""",
     "gold_detailed_sales": with_(FEED, CUSTOMERS, EMPLOYEES, NEIGHBORHOODS, GOLD) + "SELECT * FROM gold",
     "join_coordinate_exact": with_(FEED, NEIGHBORHOODS) + """,
 places AS (
-  SELECT latitude, longitude, min(object_id) AS place_id FROM feed
-  WHERE object_id < 25 GROUP BY latitude, longitude)
+  SELECT latitude, longitude, min(object_id) AS place_id FROM feed GROUP BY latitude, longitude)
 SELECT f.order_id, f.latitude, f.longitude, p.place_id, n.NOMBRE AS neighborhood,
        n.IDENTIFICACION AS commune
 FROM feed f
@@ -192,7 +206,7 @@ LEFT JOIN neighborhoods n ON p.place_id = n.OBJECTID""",
 SELECT f.order_id, f.longitude, f.latitude, h.pid AS polygon_id
 FROM feed f JOIN hits h ON f.order_id = h.order_id""",
     "spatial_assign_left": with_(FEED, edges_cte((1, 2, 3)), contains_cte()) + """,
-first_hit AS (SELECT order_id, min(pid) AS polygon_id FROM hits GROUP BY order_id)
+first_hit AS (SELECT order_id, max(pid) AS polygon_id FROM hits GROUP BY order_id)
 SELECT f.order_id, f.longitude, f.latitude, h.polygon_id
 FROM feed f LEFT JOIN first_hit h ON f.order_id = h.order_id""",
     "spatial_semi": with_(FEED, edges_cte((0,), "bedges"), contains_cte("bedges", "in_boundary"),
@@ -201,9 +215,23 @@ SELECT * FROM feed
 WHERE order_id IN (SELECT order_id FROM in_boundary)
   AND order_id IN (SELECT order_id FROM hits)""",
     "spatial_bounds": with_(FEED) + """
-SELECT object_id AS polygon_id, min(longitude) AS min_x, min(latitude) AS min_y,
-       max(longitude) AS max_x, max(latitude) AS max_y
-FROM feed GROUP BY object_id""",
+SELECT order_id AS polygon_id, longitude AS min_x, latitude AS min_y, longitude + 0.5::DOUBLE AS max_x,
+       latitude + 0.25::DOUBLE AS max_y
+FROM feed""",
+    "project_drop_ref": with_(FEED, NEIGHBORHOODS) + """
+SELECT f.*, n.NOMBRE, n.IDENTIFICACION FROM feed f JOIN neighborhoods n ON f.object_id = n.OBJECTID""",
+    "gold_incremental": with_(FEED, CUSTOMERS, EMPLOYEES, NEIGHBORHOODS, GOLD) + "SELECT * FROM gold",
+    "ingest_with_quarantine": with_(FEED) + f"""
+SELECT {FEED_COLS}, CAST(NULL AS VARCHAR) AS value, 'order' AS status FROM feed
+UNION ALL SELECT 1, 1.5, 2.5, '01/01/2024 00:00:00', 1, 2, 3, 'single', NULL, 'order'
+UNION ALL SELECT NULL, 1.0, 2.0, '02/01/2024 10:00:00', NULL, NULL, 4, 'badtypes', NULL, 'order'
+UNION ALL SELECT 2, NULL, NULL, NULL, NULL, NULL, NULL, 'missing', NULL, 'order'
+UNION ALL SELECT 3, NULL, NULL, NULL, NULL, NULL, NULL, 'first', NULL, 'order'
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, value, 'reject'
+FROM (VALUES ('not json at all'), ('')) AS t(value)""",
+    "ingest_gated": with_(FEED).replace("WITH", "WITH RECURSIVE", 1) + GATE + f"""
+SELECT {FEED_COLS} FROM feed f JOIN gate g ON CAST(substring(date, 1, 2) AS INT) // 3 = g.part
+WHERE g.flush_id IS NOT NULL""",
     "agg_count": with_(FEED) + "SELECT count(*) AS n FROM feed",
     "agg_qty_by_neighborhood": with_(FEED, CUSTOMERS, EMPLOYEES, NEIGHBORHOODS, GOLD) + """
 SELECT neighborhood, CAST(coalesce(sum(quantity_products), 0) AS BIGINT) AS quantity_products
@@ -245,22 +273,5 @@ UNION ALL SELECT 2, NULL, NULL, NULL, NULL, NULL, NULL, 'missing'
 UNION ALL SELECT 3, NULL, NULL, NULL, NULL, NULL, NULL, 'first'""",
     "ingest_quarantine": "SELECT * FROM (VALUES ('not json at all'), ('')) AS t(value)",
     "consume_incremental": with_(FEED, NEIGHBORHOODS, SILVER) + "SELECT * FROM silver",
-    "flush_by_count": """
-WITH RECURSIVE sizes AS (
-  SELECT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS batch_id, count(*) AS n
-  FROM events GROUP BY 1),
-ordered AS (SELECT batch_id, n, row_number() OVER (ORDER BY batch_id) AS rn FROM sizes),
-fold(rn, batch_id, n, s, f, flushed) AS (
-  SELECT rn, batch_id, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), n > 50 FROM ordered WHERE rn = 1
-  UNION ALL
-  SELECT o.rn, o.batch_id, o.n,
-         CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END,
-         p.f + CASE WHEN p.flushed THEN 1 ELSE 0 END,
-         (CASE WHEN p.flushed THEN 0 ELSE p.s + p.n END) + o.n > 50
-  FROM fold p JOIN ordered o ON o.rn = p.rn + 1)
-SELECT batch_id, n,
-       CAST(CASE WHEN f < (SELECT max(f + CASE WHEN flushed THEN 1 ELSE 0 END) FROM fold)
-                 THEN f + 1 END AS BIGINT) AS flush_id,
-       flushed
-FROM fold""",
+    "flush_by_count": with_(FEED).replace("WITH", "WITH RECURSIVE", 1) + GATE + "SELECT rn - 1 AS batch_id, n, flush_id, flushed FROM gate",
 }

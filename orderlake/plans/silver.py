@@ -19,18 +19,19 @@ def add_time_parts(raw: DataFrame, src: str = "date") -> DataFrame:
 
 def to_silver(raw: DataFrame, neighborhoods: DataFrame,
               max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-              polygons: DataFrame | None = None, cell=None) -> DataFrame:
+              polygons: DataFrame | None = None, cell=None, priority: str | None = None) -> DataFrame:
     """One narrow projection + one left lookup; column order as in :data:`SILVER_COLUMNS`.
 
     By default the neighborhood comes from the order's ``object_id``. With
     ``polygons`` (``polygon_id`` = ``OBJECTID``, ``rings``) it comes from where
     the order is: the first polygon that strictly contains (longitude, latitude)
-    replaces ``object_id`` before the lookup (J6/J7), null if none does.
+    replaces ``object_id`` before the lookup (J6/J7), null if none does. ``priority`` names the
+    polygon column that says which comes first (``poly_seq``, else the id, by default).
     """
     staged = add_time_parts(raw)
     if polygons is not None:
         staged = assign_polygon(staged.drop("object_id"), polygons,
                                 cell if cell is not None else suggest_cell(polygons),
-                                out_col="object_id", max_broadcast_rows=max_broadcast_rows)
+                                out_col="object_id", priority=priority, max_broadcast_rows=max_broadcast_rows)
     silver = add_neighborhood(staged, neighborhoods, max_broadcast_rows)
     return silver.select(*SILVER_COLUMNS)

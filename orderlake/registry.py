@@ -15,21 +15,21 @@ from pyspark.sql import functions as F
 from . import testfeed as tf
 from .functions.timeparts import epoch_to_text, parse_event_time, text_to_epoch, time_parts_by_substring
 from .operators import (add_customer, add_employee, add_neighborhood, append_orders,
-                        assign_polygon, at_coordinate, count_rows, flush_plan, latest, latest_first,
-                        lookup_by_coordinate, neighborhood_dim, pick, points_in_polygons,
+                        assign_polygon, at_coordinate, count_rows, drop_key, latest, latest_first,
+                        lookup_by_coordinate, neighborhood_dim, pick, points_in_polygons, polygon_bounds,
                         qty_by_event_time, qty_by_neighborhood, rename, sample_dim,
-                        union_versions, vertex_bounds, with_constant, within_area)
+                        union_versions, with_constant, within_area)
 from .plans import add_time_parts, to_gold, to_silver
-from .schemas import ORDER_SCHEMA, SILVER_COLUMNS
+from .schemas import GOLD_COLUMNS, ORDER_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from .session import scratch_path
 from .sinks import append_layer, append_table, export_csv, publish_dims, replace_table, write_layer
 from .sources import (empty_orders, init_catalog, list_tables, orders_stream, read_bronze_json,
                       read_landing, read_parquet, scan_table)
-from .streaming import parse_orders, quarantine, run_silver, start_ingest
+from .streaming import (LANDING_SCHEMA, flush_ledger, parse_orders, quarantine, read_flushed, run_gold,
+                        run_silver, start_gated_ingest, start_ingest, start_ingest_with_quarantine)
 
 # Grid cell of the spatial joins: about the width of a test polygon.
 CELL = 1.0
-BOUNDARY_CELL = 2.5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,12 @@ def _gold(spark: SparkSession, d: str) -> DataFrame:
     return to_gold(silver, tf.customers(spark, d), tf.employees(spark, d))
 
 
+def _stored_gold(spark: SparkSession, d: str) -> DataFrame:
+    """Gold as a stored layer; reports read it back and join nothing."""
+    path = write_layer(_gold(spark, d), scratch_path(spark, "gold-layer"), 1)
+    return spark.read.parquet(path)
+
+
 def _scratch_db(spark: SparkSession, key: str) -> str:
     """A database of its own, located under the shared scratch folder."""
     path = scratch_path(spark, key)
@@ -121,7 +127,8 @@ def q_sink_csv_roundtrip(spark, d):
 def q_publish_dims(spark, d):
     dest = scratch_path(spark, "dims")
     out = publish_dims(spark, [f"{d}/{n}.parquet" for n in ("customer", "supplier", "nation")], dest)
-    frames = [count_rows(spark.read.parquet(p)).select(F.lit(n).alias("dim"), "n") for n, p in out.items()]
+    frames = [spark.read.parquet(out[n]).select(F.lit(n).alias("dim"), F.col(k).cast("bigint").alias("k"), F.col(c).alias("name"))
+              for n, k, c in (("customer", "c_custkey", "c_name"), ("supplier", "s_suppkey", "s_name"), ("nation", "n_nationkey", "n_name"))]
     return append_orders(*frames)
 
 
@@ -135,8 +142,10 @@ def q_catalog_init(spark, d):
     dims = _dims(spark, d)
     init_catalog(spark, db, dims)
     init_catalog(spark, db, dims)
-    return append_orders(*[count_rows(scan_table(spark, f"{db}.{n}"))
-                           .select(F.lit(n).alias("table_name"), "n") for n in dims])
+    named = {"customers": ("customer_id", "name"), "employees": ("employee_id", "name"),
+             "neighborhoods": ("OBJECTID", "NOMBRE"), "municipality": ("polygon_id", "name")}
+    return append_orders(*[scan_table(spark, f"{db}.{n}").select(F.lit(n).alias("table_name"), F.col(k).cast("bigint").alias("k"),
+                                                                F.col(c).alias("name")) for n, (k, c) in named.items()])
 
 
 def q_catalog_list(spark, d):
@@ -153,6 +162,11 @@ def q_project_star_plus(spark, d):
     return pick(joined, feed, {"NOMBRE": "neighborhood"}, nb)
 
 
+def q_project_drop_ref(spark, d):
+    feed, nb = tf.feed(spark, d), tf.neighborhoods(spark, d)
+    return drop_key(feed.join(nb, feed["object_id"] == nb["OBJECTID"]), nb["OBJECTID"])
+
+
 def q_project_alias(spark, d):
     return neighborhood_dim(tf.neighborhoods(spark, d))
 
@@ -166,7 +180,8 @@ def q_project_literal(spark, d):
 
 
 def q_filter_eq_and(spark, d):
-    return at_coordinate(tf.feed(spark, d), 0.91, 0.37)
+    raw = write_layer(tf.feed(spark, d), scratch_path(spark, "raw"), 1)  # stored columns, so the filter reaches the scan
+    return at_coordinate(spark.read.schema(ORDER_SCHEMA).parquet(raw), 0.91, 0.37)
 
 
 def q_sql_project_limit(spark, d):
@@ -206,8 +221,7 @@ def q_gold_detailed_sales(spark, d):
 
 def q_join_coordinate_exact(spark, d):
     feed = tf.feed(spark, d)
-    places = (feed.where(F.col("object_id") < 25)
-              .groupBy("latitude", "longitude").agg(F.min("object_id").alias("place_id")))
+    places = feed.groupBy("latitude", "longitude").agg(F.min("object_id").alias("place_id"))
     nb = neighborhood_dim(tf.neighborhoods(spark, d)).withColumnRenamed("object_id", "place_id")
     named = places.join(nb, on="place_id", how="left")
     return lookup_by_coordinate(feed.select("order_id", "latitude", "longitude"), named)
@@ -228,14 +242,11 @@ def q_spatial_assign_left(spark, d):
 
 
 def q_spatial_semi(spark, d):
-    return within_area(tf.feed(spark, d), tf.boundary(spark), tf.polygons(spark, (1, 2, 3)),
-                       CELL, BOUNDARY_CELL)
+    return within_area(tf.feed(spark, d), tf.boundary(spark), tf.polygons(spark, (1, 2, 3)), CELL)
 
 
 def q_spatial_bounds(spark, d):
-    verts = tf.feed(spark, d).select(F.col("object_id").alias("polygon_id"),
-                                     F.col("longitude").alias("x"), F.col("latitude").alias("y"))
-    return vertex_bounds(verts, "polygon_id")
+    return polygon_bounds(tf.parcels(spark, d))
 
 
 # --- aggregates, sorts, unions -------------------------------------------------------
@@ -245,11 +256,11 @@ def q_agg_count(spark, d):
 
 
 def q_agg_qty_by_neighborhood(spark, d):
-    return qty_by_neighborhood(_gold(spark, d))
+    return qty_by_neighborhood(_stored_gold(spark, d))
 
 
 def q_agg_qty_by_event_time(spark, d):
-    return qty_by_event_time(_gold(spark, d))
+    return qty_by_event_time(_stored_gold(spark, d))
 
 
 def q_sort_desc(spark, d):
@@ -322,11 +333,50 @@ def q_consume_incremental(spark, d):
     return spark.read.parquet(silver).select(*SILVER_COLUMNS)
 
 
+def q_gold_incremental(spark, d):
+    base = scratch_path(spark, "gold-incremental")
+    feed, dims = tf.feed(spark, d), (tf.customers(spark, d), tf.employees(spark, d))
+    half = F.pmod(F.hash("order_id"), F.lit(2))
+    for part in (0, 1):
+        write_layer(feed.where(half == part), f"{base}/raw", part)
+        run_silver(spark, f"{base}/raw/run-*", tf.neighborhoods(spark, d), f"{base}/silver", f"{base}/_ckpt/silver")
+        run_gold(spark, f"{base}/silver", SILVER_SCHEMA, *dims, f"{base}/gold", f"{base}/_ckpt/gold")
+    return spark.read.parquet(f"{base}/gold").select(*GOLD_COLUMNS)
+
+
+def q_ingest_with_quarantine(spark, d):
+    base = scratch_path(spark, "ingest-quarantine")
+    append_orders(tf.wire_lines(spark, d), tf.bad_lines(spark)).write.text(f"{base}/wire")
+    start_ingest_with_quarantine(orders_stream(spark, "text", f"{base}/wire"), f"{base}/landing", f"{base}/_ckpt",
+                                 trigger={"availableNow": True}).awaitTermination()
+    return spark.read.schema(LANDING_SCHEMA).parquet(f"{base}/landing")
+
+
+# Rows that the gate of the two keys below holds back, and the days of a wire file.
+GATE_ROWS, GATE_DAYS = 600, 3
+
+
+def _gated(spark: SparkSession, d: str) -> str:
+    """Run the gate over wire files of three days each, one a micro-batch; the staging folder."""
+    base = scratch_path(spark, "gated")
+    feed = tf.feed(spark, d).withColumn("part", F.floor(F.substring("date", 1, 2).cast("int") / GATE_DAYS))
+    parts = [r.part for r in feed.select("part").distinct().orderBy("part").collect()]  # at most eleven
+    stored = write_layer(feed, f"{base}/feed", 1, partition_by=["part"])
+    for part in parts:  # the stream takes files in the order they were written
+        one = spark.read.schema(ORDER_SCHEMA).parquet(f"{stored}/part={part}")
+        one.select(F.to_json(F.array(F.struct(*ORDER_SCHEMA.names))).alias("value")).coalesce(1).write.text(f"{base}/wire/part-{part:02d}")
+    lines = orders_stream(spark, "text", f"{base}/wire/*", maxFilesPerTrigger="1")
+    start_gated_ingest(lines, f"{base}/staging", f"{base}/_ckpt", threshold=GATE_ROWS,
+                       trigger={"availableNow": True}).awaitTermination()
+    return f"{base}/staging"
+
+
 def q_flush_by_count(spark, d):
-    events = tf.table(spark, d, "events")
-    sizes = (events.groupBy(F.date_format("ts", "yyyyMMddHH").cast("bigint").alias("batch_id"))
-             .agg(F.count(F.lit(1)).alias("n")))
-    return flush_plan(sizes, threshold=50)
+    return flush_ledger(spark, _gated(spark, d))
+
+
+def q_ingest_gated(spark, d):
+    return read_flushed(spark, _gated(spark, d))
 
 
 QUERIES: dict[str, Query] = {

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType,
                                StructField, StructType, TimestampType)
 
-# Fixed values that must equal the feed's conventions.
+# All of this module is fixed values: formats, the record's fields and the layers' column names must equal
+# the feed's conventions.
 EVENT_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss"   # text of the `date` field on the wire
 PARTITION_DATE_FORMAT = "ddMMyyyy"         # silver `partition_date`
 REPORT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"  # event-time report keys

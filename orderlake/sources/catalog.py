@@ -28,7 +28,7 @@ def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
     for table in LAYER_TABLES + DIMENSION_TABLES + sorted(set(dims) - set(DIMENSION_TABLES)):
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
+        drop_relation(spark, f"{db}.{table}")
     written = []
     for name, df in dims.items():
         writer = df.write.mode("overwrite")
@@ -40,6 +40,18 @@ def init_catalog(spark: SparkSession, db: str, dims: dict[str, DataFrame],
     return written
 
 
+def drop_relation(spark: SparkSession, name: str) -> None:
+    """Drop a table or a view of this name, if there is one."""
+    if spark.catalog.tableExists(name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {name}")
+
+
+def list_databases(spark: SparkSession) -> DataFrame:
+    """K9: ``SHOW DATABASES``."""
+    return spark.sql("SHOW DATABASES")
+
+
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
     """K9: table names of one database (``SHOW TABLES FROM db``), session temp views left out."""
     return spark.sql(f"SHOW TABLES FROM {db}").where("NOT isTemporary").select("tableName")
@@ -51,5 +63,12 @@ def register_layer(spark: SparkSession, name: str, path: str) -> str:
     A view over ``parquet.`path``` reads through the file sink's commit log, so
     files of a failed, uncommitted micro-batch never show up in the table.
     """
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return register_query(spark, name, f"SELECT * FROM parquet.`{path}`")
+
+
+def register_query(spark: SparkSession, name: str, query: str) -> str:
+    """A catalog view; a table of the same name gives way."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        drop_relation(spark, name)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
     return name

@@ -24,14 +24,28 @@ def read_landing(spark: SparkSession, glob: str, schema: StructType = ORDER_SCHE
     """All landing files matching ``glob`` as one table, with a declared schema.
 
     Spark fails with PATH_NOT_FOUND when nothing matches; a run without new data
-    is a no-op here, so that case gives an empty typed frame instead.
+    is a no-op here, so that case gives an empty typed frame instead. The folder that the
+    pattern starts from must exist: a mistyped one raises.
     """
     try:
         return spark.read.schema(schema).parquet(glob)
     except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err):
-            return empty_orders(spark, schema)
-        raise
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+    base = glob_base(glob)
+    if base != glob:
+        spark.read.format("binaryFile").load(base)  # raises PATH_NOT_FOUND for a missing folder
+        return empty_orders(spark, schema)
+    return spark.read.schema(schema).parquet(glob)
+
+
+def glob_base(glob: str) -> str:
+    """The folder above the first part of a path that holds a pattern."""
+    parts = glob.split("/")
+    for i, part in enumerate(parts):
+        if any(c in part for c in "*?[{"):
+            return "/".join(parts[:i])
+    return glob
 
 
 def read_bronze_json(spark: SparkSession, path: str, schema: StructType = ORDER_SCHEMA) -> DataFrame:

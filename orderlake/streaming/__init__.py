@@ -1,9 +1,10 @@
 """Structured Streaming jobs: ingest (C1, T1–T2) and incremental layers."""
 
-from .incremental import consume_landing, run_gold, run_silver
-from .ingest import (gated_batch_handler, ingest, ingest_batch_handler, parse_orders, quarantine,
-                     start_gated_ingest, start_ingest, start_ingest_with_quarantine,
-                     start_quarantine, to_wire)
+from .incremental import bound_checkpoint, consume_landing, run_gold, run_silver
+from .ingest import (LANDING_SCHEMA, consume_flushes, flush_ledger, gated_batch_handler, ingest, landed, landed_orders,
+                     landed_rejects, parse_orders, quarantine, read_consumed, read_flushed, start_gated_ingest,
+                     start_ingest, start_ingest_with_quarantine, to_wire)
 
-__all__ = ["consume_landing", "run_gold", "run_silver", "gated_batch_handler", "ingest", "ingest_batch_handler", "parse_orders", "quarantine",
-           "start_gated_ingest", "start_ingest", "start_ingest_with_quarantine", "start_quarantine", "to_wire"]
+__all__ = ["bound_checkpoint", "consume_landing", "run_gold", "run_silver", "LANDING_SCHEMA", "consume_flushes", "flush_ledger",
+           "gated_batch_handler", "ingest", "landed", "landed_orders", "landed_rejects", "parse_orders", "quarantine",
+           "read_consumed", "read_flushed", "start_gated_ingest", "start_ingest", "start_ingest_with_quarantine", "to_wire"]

@@ -8,13 +8,22 @@ lists files through that log, so the chain ingest -> silver is exactly once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.wire import parse_wire, wire_text
+from ..operators.flush import flush_ready
 from ..schemas import ORDER_SCHEMA
+from ..sources.files import empty_orders
+
+#: What the ingest with quarantine lands: an order's fields, or the rejected line, by status.
+LANDING_SCHEMA = StructType(ORDER_SCHEMA.fields + [StructField("value", StringType(), True),
+                                                   StructField("status", StringType(), True)])
 
 
 def to_wire(orders: DataFrame, batch_col: str, cols: list[str] | None = None) -> DataFrame:
@@ -43,10 +52,33 @@ def quarantine(lines: DataFrame) -> DataFrame:
             .select("value"))
 
 
+def landed(lines: DataFrame) -> DataFrame:
+    """Orders and rejected lines of one parse, told apart by ``status`` (:data:`LANDING_SCHEMA`)."""
+    fields = ORDER_SCHEMA.fields
+    text = lambda c: c.cast("string").alias("value")
+    orders = F.transform("data", lambda o: F.struct(*[o[f.name].alias(f.name) for f in fields], text(F.lit(None)),
+                                                    F.lit("order").alias("status")))
+    reject = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], text(F.col("value")),
+                              F.lit("reject").alias("status")))
+    rows = F.when(F.col("data").isNotNull(), orders).when(F.col("value").isNotNull(), reject)
+    return _parsed(lines).select(F.explode(rows).alias("row")).select("row.*")
+
+
+def landed_orders(landing: DataFrame) -> DataFrame:
+    """The orders of a landing frame (batch or stream); only their partition is read."""
+    return landing.where(F.col("status") == "order").select(*ORDER_SCHEMA.names)
+
+
+def landed_rejects(landing: DataFrame) -> DataFrame:
+    return landing.where(F.col("status") == "reject").select("value")
+
+
 def _start(frame: DataFrame, path: str, checkpoint: str, trigger: dict | None,
-           name: str | None) -> StreamingQuery:
+           name: str | None, partition_by: list[str] | None = None) -> StreamingQuery:
     writer = (frame.writeStream.format("parquet").option("path", path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
@@ -59,146 +91,152 @@ def start_ingest(lines: DataFrame, raw_dir: str, checkpoint: str,
     return _start(parse_orders(lines), raw_dir, checkpoint, trigger, name)
 
 
-def start_quarantine(lines: DataFrame, bad_dir: str, checkpoint: str,
-                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Side query that lands rejected wire lines next to the raw layer."""
-    return _start(quarantine(lines), bad_dir, checkpoint, trigger, name)
-
+def start_ingest_with_quarantine(lines: DataFrame, landing: str, checkpoint: str,
+                                 trigger: dict | None = None,
+                                 name: str | None = None) -> StreamingQuery:
+    """C1 with the quarantine branch: one query, one JSON parse a line, one file sink.
 
-def _exists(spark, path: str, schema) -> bool:
-    """True if a Parquet folder is at ``path`` (resolving the path runs no job)."""
-    try:
-        spark.read.schema(schema).parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    Orders and rejects land below ``landing`` in partitions ``status=order`` and ``status=reject``.
+    The sink's log alone says which files count, so files of a cut-off attempt are never seen;
+    read the folder with :data:`LANDING_SCHEMA` and :func:`landed_orders` or :func:`landed_rejects`.
+    """
+    return _start(landed(lines), landing, checkpoint, trigger, name, ["status"])
 
 
-def _committed(spark, path: str) -> bool:
-    """True once a write job has committed ``path`` (its ``_SUCCESS`` marker exists)."""
+def _read_if_there(spark, schema, *paths: str) -> DataFrame | None:
+    """The Parquet below ``paths``; None where no such path exists (any other error is raised)."""
     try:
-        spark.read.text(f"{path}/_SUCCESS")
-        return True
-    except AnalysisException:
-        return False
-
-
-def _ledger_before(spark, ledger: str, batch_id: int):
-    """The ledger row of the micro-batch just before ``batch_id`` (None at the start)."""
-    if batch_id == 0:
-        return None
-    prev = f"{ledger}/batch-{batch_id - 1:012d}"
-    if _exists(spark, prev, LEDGER_SCHEMA):
-        return spark.read.schema(LEDGER_SCHEMA).parquet(prev).first()
-    if not _exists(spark, ledger, LEDGER_SCHEMA):
-        return None
-    rows = spark.read.schema(LEDGER_SCHEMA).parquet(f"{ledger}/batch-*")
-    return rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
+        return spark.read.schema(schema).parquet(*paths)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 LEDGER_COLUMNS = ["batch_id", "n", "level", "flushes", "open_from"]
 LEDGER_SCHEMA = ", ".join(f"{c} bigint" for c in LEDGER_COLUMNS)
 
 
-def ingest_batch_handler(raw_dir: str, bad_dir: str):
-    """``foreachBatch`` function that parses each wire line once and lands both
-    the orders (``raw_dir/batch-<id>``) and the rejected lines
-    (``bad_dir/batch-<id>``).
+def _stage(staging: str, batch_id: int) -> str:
+    return f"{staging}/batch-{batch_id:012d}"
 
-    A batch folder that is already committed is left alone, so a retried batch
-    never puts new file names next to ones a downstream reader may have
-    consumed. Downstream jobs read ``raw_dir/batch-*`` with their own checkpoint.
-    """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        raw, bad = f"{raw_dir}/batch-{batch_id:012d}", f"{bad_dir}/batch-{batch_id:012d}"
-        if _committed(spark, raw) and _committed(spark, bad):
-            return
-        parsed = _parsed(batch).persist()  # one parse feeds both writes
-        try:
-            if not _committed(spark, raw):
-                (parsed.select(F.explode("data").alias("order")).select("order.*")
-                 .write.mode("overwrite").parquet(raw))
-            if not _committed(spark, bad):
-                (parsed.where(F.col("data").isNull() & F.col("value").isNotNull()).select("value")
-                 .write.mode("overwrite").parquet(bad))
-        finally:
-            parsed.unpersist()
 
-    return handle
-
-
-def start_ingest_with_quarantine(lines: DataFrame, raw_dir: str, bad_dir: str, checkpoint: str,
-                                 trigger: dict | None = None,
-                                 name: str | None = None) -> StreamingQuery:
-    """C1 with the quarantine branch in one query and one JSON parse per line."""
-    writer = (lines.writeStream.foreachBatch(ingest_batch_handler(raw_dir, bad_dir))
-              .option("checkpointLocation", checkpoint))
-    if name:
-        writer = writer.queryName(name)
-    return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
+def _ledger_before(spark, ledger: str, batch_id: int):
+    """The ledger row of the last micro-batch before ``batch_id`` (None at the start)."""
+    if batch_id == 0:
+        return None
+    prev = _read_if_there(spark, LEDGER_SCHEMA, f"{ledger}/batch-{batch_id - 1:012d}")
+    if prev is not None:
+        return prev.first()
+    rows = _read_if_there(spark, LEDGER_SCHEMA, f"{ledger}/batch-*")
+    if rows is None:
+        return None
+    return rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
 
 
-def gated_batch_handler(staging: str, raw_dir: str, threshold: int = 50):
+def gated_batch_handler(staging: str, threshold: int = 50):
     """The ``foreachBatch`` function of :func:`start_gated_ingest`.
 
-    Running it again for the same batch id and data (a retry) rewrites the
-    same staged folder and ledger row and leaves a committed flush alone.
+    Orders are staged first, the ledger row that publishes them comes second. A retry of the batch
+    writes the same folder and the same row again; until the row is there, nobody reads the folder.
     """
     ledger = f"{staging}/_ledger"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stage = f"{staging}/batch-{batch_id:012d}"
-        parse_orders(batch).write.mode("overwrite").parquet(stage)
-        n = spark.read.schema(ORDER_SCHEMA).parquet(stage).count()
+        parse_orders(batch).write.mode("overwrite").parquet(_stage(staging, batch_id))
+        staged = spark.read.schema(ORDER_SCHEMA).parquet(_stage(staging, batch_id))
         prev = _ledger_before(spark, ledger, batch_id)
         level, flushes = (prev.level, prev.flushes) if prev else (0, 0)
         open_from = prev.open_from if prev and prev.open_from is not None else batch_id
-        if level + n > threshold:
-            target = f"{raw_dir}/flush-{flushes + 1:010d}"
-            if not _committed(spark, target):
-                staged = [f"{staging}/batch-{b:012d}" for b in range(open_from, batch_id + 1)]
-                staged = [p for p in staged if _exists(spark, p, ORDER_SCHEMA)]
-                spark.read.schema(ORDER_SCHEMA).parquet(*staged).write.mode("overwrite").parquet(target)
-            row = (batch_id, n, 0, flushes + 1, None)
-        else:
-            row = (batch_id, n, level + n, flushes, open_from)
-        (spark.range(1).select(*[F.lit(v).cast("bigint").alias(c) for v, c in zip(row, LEDGER_COLUMNS)])
+        held = F.lit(level) + F.col("n")
+        ready = flush_ready(held, threshold)
+        row = {"batch_id": F.lit(batch_id), "n": F.col("n"), "level": F.when(ready, 0).otherwise(held),
+               "flushes": F.lit(flushes) + F.when(ready, 1).otherwise(0), "open_from": F.when(~ready, F.lit(open_from))}
+        (staged.agg(F.count(F.lit(1)).alias("n")).select(*[row[c].cast("bigint").alias(c) for c in LEDGER_COLUMNS])
          .write.mode("overwrite").parquet(f"{ledger}/batch-{batch_id:012d}"))
 
     return handle
 
 
-def start_gated_ingest(lines: DataFrame, staging: str, raw_dir: str, checkpoint: str,
+def start_gated_ingest(lines: DataFrame, staging: str, checkpoint: str,
                        threshold: int = 50, trigger: dict | None = None,
                        name: str | None = None) -> StreamingQuery:
     """C1 with the reference's count gate (T3/A6): micro-batches gather until more
-    than ``threshold`` rows are buffered, then all of them land in ``raw_dir`` as
-    one file set ``flush-<k>`` and the buffer starts empty.
+    than ``threshold`` rows are buffered, then all of them count as one flush and the buffer
+    starts empty.
 
     The buffer is on shared storage, not on the driver: every micro-batch is
-    staged under its batch id (overwrite, so a retry replaces it), and a
-    one-row ledger per batch keeps the buffer level, the flush count and the
-    first buffered batch. A flush reads the staged folders as one distributed
-    scan and writes them once; a retry finds the committed flush folder and
-    leaves it alone, so downstream readers never see a flush twice. Rows still
-    below the threshold stay staged until a later batch carries them out.
+    staged once under its batch id, and a one-row ledger per batch keeps the buffer level, the
+    flush count and the first buffered batch. The ledger is the manifest: :func:`read_flushed`
+    reads the folders of flushed batches and no others, so nothing is copied on a flush and a
+    retry can't double anything. Rows below the threshold stay out of sight until a
+    later batch carries them out. Memory does not depend on the threshold.
     """
-    writer = (lines.writeStream.foreachBatch(gated_batch_handler(staging, raw_dir, threshold))
+    writer = (lines.writeStream.foreachBatch(gated_batch_handler(staging, threshold))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
-def ingest(lines: DataFrame, raw_path: str, checkpoint: str, min_rows: int | None = None,
-           staging: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """C1 as planned: land wire lines in ``raw_path``; with ``min_rows`` (51 in the
-    reference, i.e. more than 50) batches gather in ``staging`` until a flush."""
+def flush_ledger(spark, staging: str) -> DataFrame:
+    """``batch_id, n, flush_id, flushed`` per micro-batch, from the gate's ledger.
+
+    ``flush_id`` numbers (from 1) the flush that carries the batch out, null while it is buffered;
+    ``flushed`` marks the batch that closes its flush.
+    """
+    rows = _read_if_there(spark, LEDGER_SCHEMA, f"{staging}/_ledger/batch-*")
+    if rows is None:
+        return empty_orders(spark, StructType.fromDDL("batch_id bigint, n bigint, flush_id bigint, flushed boolean"))
+    total = rows.agg(F.max("flushes")).first()[0]
+    closes = F.col("open_from").isNull()
+    own = F.col("flushes") + F.when(closes, 0).otherwise(1)
+    return rows.select("batch_id", "n", F.when(own <= F.lit(total), own).cast("bigint").alias("flush_id"), closes.alias("flushed"))
+
+
+def read_flushed(spark, staging: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """Orders of the flushes numbered above ``after`` (to ``upto``), as the manifest lists them."""
+    listed = flush_ledger(spark, staging).where(F.col("flush_id") > after)
+    if upto is not None:
+        listed = listed.where(F.col("flush_id") <= upto)
+    batches = [r.batch_id for r in listed.orderBy("batch_id").select("batch_id").collect()]  # a row a micro-batch
+    if not batches:
+        return empty_orders(spark)
+    return spark.read.schema(ORDER_SCHEMA).parquet(*[_stage(staging, b) for b in batches])
+
+
+MANIFEST_SCHEMA = "first bigint, last bigint"
+
+
+def consume_flushes(spark, staging: str, transform: Callable[[DataFrame], DataFrame], out_dir: str) -> int:
+    """Process the flushes not yet in ``out_dir``'s manifest, as one part; returns the last flush done.
+
+    The part is written before its manifest row, so a cut-off run leaves nothing that
+    :func:`read_consumed` reads, and the next run starts from the same flush.
+    """
+    done = _read_if_there(spark, MANIFEST_SCHEMA, f"{out_dir}/_manifest/part-of-*")
+    before = (done.agg(F.max("last")).first()[0] or 0) if done is not None else 0
+    last = flush_ledger(spark, staging).agg(F.max("flush_id")).first()[0] or 0
+    if last > before:
+        transform(read_flushed(spark, staging, before, last)).write.mode("overwrite").parquet(
+            f"{out_dir}/flush-{before + 1:010d}-{last:010d}")
+        (spark.range(1).select(F.lit(before + 1).cast("bigint").alias("first"), F.lit(last).cast("bigint").alias("last"))
+         .write.mode("overwrite").parquet(f"{out_dir}/_manifest/part-of-{before + 1:010d}"))
+    return max(last, before)
+
+
+def read_consumed(spark, out_dir: str, schema: StructType) -> DataFrame:
+    """The parts that ``out_dir``'s manifest lists."""
+    done = _read_if_there(spark, MANIFEST_SCHEMA, f"{out_dir}/_manifest/part-of-*")
+    parts = [] if done is None else [f"{out_dir}/flush-{r.first:010d}-{r.last:010d}" for r in done.collect()]
+    return spark.read.schema(schema).parquet(*parts) if parts else empty_orders(spark, schema)
+
+
+def ingest(lines: DataFrame, path: str, checkpoint: str, min_rows: int | None = None,
+           trigger: dict | None = None) -> StreamingQuery:
+    """C1 as planned: land wire lines in ``path``; with ``min_rows`` (51 in the reference, i.e.
+    more than 50) ``path`` is the staging folder of a gated ingest."""
     if min_rows is None:
-        return start_ingest(lines, raw_path, checkpoint, trigger)
-    if staging is None:
-        raise ValueError("a gated ingest needs a staging folder")
-    return start_gated_ingest(lines, staging, raw_path, checkpoint, threshold=min_rows - 1,
-                              trigger=trigger)
+        return start_ingest(lines, path, checkpoint, trigger)
+    return start_gated_ingest(lines, path, checkpoint, threshold=min_rows - 1, trigger=trigger)

@@ -2,16 +2,14 @@
 
 ``events`` is the order feed; ``customer``, ``supplier`` and ``nation``/``region``
 stand in for customers, employees and neighborhoods. Some keys are left
-unmatched on purpose (object ids 25–29, every tenth customer, employee ids past
-the supplier range at small scales).
+unmatched on purpose, on the feed's side (object ids 25–29, every tenth user's customer id, employee
+ids past the supplier range at small scales); every row of every table takes part.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, StringType, StructField,
-                               StructType)
 
 from .schemas import EVENT_TIME_FORMAT
 
@@ -28,14 +26,14 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (((eid * 91) % 1000).cast("double") / 100).alias("latitude"),
         (((eid * 37) % 1000).cast("double") / 100).alias("longitude"),
         F.date_format("ts", EVENT_TIME_FORMAT).alias("date"),
-        F.col("user_id").cast("int").alias("customer_id"),
+        F.when(F.col("user_id") % 10 == 9, -F.col("user_id")).otherwise(F.col("user_id")).cast("int").alias("customer_id"),
         (eid % 120).cast("int").alias("employee_id"),
         F.floor("value").cast("int").alias("quantity_products"),
         F.concat(F.lit("evt-"), F.lpad(eid.cast("string"), 8, "0")).alias("order_id"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 9).select(
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("int").alias("customer_id"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("phone"), F.concat("c_name", F.lit("@x")).alias("email"),
         F.col("c_mktsegment").alias("address"))
@@ -56,14 +54,8 @@ def neighborhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
         region["r_name"].alias("IDENTIFICACION"))
 
 
-POINT = StructType([StructField("x", DoubleType()), StructField("y", DoubleType())])
-POLYGON_SCHEMA = StructType([
-    StructField("polygon_id", IntegerType()),
-    StructField("name", StringType()),
-    StructField("rings", ArrayType(ArrayType(POINT))),
-])
-
-# Fixed test polygons (FIXTURES.md §3): concave, with a hole, overlapping, boundary.
+# Fixed test polygons (FIXTURES.md §3): concave, with a hole, overlapping, boundary. Their sequence
+# (``poly_seq``) is the reverse of their ids.
 POLYGONS = [
     (1, "concave", [[(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0), (2.0, 4.0), (0.0, 4.0)]]),
     (2, "hole", [[(5.0, 5.0), (9.0, 5.0), (9.0, 9.0), (5.0, 9.0)],
@@ -77,15 +69,23 @@ def _polygon_frame(spark: SparkSession, rows) -> DataFrame:
     """Inline polygons as a SQL literal table (built in the JVM, no Python workers)."""
     def ring(r):
         return "array(" + ", ".join(f"named_struct('x', {x!r}D, 'y', {y!r}D)" for x, y in r) + ")"
-    values = ", ".join(f"({pid}, '{name}', array({', '.join(ring(r) for r in rings)}))"
+    values = ", ".join(f"({pid}, '{name}', array({', '.join(ring(r) for r in rings)}), {-pid})"
                        for pid, name, rings in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t(polygon_id, name, rings)")
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(polygon_id, name, rings, poly_seq)")
 
 
 def polygons(spark: SparkSession, ids: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     return _polygon_frame(spark, [p for p in POLYGONS if p[0] in ids])
 
 
+def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon an order: a square beside its coordinate."""
+    x, y = F.col("longitude"), F.col("latitude")
+    corner = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    ring = F.array(corner(0.0, 0.0), corner(0.5, 0.0), corner(0.5, 0.25), corner(0.0, 0.25))
+    return feed(spark, sf_dir).select(F.col("order_id").alias("polygon_id"), F.array(ring).alias("rings"))
+
+
 def boundary(spark: SparkSession) -> DataFrame:
     return _polygon_frame(spark, BOUNDARY)
 

@@ -1,48 +1,26 @@
-import random
-
-from orderlake.operators.flush import flush_plan
-
-
-def _fold(rows, threshold):
-    s = f = 0
-    out = []
-    for k, n in rows:
-        closes = s + n > threshold
-        out.append((k, n, f, closes))
-        s, f = (0, f + 1) if closes else (s + n, f)
-    return sorted((k, n, fl + 1 if fl < f else None, c) for k, n, fl, c in out)
-
-
-def test_fixture_sizes_7_x_100(spark):
-    rows = [(i, 7) for i in range(100)]
-    out = sorted(tuple(r) for r in flush_plan(spark.createDataFrame(rows, "batch_id long, n long"), 50).collect())
-    closing = [r[0] for r in out if r[3]]
-    assert closing == [i for i in range(7, 100, 8)]           # 56 > 50 after every 8th batch
-    assert [r[0] for r in out if r[2] is None] == [96, 97, 98, 99]  # 4 batches stay buffered
-
-
-def test_matches_sequential_fold(spark):
-    random.seed(7)
-    for fanout, n_batches, threshold in [(2, 1, 50), (3, 40, 20), (64, 500, 50), (5, 200, 3)]:
-        ids = sorted(random.sample(range(-50, n_batches * 5), n_batches))
-        rows = [(k, random.randint(0, 40)) for k in ids]
-        df = spark.createDataFrame(rows, "batch_id long, n long")
-        got = sorted(tuple(r) for r in flush_plan(df, threshold, fanout=fanout).collect())
-        assert got == _fold(rows, threshold)
-
-
-def test_empty_sizes(spark):
-    assert flush_plan(spark.createDataFrame([], "batch_id long, n long")).count() == 0
-
-
 def test_flush_ready_threshold(spark):
     from orderlake.operators.flush import flush_ready
     out = spark.range(49, 53).select("id", flush_ready("id", 50).alias("ready")).collect()
     assert [r.ready for r in out] == [False, False, True, True]
 
 
-def test_planned_name_min_rows(spark):
-    from orderlake.operators import flush_by_count
-    rows = [(i, 7) for i in range(16)]
-    out = flush_by_count(spark.createDataFrame(rows, "batch_id long, n long"), min_rows=51).collect()
-    assert sorted(r.batch_id for r in out if r.flushed) == [7, 15]
+def test_ledger_matches_a_sequential_fold(spark, scratch):
+    """Sizes from nothing to far over the threshold, which may be huge: the gate holds levels, not rows."""
+    import random
+
+    from orderlake.streaming import flush_ledger, gated_batch_handler
+    random.seed(7)
+    for threshold in (3, 10_000_000):
+        staging, sizes = f"{scratch}/{threshold}", [random.choice([0, 1, 2, 3, 9]) for _ in range(9)]
+        handle = gated_batch_handler(staging, threshold)
+        expect, held, flush, opened = [], 0, 1, []
+        for i, n in enumerate(sizes):
+            handle(spark.range(n).selectExpr("concat('[{\"order_id\": \"', id, '\"}]') AS value"), i)
+            held += n
+            closes = held > threshold
+            opened.append(i)
+            if closes:
+                expect += [(b, sizes[b], flush, b == i) for b in opened]
+                held, flush, opened = 0, flush + 1, []
+        expect += [(b, sizes[b], None, False) for b in opened]
+        assert sorted(map(tuple, flush_ledger(spark, staging).collect())) == expect

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from orderlake.operators import (at_coordinate, drop_key, flatten, pick, rename, sample_dim,
+from orderlake.operators import (at_coordinate, drop_key, pick, rename, sample_dim,
                                  with_constant)
 
 
@@ -15,7 +15,7 @@ def test_pick_and_drop_by_reference(spark):
 
 def test_flatten_rename_literal_filter_sample(spark):
     df = spark.range(3).select(F.struct(F.col("id").alias("a"), (F.col("id") * 2).alias("b")).alias("d"))
-    flat = flatten(df, "d")
+    flat = df.select("d.*")
     assert flat.columns == ["a", "b"]
     assert rename(flat, {"a": "x", "missing": "y"}).columns == ["x", "b"]
     assert with_constant(flat, "src", "feed").select("src").distinct().first().src == "feed"

@@ -34,9 +34,9 @@ def test_sort_with_map_column(spark):
 
 
 def test_qty_by_event_time_pandas_text(spark):
-    out = [tuple(r) for r in qty_by_event_time(_gold(spark), pandas_text=True).collect()]
+    out = [tuple(r) for r in qty_by_event_time(_gold(spark), missing="NaT").collect()]
     assert out == [("2024-01-01 00:00:01", 5), ("2024-01-01 00:00:02", 0), ("NaT", 8)]
     midnights = spark.createDataFrame([(3, dt.datetime(2024, 1, 1)), (4, dt.datetime(2024, 1, 2)), (1, None)],
                                       "quantity_products int, event_date timestamp")
-    out = [tuple(r) for r in qty_by_event_time(midnights, pandas_text=True).collect()]
+    out = [tuple(r) for r in qty_by_event_time(midnights, "yyyy-MM-dd", "NaT").collect()]
     assert out == [("2024-01-01", 3), ("2024-01-02", 4), ("NaT", 1)]

@@ -10,8 +10,28 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_landing_without_files_is_empty(spark, scratch):
-    df = read_landing(spark, f"{scratch}/nothing/*.parquet", ORDER_SCHEMA)
+    import pytest
+    from pyspark.errors import AnalysisException
+    spark.range(1).write.parquet(f"{scratch}/there/other")
+    df = read_landing(spark, f"{scratch}/there/run-*/*.parquet", ORDER_SCHEMA)
     assert df.count() == 0 and df.schema == ORDER_SCHEMA
+    with pytest.raises(AnalysisException):  # a mistyped folder is no landing without files
+        read_landing(spark, f"{scratch}/their/run-*", ORDER_SCHEMA)
+
+
+def test_catalog_reset_after_registration(spark, scratch):
+    from orderlake.sources import init_catalog, list_databases, register_layer, scan_table
+    db = "reset_" + scratch.rsplit("-", 1)[-1]
+    dims = {"customers": spark.range(3).withColumnRenamed("id", "customer_id")}
+    init_catalog(spark, db, dims, location=f"{scratch}/db")
+    spark.range(5).write.parquet(f"{scratch}/gold")
+    register_layer(spark, f"{db}.gold", f"{scratch}/gold")
+    init_catalog(spark, db, dims)  # drops the view, too
+    assert not spark.catalog.tableExists(f"{db}.gold") and scan_table(spark, f"{db}.customers").count() == 3
+    spark.range(1).write.saveAsTable(f"{db}.gold")
+    register_layer(spark, f"{db}.gold", f"{scratch}/gold")  # a view takes the table's place
+    assert scan_table(spark, f"{db}.gold").count() == 5
+    assert db in [r[0] for r in list_databases(spark).collect()]
 
 
 def test_run_dirs_are_not_partition_columns(spark, scratch):

@@ -33,16 +33,17 @@ def test_points_in_polygons_closed_form(spark, cell):
 def test_assign_first_match_and_left(spark):
     out = {r.order_id: r.polygon_id for r in assign_polygon(_points(spark), tf.polygons(spark), 1.0).collect()}
     assert len(out) == len(POINTS)
-    assert out["overlap"] == 1 and out["in_ring"] == 2 and out["outside"] is None
-    prio = tf.polygons(spark).selectExpr("*", "-polygon_id AS prio")
+    assert out["overlap"] == 3 and out["in_ring"] == 2 and out["outside"] is None  # by poly_seq, the layer's order
     out2 = {r.order_id: r.polygon_id for r in
-            assign_polygon(_points(spark), prio, 1.0, priority="prio").collect()}
-    assert out2["overlap"] == 3
+            assign_polygon(_points(spark), tf.polygons(spark), 1.0, priority="polygon_id").collect()}
+    assert out2["overlap"] == 1
+    out3 = {r.order_id: r.polygon_id for r in assign_polygon(_points(spark), tf.polygons(spark).drop("poly_seq"), 1.0).collect()}
+    assert out3["overlap"] == 1
 
 
 def test_within_area(spark):
     got = {r.order_id for r in within_area(_points(spark), tf.boundary(spark), tf.polygons(spark),
-                                           1.0, 2.5).collect()}
+                                           1.0).collect()}
     assert got == {"in_concave", "in_arm", "in_ring", "overlap"}
     assert {r.order_id for r in within(_points(spark), tf.boundary(spark), 2.5).collect()} == {
         p[0] for p in POINTS if p[0] not in ("far", "edge_of_boundary")}
@@ -52,9 +53,38 @@ def test_bounds_and_cell_clipping(spark):
     b = {r.polygon_id: tuple(r)[1:] for r in polygon_bounds(tf.polygons(spark)).collect()}
     assert b[1] == (0.0, 0.0, 4.0, 4.0) and b[2] == (5.0, 5.0, 9.0, 9.0)
     idx = cell_index(tf.boundary(spark), 1.0).collect()
-    assert len(idx) == 11 * 10
-    # every cell keeps only the boundary edges that can matter for it
+    assert len(idx) == 11 * 11  # a row of slack below y = 0
+    # every cell keeps only the boundary edges that can matter for it, and inner cells none
     assert max(len(r.candidates[0].edges) for r in idx) <= 4
+    assert all(r.candidates[0].whole and not r.candidates[0].edges for r in idx if 1 <= r.cx <= 8 and 1 <= r.cy <= 7)
+
+
+def test_one_huge_polygon_among_small_ones(spark):
+    import math
+
+    from pyspark.sql import functions as F
+    circle = [(50 + 50 * math.cos(2 * math.pi * i / 1000), 50 + 50 * math.sin(2 * math.pi * i / 1000)) for i in range(1000)]
+    rows = [(i, f"s{i}", [[(i * 2.0, 0.0), (i * 2.0 + 1, 0.0), (i * 2.0 + 1, 1.0), (i * 2.0, 1.0)]]) for i in range(1, 51)]
+    polys = tf._polygon_frame(spark, rows + [(99, "circle", [circle])])
+    idx = cell_index(polys, 1.0).select("level", F.explode("candidates").alias("c")).select("level", "c.id", F.size("c.edges").alias("e"))
+    total = idx.agg(F.count(F.lit(1)).alias("rows"), F.sum("e").alias("edges")).first()
+    assert total.rows < 1_500 and total.edges < 20_000  # 10,201 cells and a million tests by level 0 alone
+    pts = spark.createDataFrame([("in", 50.0, 50.0), ("both", 4.5, 50.0), ("small", 20.5, 0.5), ("out", 0.5, 0.5)],
+                                "order_id string, longitude double, latitude double")
+    got = {(r.order_id, r.polygon_id) for r in points_in_polygons(pts, polys, 1.0).collect()}
+    assert got == {("in", 99), ("both", 99), ("small", 10)}
+
+
+def test_empty_rings_are_ignored(spark):
+    polys = spark.sql("""SELECT * FROM VALUES
+        (1, array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 4D, 'y', 0D), named_struct('x', 4D, 'y', 4D),
+                        named_struct('x', 0D, 'y', 4D)), cast(array() AS array<struct<x:double,y:double>>))),
+        (2, array(cast(array() AS array<struct<x:double,y:double>>))),
+        (3, cast(array() AS array<array<struct<x:double,y:double>>>)), (4, NULL) AS t(polygon_id, rings)""")
+    got = {(r.order_id, r.polygon_id) for r in points_in_polygons(_points(spark), polys, 1.0).collect()}
+    assert {p for _, p in got} == {1} and ("in_concave", 1) in got
+    nothing = assign_polygon(_points(spark), polys.where("polygon_id > 1"), 1.0).collect()
+    assert len(nothing) == len(POINTS) and all(r.polygon_id is None for r in nothing)
 
 
 def test_spatial_join_never_cross(spark):
@@ -78,7 +108,7 @@ def test_random_rectangles_against_closed_form(spark, cell):
     got = sorted((r.order_id, r.polygon_id) for r in points_in_polygons(points, polys, cell).collect())
     expect = sorted((o, pid) for o, x, y in pts for pid, a, b, c, d in rects if a < x < c and b < y < d)
     assert got == expect
-    first = {r.order_id: r.polygon_id for r in assign_polygon(points, polys, cell).collect()}
+    first = {r.order_id: r.polygon_id for r in assign_polygon(points, polys, cell, priority="polygon_id").collect()}
     assert first == {o: min((pid for pid, a, b, c, d in rects if a < x < c and b < y < d), default=None)
                      for o, x, y in pts}
 
@@ -105,12 +135,6 @@ def test_unbounded_index_falls_back_to_shuffle_join(spark):
     assert got == expect
 
 
-def test_assign_neighborhood_default_cell(spark):
-    from orderlake.operators import assign_neighborhood
-    out = {r.order_id: r.polygon_id for r in assign_neighborhood(_points(spark), tf.polygons(spark)).collect()}
-    assert out["overlap"] == 1 and out["in_ring"] == 2 and out["notch"] is None
-
-
 def test_point_columns_named_like_internals_survive(spark):
     pts = _points(spark).selectExpr("*", "'keep' AS cx", "'keep' AS candidates")
     out = points_in_polygons(pts, tf.polygons(spark), 1.0)
