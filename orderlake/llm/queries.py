@@ -112,7 +112,66 @@ _WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 _SHINGLES = """(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"""
 
+_HOST = "translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RULES = ", ".join(f"('{a}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for a, r in URL_RULES)
+_LINK = r"""regexp_extract_all(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is')"""
+_META = r"""regexp_extract_all(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'is')"""
+_TO = r"""regexp_extract(tag, '(?:href\s*=|url\s*=)\s*["'']?([^"''\s>]+)', 1, 'is')"""
+
+
+def _place(source: str, columns: str) -> str:
+    """SQL: host, path and node of the urls of ``source``."""
+    return f"""(SELECT {columns}, coalesce({_HOST}, '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+      {_HOST} || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS node
+    FROM (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM {source}))"""
+
+
 ORACLES: dict[str, str] = {
+    "op5_chat_format": """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+e AS (SELECT *, length(role) + length(text) + 15 + len(regexp_extract_all(role || text, '[\\\\<>]')) AS size FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(size)::BIGINT AS formatted_chars,
+  regexp_full_match(string_agg(role, ' ' ORDER BY turn, role, text), '(system )?user assistant( user assistant)*') AS valid
+FROM e GROUP BY conv_id""",
+    "op8_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(0, length(h) // 2 - 49)) AS u(i)),
+f AS (SELECT s, min(doc_id) AS f FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT doc_id, i, CASE WHEN i <= 50 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) THEN 0 ELSE 1 END AS fresh
+  FROM w JOIN f USING (s) WHERE f < doc_id),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+p AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM p),
+c AS (SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+    string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)""",
+    "op10_url_filters": f"""
+WITH RECURSIVE rules(action, rule, rule_host, rule_path) AS (VALUES {_RULES}),
+p AS {_place('pages', 'page_id, url, html')},
+link AS (SELECT node AS a, regexp_extract(url, '^(.*?)://', 1) AS scheme, host, {_TO} AS target
+  FROM (SELECT *, unnest(list_concat({_LINK}, {_META})) AS tag FROM p WHERE node IS NOT NULL)),
+target AS (SELECT a, CASE WHEN contains(target, '://') THEN target WHEN target LIKE '//%' THEN scheme || ':' || target
+  WHEN target LIKE '/%' THEN scheme || '://' || host || target END AS url FROM link),
+edge AS (SELECT a, node AS b FROM {_place('target', 'a')} WHERE node IS NOT NULL),
+node AS (SELECT a AS node FROM edge UNION SELECT b FROM edge),
+reach(node, other) AS (SELECT node, node FROM node UNION
+  SELECT r.node, e.b FROM reach r JOIN (SELECT a, b FROM edge UNION SELECT b, a FROM edge) e ON e.a = r.other),
+said AS (SELECT r.node, min(action) AS alias FROM reach r
+  JOIN {_place("(SELECT node AS other, 'x://' || node AS url FROM node)", 'other')} o ON o.other = r.other
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    AND NOT EXISTS (SELECT 1 FROM rules z WHERE (o.host = z.rule_host OR ends_with(o.host, '.' || z.rule_host))
+      AND starts_with(o.path, z.rule_path) AND length(z.rule) > length(rules.rule)) GROUP BY r.node),
+best AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+  FROM (SELECT DISTINCT host, path FROM p) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(action, alias, 'allow') AS verdict, action IS NULL AND alias IS NOT NULL AS by_alias
+FROM p LEFT JOIN best USING (host, path) LEFT JOIN said USING (node)""",
     "op6_jaccard_join": f"""
 WITH RECURSIVE s AS (SELECT doc_id, {_SHINGLES} AS s FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
 n AS (SELECT doc_id, len(s) AS n FROM s), u AS (SELECT doc_id, unnest(s) AS s FROM s),

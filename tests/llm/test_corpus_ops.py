@@ -1,0 +1,350 @@
+"""Jaccard join, decontamination, suffix dedup, URL filters, chat, pipeline: against brute force and SQL."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from conftest import ODD
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from orderlake.llm import chat, components, decontaminate, jaccard, packing, shingles, suffixes, tokens, urlrules
+
+SF = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def _documents(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+
+
+def _words(text):
+    lower = text.translate({i: i + 32 for i in range(65, 91)})
+    return re.findall(r"[^\x20\x09-\x0D]+", lower)
+
+
+def _set(text):
+    w = _words(text or "")
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def _link(a, b):
+    both = len(a & b)
+    return bool(a) and bool(b) and 100 * both >= 75 * (len(a) + len(b) - both)
+
+
+def _components(rows):
+    """Least row key by links between rows, which stand for themselves by position."""
+    sets = [_set(t) for _, t in rows]
+    at = list(range(len(rows)))
+
+    def root(i):
+        while at[i] != i:
+            i = at[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if _link(sets[i], sets[j]):
+                at[root(i)] = root(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(root(i), []).append(i)
+    out = [None] * len(rows)
+    for g in groups.values():
+        name = min((rows[i][0] for i in g if rows[i][0] is not None), default=None)
+        for i in g:
+            out[i] = (rows[i][0], len(sets[i]), name if sets[i] else rows[i][0])
+    return out
+
+
+def test_registered_queries_match_their_oracles(spark):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    keys = [k for k in entry.oracle_sql() if k.startswith("op")]
+    assert {"op5_chat_format", "op6_jaccard_join", "op7_decontamination", "op8_suffix_dedup", "op10_url_filters"} <= set(keys)
+    show = lambda v: f"{v:.9g}" if isinstance(v, float) else str(v)
+    for key in keys:
+        df, res = entry.queries()[key](spark, SF), con.execute(entry.oracle_sql()[key])
+        cols = [c[0] for c in res.description]
+        assert sorted(cols) == sorted(df.columns), key
+        got = sorted(tuple(show(r[c]) for c in cols) for r in df.collect())
+        assert got == sorted(tuple(map(show, r)) for r in res.fetchall()), key
+
+
+def test_ten_operators_and_the_pipeline_are_registered():
+    names = list(entry.queries())
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+
+
+def test_shingles_match_a_plain_reading(spark):
+    texts = [t or "" for _, t in ODD] + [t for _, t in _documents(spark)][:60] + ["A b\x0bC\x0cd\re f", "é É x y z w"]
+    hashes = {}
+    for text, own in zip(texts, shingles.shingle_sets([t.encode() for t in texts])):
+        plain = _set(text)
+        assert len(own) == len(plain)
+        for s in plain:
+            h = shingles.shingle_sets([" ".join(s).encode()])[0][0]
+            assert hashes.setdefault(s, h) == h and h in own
+
+
+def _near(rng, base, k):
+    out = list(base)
+    for _ in range(k):
+        out[rng.randrange(len(out))] = f"new{rng.randrange(10**6)}"
+    return out
+
+
+def test_jaccard_join_matches_brute_force_at_all_sizes(spark, docs_of):
+    """Chains of near copies of 1 to 60 words: light, heavy and across the boundary; ties at the threshold."""
+    rng = random.Random(5)
+    texts = []
+    for size in [1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 15, 17, 20, 26, 40, 60] * 2:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for _ in range(4):
+            texts.append(" ".join(words))
+            words = _near(rng, words, rng.choice([0, 0, 1])) if rng.random() < .7 else words + [f"t{rng.randrange(10**6)}"]
+        texts.append("a line that every one of them has at its very end " + " ".join(words))
+    texts += ["same"] * 3 + [" ".join("abcdefgh"), " ".join("abcdefghi"), " ".join("abcdefghij")]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    for light_most in (0, jaccard.LIGHT_MOST):
+        before, jaccard.LIGHT_MOST = jaccard.LIGHT_MOST, light_most
+        try:
+            got = jaccard.near_duplicates(docs_of(rows)).select("doc_id", "n_shingles", "component_id").collect()
+        finally:
+            jaccard.LIGHT_MOST = before
+        assert sorted(map(tuple, got)) == sorted(_components(rows))
+
+
+def test_jaccard_join_of_odd_rows(spark, docs_of):
+    key = lambda r: tuple((x is None, x) for x in r)
+    docs = docs_of(ODD).withColumn("class", F.lit("clash")).withColumn("token", F.lit("clash"))
+    got = jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(_components(ODD), key=key)
+    assert jaccard.near_duplicates(docs_of([])).count() == 0
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    rows = sorted(((r.doc_id, r.text) for r in kept.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    assert [k for k, _ in rows] == [1, 2, 3, 4, 6, 7, 8, None, None]
+
+
+def test_boundary_follows_cost():
+    assert jaccard.boundary({}) == 0
+    assert jaccard.boundary({3: 10_000, 20: 5}) >= 3          # many tiny sets: cheaper to enumerate
+    assert jaccard.boundary({12: 10_000}) < 12                # subsets of twelve cost more than lists
+    for a in range(1, 80):
+        for b in range(a, 110):
+            i = jaccard.needed(a, b)
+            assert 100 * i >= 75 * (a + b - i) and 100 * (i - 1) < 75 * (a + b - i + 1)
+
+
+def test_connected_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 200), (300, 200), (7, 7), (500, 500)] + [(1000, i) for i in range(1001, 1100)]
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain + [(None, 1)], "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(41)) and got[200] == got[300] == 100 and got[500] == 500 and got[1099] == 1000
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_decontamination_matches_brute_force(spark, docs_of):
+    rng = random.Random(2)
+    word = lambda: f"w{rng.randrange(10**5)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([1, 3, 5, 6, 9, 20, 50, 130, 400])] + [(90, None), (91, ""), (92, "w1 w2")]
+    items.append(items[5])
+    docs = list(ODD)
+    for i, (_, text) in enumerate(items):
+        for j, part in enumerate((1.0, 0.9, 0.78, 0.6)):
+            w = (text or "").split()
+            inside = w[:max(1, int(len(w) * part))]
+            docs.append((1000 + 10 * i + j, " ".join([word() for _ in range(rng.randrange(3000))] + inside + [word() for _ in range(50)])))
+        docs.append((2000 + i, text))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expect = Counter()
+    for k, t in docs:
+        for item, it in set(items):
+            q, d = _set(it), _set(t)
+            if q and len(q & d) >= 0.75 * len(q):
+                expect[(k, item, len(q), len(q & d))] += 1
+    for block in (8 << 20, 600):  # in one block, and in several passes
+        got = decontaminate.leaks(docs_of(docs), bench, block_bytes=block).collect()
+        assert Counter((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in got) == expect
+        clean = decontaminate.clean(docs_of(docs), bench, block_bytes=block).collect()
+        assert Counter((r.doc_id, r.text) for r in clean) == Counter(d for d in docs if not any(e[0] == d[0] for e in expect))
+    assert decontaminate.leaks(docs_of(docs), bench.where("false")).count() == 0
+    assert decontaminate.leaks(docs_of([]), bench).count() == 0
+
+
+def _cut(rows):
+    raw = [(k if k is not None else -(1 << 63), (t or "").encode()) for k, t in rows]
+    first = {}
+    for k, t in raw:
+        for i in range(len(t) - 49):
+            first[t[i:i + 50]] = min(first.get(t[i:i + 50], k), k)
+    out = []
+    for k, t in raw:
+        covered = bytearray(len(t))
+        for i in range(len(t) - 49):
+            if first[t[i:i + 50]] < k:
+                covered[i:i + 50] = b"\x01" * 50
+        kept = bytes(b for b, c in zip(t, covered) if not c)
+        spans = sum(1 for i, c in enumerate(covered) if c and not (i and covered[i - 1]))
+        out.append((len(t), len(t) - len(kept), spans, kept))
+    return out
+
+
+def test_suffix_dedup_matches_brute_force(spark, docs_of, monkeypatch):
+    rng = random.Random(9)
+    letters = "ab cé\n"
+    passage = ["".join(rng.choice(letters + "defgh") for _ in range(n)) for n in (49, 50, 51, 120, 400)]
+    rows = [(k, t if t is None or len(t) < 5000 else t[:3000]) for k, t in ODD] + [(50, "x" * 200), (51, "y" * 49), (52, "xy" * 100)]
+    for i in range(60):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(80)))
+        for _ in range(rng.randrange(4)):
+            p = rng.choice(passage)
+            cut = rng.randrange(3)
+            text += p[cut:] if rng.random() < .5 else p[:len(p) - cut]
+            text += "".join(rng.choice(letters) for _ in range(rng.randrange(30)))
+        rows.append((100 + i // 2, text.upper() if rng.random() < .1 else text))
+    rows += rows[-5:]
+    monkeypatch.setattr(suffixes, "SHARD", 64)  # several shards a bucket, several buckets
+    monkeypatch.setattr(suffixes, "CONTEXTS", 300)
+    expect = Counter((k, *x) for (k, _), x in zip(rows, _cut(rows)))
+    for slice_ in (1 << 23, 40):  # all shared anchors in one pass, or in several
+        monkeypatch.setattr(suffixes, "LOOKED_FOR", slice_)
+        got = suffixes.dedupe(docs_of(rows).withColumn("kept", F.lit("clash"))).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expect
+    assert suffixes.dedupe(docs_of([])).count() == 0
+
+
+def test_merged_transform_equals_sorted_suffixes():
+    rng = np.random.default_rng(4)
+    rows = np.zeros((50, 83), np.uint8)
+    rows[:, :82] = rng.integers(1, 4, (50, 82))
+    rows[10:20, :60] = rows[0, :60]
+    order, group = suffixes.merge([rows[:7], rows[7:30], rows[30:]], 50)
+    text = [np.roll(rows[i // 83], -(i % 83))[:50].tobytes() for i in order]
+    assert text == sorted(text) and sorted(order.tolist()) == list(range(50 * 83))
+    assert all((group[i] == group[i - 1]) == (text[i] == text[i - 1]) for i in range(1, len(text)))
+
+
+def _rule(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = host.translate({i: i + 32 for i in range(65, 91)})
+    fits = [(r, a) for a, r in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+                                ("block", "com/de/")) for h, p in [(r.partition("/")[0], "/" + r.partition("/")[2])]
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, max(fits, key=lambda x: len(x[0]), default=None)
+
+
+def test_url_rules_and_aliases(spark):
+    pages = [(1, "http://A.Example.ORG/es/1?x#y", None), (2, "https://example.org/en/12", ""), (3, "http://shop.com/de/1", "<p>"),
+             (4, "http://shop.com/en/1", '<LINK href="http://shop.com/de/1" rel=canonical>'),      # alias of a blocked page
+             (5, "http://shop.com/it/1", '<meta http-equiv="refresh" content="0;url=/en/1">'),         # a hop further
+             (6, "http://x.net/a", '<link rel="canonical" href="http://x.org/a">'),                    # allowed by its alias
+             (7, "http://x.net/b", '<link rel="canonical" href="http://shop.com/de/9">'),
+             (8, "http://x.net/b", '<link rel="canonical" href="//x.org/b">'),                         # allow goes before block
+             (9, None, '<link rel=canonical href="http://shop.com/de/1">'), (10, "no scheme.com/de/1", None), (11, "", None),
+             (12, "http://com/de/", None), (13, "http://notexample.org?/es/", None), (14, "x://y.com/fr", None), (14, "x://y.com/fr", None),
+             (15, "http://r.net/old", None)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("rule", F.lit("clash"))
+    redirects = spark.createDataFrame([("http://r.net/old", "http://shop.com/de/1"), (None, "http://x.org/a")], "from_url string, to_url string")
+    got = urlrules.judge(frame, urlrules.rules_frame(spark, [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+                                                             ("allow", "com/fr/"), ("block", "com/de/")]), redirects=redirects).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        host, path, best = _rule(r.url)
+        assert (r.host, r.path, r.rule) == (host, path, best and best[0])
+        if best:
+            assert r.verdict == best[1] and not r.by_alias
+    verdicts = {r.page_id: (r.verdict, r.by_alias) for r in got if r.rule is None}
+    assert verdicts == {4: ("block", True), 5: ("block", True), 6: ("allow", True), 7: ("allow", True), 8: ("allow", True), 9: ("allow", False),
+                        10: ("allow", False), 11: ("allow", False), 14: ("allow", False), 15: ("block", True)} | (
+                            {13: ("allow", False)} if 13 in verdicts else {})
+    assert urlrules.judge(frame.where("false"), urlrules.rules_frame(spark, [("allow", "org/")])).count() == 0
+
+
+def test_chat_round_trip(spark):
+    texts = ["plain", None, "", "\\### Assistant: </turn> ok", "a\\b<turn user>x</turn>\n\\l\\g\\\\", "é\U0001f600\n", "</turn>"]
+    rows = [(c, t, ["user", "assistant", "system", None, "we<ird>\\"][(c + t) % 5], texts[(c * t) % len(texts)], "clash")
+            for c in range(6) for t in range(7)]
+    rows += [(None, None, "user", "x", "c"), (9, 1, "user", "same", "c"), (9, 1, "user", "same", "c"), (9, 0, "user", "", "c")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string")
+    made = chat.format_chats(frame)
+    back = {r.conv_id: r for r in chat.read_back(made).collect()}
+    full = {r.conv_id: r for r in made.collect()}
+    conv = {}
+    for c, t, role, text, _ in rows:
+        conv.setdefault(c, []).append((t is not None, t or 0, role or "", text or ""))
+    assert set(conv) == set(back)
+    for c, turns in conv.items():
+        turns = [(r, x) for _, _, r, x in sorted(turns)]
+        assert [(t.role, t.text) for t in back[c].turns] == turns
+        assert back[c].loss_text == "".join(x for r, x in turns if r == "assistant")
+        code = "".join(full[c].formatted[s.start:s.start + s.length] for s in full[c].loss_spans)
+        assert code == "".join(s.text for s in full[c].segments if s.loss)
+        assert full[c].formatted == "".join(s.text for s in full[c].segments)
+    order = lambda *roles: spark.createDataFrame([(1, i, r, "x") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    state = lambda *roles: chat.format_chats(order(*roles)).first().valid
+    assert state("user", "assistant") and state("system", "user", "assistant", "user", "assistant")
+    assert not any(state(*r) for r in (["user"], ["assistant"], ["user", "user", "assistant"], ["user", "assistant", "system"], ["user", "bot"]))
+    assert chat.format_chats(frame.where("false")).count() == 0
+
+
+def test_pipeline_matches_brute_force(spark):
+    """Each stage against a plain reading of its own input."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, bench = docs.columns, [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r for r in docs.collect()}
+        docs = corpus_pipeline.settle(stage(spark, docs, SF), f"test-{name}")
+        after = docs.collect()
+        if name == "packing":
+            whole = tokens.words(tokens.public_path("word_bpe_49k.json"), False)
+            ids = {k: np.append(whole.encode(r.text or ""), 1).astype("<u4") for k, r in before.items()}
+            assert {k: sum(r.length for r in after if r.doc_id == k) for k in ids} == {k: len(v) for k, v in ids.items()}
+            assert all(r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes()) for r in after)
+            continue
+        assert docs.columns == columns and len({r.doc_id for r in after}) == len(after)
+        kept = {r.doc_id for r in after}
+        if name == "language_id":
+            assert len(kept) >= 0.99 * len(before)
+        elif name == "near_duplicates":
+            assert kept == {k for k, n, c in _components([(k, r.text) for k, r in before.items()]) if n == 0 or k == c}
+        elif name == "repeated_strings":
+            rows = [(k, r.text) for k, r in sorted(before.items())]
+            expect = {k: x[3].decode(errors="ignore") for (k, _), x in zip(rows, _cut(rows))}
+            assert {r.doc_id: r.text for r in after} == expect and all(r.n_chars == len(r.text) for r in after)
+        else:
+            items = [_set(b) for b in bench]
+            assert kept == {k for k, r in before.items() if not any(len(q & _set(r.text)) >= 0.75 * len(q) for q in items)}
+
+
+def test_pipeline_on_empty_documents(spark, scratch):
+    for t in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{scratch}/{t}.parquet")
+    assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
+def test_entry_works_without_the_optional_part(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    for name in ("orderlake", "__spark_entry__.py"):
+        src = os.path.join(ROOT, name)
+        (shutil.copytree if os.path.isdir(src) else shutil.copy)(src, tmp_path / name)
+    (tmp_path / "orderlake" / "llm").rename(tmp_path / "gone")
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op1') for k in e.queries()))"],
+                          cwd=tmp_path, capture_output=True, text=True)
+    assert said.returncode == 0 and said.stdout.endswith("False\n"), said.stderr
