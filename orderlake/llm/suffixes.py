@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +42,8 @@ WINDOW = LENGTH - GRAM + 1  # grams in a string, and strings that may hold an an
 CONTEXT = LENGTH + WINDOW - 1
 #: Anchors in a bucket of their exchange; shared anchors that a pass over the texts looks for.
 BUCKET, LOOKED_FOR = 1 << 21, 1 << 23
-#: Rows a task gathers before it counts them; contexts in a bucket and in a shard of it.
-CHUNK, CONTEXTS, SHARD = 1 << 20, 1 << 14, 1 << 12
+#: Anchors and contexts a task gathers before it counts them; contexts in a bucket and in a shard of it.
+CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
 SYMBOL = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
 NOBODY = np.iinfo(np.int64).max
 
@@ -137,16 +138,32 @@ def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[i
 
 
 def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """A row an occurrence of a wanted anchor: anchor, context (its hash), doc, one, two, at (place in the text) and, once
-    a chunk for each context, with the least doc, its bytes and the occurrences it stands for."""
+    """Rows of two kinds. An occurrence of a wanted anchor: context (its hash), doc, one, at (place in the text). A
+    distinct context of a task's chunk: anchor, context, bytes, the least doc and the occurrences it stands for."""
     spark = texts.sparkSession
     ship(spark)
     known = spark.sparkContext.broadcast(wanted)  # at most LOOKED_FOR hashes
+    names = ["anchor", "context", "doc", "one", "at", "bytes", "stands"]
+    kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
+
+    def rows(n: int, **given: np.ndarray | pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(given[c], k) if isinstance(given.get(c), np.ndarray) else
+                                           given[c] if c in given else pa.nulls(n, k) for c, k in zip(names, kinds)], names=names)
+
+    def distinct(held: list[tuple]) -> pa.RecordBatch:
+        code, doc, h, stands, window = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((doc, code))
+        head = np.flatnonzero(np.diff(code[order], prepend=~code[order[:1]]))
+        n, first = np.add.reduceat(stands[order], head), order[head]
+        raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(CONTEXT), len(first), [None, pa.py_buffer(window[first].tobytes())])
+        return rows(len(first), anchor=h[first].view(np.int64), context=code[first].view(np.int64), doc=doc[first],
+                    bytes=raw.cast(pa.binary()), stands=n)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = known.value
+        wanted, held = known.value, []
+        up = powers(CONTEXT)[0]
         for batch in batches:
-            doc = batch.column("doc").to_numpy()
+            doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
             for first, raw in text_slices(batch.column("raw"), 1 << 19):
                 data, text, place, h, begin = anchors(raw)
                 hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
@@ -157,27 +174,26 @@ def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
                 ahead = place - (WINDOW - 1)
                 window = np.lib.stride_tricks.sliding_window_view(data, CONTEXT)[ahead].copy()
                 start, size = begin[text], np.array([len(r) for r in raw], np.int64)[text]
-                at = ahead[:, None] + np.arange(CONTEXT)
-                window[(at < start[:, None]) | (at >= (start + size)[:, None])] = 0
-                up = powers(CONTEXT)[0]
-                code = mix64((SYMBOL[window] * up).sum(1, dtype=np.uint64) ^ h)
-                own = doc[first + text]
+                edge = np.flatnonzero((ahead < start) | (ahead + CONTEXT > start + size))
+                at = ahead[edge, None] + np.arange(CONTEXT)
+                window[edge] *= (at >= start[edge, None]) & (at < (start + size)[edge, None])
+                code = np.zeros(len(h), np.uint64)
+                for k in range(CONTEXT):
+                    code += SYMBOL[window[:, k]] * up[k]
+                code, own = mix64(code ^ h), doc[first + text]
+                yield rows(len(h), context=code.view(np.int64), doc=own, one=one[first + text], at=(place - start).astype(np.int64))
                 order = np.lexsort((own, code))
-                head = order[np.flatnonzero(np.diff(code[order], prepend=~code[order[:1]]))]
-                _, n = np.unique(code, return_counts=True)
-                raws: list = [None] * len(code)
-                stands = np.zeros(len(code), np.int64)
-                stands[head] = n
-                for i in head.tolist():
-                    raws[i] = window[i].tobytes()
-                row = pa.array(first + text)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(h.view(np.int64)), pa.array(code.view(np.int64)), pa.array(own), batch.column("one").take(row),
-                    batch.column("two").take(row), pa.array((place - start).astype(np.int64)), pa.array(raws, pa.binary()), pa.array(stands)],
-                    names=["anchor", "context", "doc", "one", "two", "at", "bytes", "stands"])
-
-    return texts.select("doc", "raw", "one", "two").mapInArrow(
-        read, "anchor long, context long, doc long, one long, two long, at long, bytes binary, stands long")
+                head = np.flatnonzero(np.diff(code[order], prepend=~code[order[:1]]))
+                least = order[head]
+                held.append((code[least], own[least], h[least], np.diff(np.append(head, len(order))), window[least]))
+                if sum(len(x[0]) for x in held) >= KEPT:
+                    yield distinct(held)
+                    held = []
+        if held:
+            yield distinct(held)
+
+    return texts.select("doc", "raw", "one").mapInArrow(
+        read, "anchor long, context long, doc long, one long, at long, bytes binary, stands long")
 
 
 def shard_order(strings: np.ndarray) -> np.ndarray:
@@ -270,16 +286,21 @@ def first_holders(found: DataFrame) -> DataFrame:
     buckets = max(1, -(-distinct.count() // CONTEXTS))
 
     def meet(group: pa.Table) -> pa.Table:
-        context, doc, stands = (group.column(c).to_numpy() for c in ("context", "doc", "stands"))
+        anchor, context, doc, stands = (group.column(c).to_numpy() for c in ("anchor", "context", "doc", "stands"))
         order = np.lexsort((doc, context))
         head = np.flatnonzero(np.diff(context[order], prepend=~context[order[:1]]))
-        n = np.add.reduceat(stands[order], head)
-        first = order[head]
+        n, first = np.add.reduceat(stands[order], head), order[head]
         window = np.frombuffer(b"".join(group.column("bytes").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, CONTEXT)
-        m = least_docs(window, doc[first])
-        m[(n == 1) & ((m == doc[first][:, None]) | (m == NOBODY)).all(1)] = NOBODY  # held by that one place alone
-        rows, runs = _runs(m)
-        return pa.table({"context": pa.array(context[first][rows]), "runs": runs})
+        anchor, context, doc = anchor[first], context[first], doc[first]
+        # The strings of an anchor with one context alone have no other place to stand in.
+        _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
+        m = np.where((window[:, :WINDOW] > 0) & (window[:, LENGTH - 1:] > 0), doc[:, None], NOBODY)
+        several = np.flatnonzero(times[which] > 1)
+        if len(several):
+            m[several] = least_docs(window[several], doc[several])
+        m[(n == 1) & ((m == doc[:, None]) | (m == NOBODY)).all(1)] = NOBODY  # held by that one place alone
+        kept, runs = _runs(m)
+        return pa.table({"context": pa.array(context[kept]), "runs": runs})
 
     return (distinct.select("anchor", "context", "doc", "bytes", "stands")
             .groupBy(F.pmod(F.col("anchor"), F.lit(buckets)).alias("bucket"))
@@ -287,12 +308,35 @@ def first_holders(found: DataFrame) -> DataFrame:
 
 
 def spans_of(found: DataFrame, holders: DataFrame) -> DataFrame:
-    """(doc, one, two, spans): the bytes of each text that strings of earlier documents cover, not yet united."""
-    here = found.select("context", "doc", "one", "two", "at").join(holders, "context")
-    earlier = F.transform(F.filter("runs", lambda r: r["doc"] < F.col("doc")), lambda r: F.struct(
-        (F.col("at") - (WINDOW - 1) + r["a"]).alias("s"), (F.col("at") - (WINDOW - 1) + r["b"] + LENGTH).alias("e")))
-    return (here.select("doc", "one", "two", F.explode(earlier).alias("span"))
-            .groupBy("doc", "one", "two").agg(F.collect_list("span").alias("spans")))
+    """(doc, one, span): runs of bytes of each text that strings of earlier documents cover, each start << 32 | end."""
+    here = found.where("at is not null").select("context", "doc", "one", "at").join(holders, "context")
+    start = F.col("at") - (WINDOW - 1)
+    earlier = F.transform(F.filter("runs", lambda r: r["doc"] < F.col("doc")), lambda r: F.shiftleft(
+        (start + r["a"]).cast("long"), 32).bitwiseOR((start + r["b"] + LENGTH).cast("long")))
+    return here.select("doc", "one", F.explode(earlier).alias("span"))
+
+
+def united(spans: DataFrame) -> DataFrame:
+    """(doc, one, spans): the spans of each text, overlapping and touching ones made one."""
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch.column("spans").flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("spans")).to_numpy())
+            order = np.lexsort((value, row))
+            value, row = value[order], row[order]
+            s, e = value >> 32, value & 0xFFFFFFFF
+            # The farthest end so far within the row: rows are lifted apart, then one running maximum serves all.
+            far = np.maximum.accumulate((row << 33) + e) - (row << 33)
+            fresh = np.ones(len(s), bool)
+            fresh[1:] = (row[1:] != row[:-1]) | (s[1:] > far[:-1])
+            head = np.flatnonzero(fresh)
+            last = np.append(head[1:], len(s)) - 1
+            offsets = np.searchsorted(row[head], np.arange(batch.num_rows + 1))
+            out = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array((s[head] << 32) | far[last]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("one"), out], names=["doc", "one", "spans"])
+
+    lists = spans.groupBy("doc", "one").agg(F.collect_list("span").alias("spans")).select("doc", "one", "spans")
+    return arrow_map(lists, unite, "doc long, one long, spans array<bigint>")
 
 
 def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,20 +348,19 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     thin = settle(texts.select("doc", "one", "two", "n"), "texts")
     classes = thin.groupBy("one", "two").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1")
     copies = settle(thin.join(classes, ["one", "two"]).where("doc > rep").select("doc", "one", "two", "n").distinct(), "copies")
-    names = ["doc", "one", "two"]
-    single = texts.join(broadcast_if_bounded(copies.select(names)), names, "left_anti")
+    single = texts.join(broadcast_if_bounded(copies.select("doc", "one", "two")), ["doc", "one", "two"], "left_anti")
     total = thin.agg(F.sum("n")).first()[0] or 0
-    gone = copies.where(F.col("n") >= LENGTH).select(*names, F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))).alias("spans"))
+    spans = copies.where(F.col("n") >= LENGTH).select("doc", "one", F.col("n").alias("span"))  # a copy goes whole: 0 << 32 | n
     for met, slice_ in shared_anchors(single, total):
         wanted = np.concatenate([np.frombuffer(r["anchors"], np.uint64) for r in
                                  met.where(F.col("bucket").isin(slice_)).orderBy("bucket").select("anchors").collect()])
         found = settle(contexts(single, wanted), "contexts")
         holders = settle(first_holders(found), "holders")
-        gone = gone.unionByName(spans_of(found, holders))
-    gone = settle(gone.groupBy(names).agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
-    own = docs.withColumns({f"_{n}": c for n, c in _identity(key, text).items()})
-    joined = own.join(broadcast_if_bounded(gone.select(*[F.col(c).alias(f"_{c}") for c in names], F.col("spans").alias("_spans")),
-                                           size=F.lit(64) + 16 * F.size("_spans")), [f"_{c}" for c in names], "left")
+        spans = spans.unionByName(spans_of(found, holders))
+    gone = settle(united(spans), "spans").select(F.col("doc").alias("_doc"), F.col("one").alias("_one"), F.col("spans").alias("_spans"))
+    gone = broadcast_if_bounded(gone, size=F.lit(64) + 8 * F.size("_spans"))
+    identity = _identity(key, text)
+    joined = docs.withColumns({"_doc": identity["doc"], "_one": identity["one"]}).join(gone, ["_doc", "_one"], "left")
     rows = joined.select(*[f"`{c}`" for c in docs.columns], "_spans")
     at = docs.columns.index(text)
 
@@ -325,13 +368,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         for batch in batches:
             n, removed, runs, kept = [], [], [], []
             for raw, spans in zip(batch.column(at).cast(pa.binary()), batch.column(batch.num_columns - 1)):
-                raw, spans = raw.as_py() or b"", sorted((x["s"], x["e"]) for x in (spans.as_py() or []))
-                whole: list[list[int]] = []
-                for s, e in spans:
-                    if whole and s <= whole[-1][1]:
-                        whole[-1][1] = max(e, whole[-1][1])
-                    else:
-                        whole.append([s, e])
+                raw, whole = raw.as_py() or b"", [(x >> 32, x & 0xFFFFFFFF) for x in spans.as_py() or []]
                 edges = [0, *[x for run in whole for x in run], len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 n.append(len(raw))
