@@ -41,10 +41,12 @@ from .shingles import shingle_sets
 PERCENT = 75
 #: Sizes from which the boundary is chosen; sets up to it keep their shingles with the class.
 LIGHT_MOST = 12
-#: A shingle in more sets than this, of a chunk of ``CHUNK`` shingles in a task, comes last in the order.
-OFTEN, CHUNK = 16, 1 << 21
-#: Shingles that the order knows as frequent, the most frequent ones: 8 bytes each in every task.
+#: A shingle in more sets than this, of a chunk of ``CHUNK`` shingles in a task, comes late in the order.
+OFTEN, CHUNK = 3, 1 << 21
+#: Shingles that the order knows as frequent, the most frequent ones: 16 bytes each in every task.
 OFTEN_MOST = 1 << 20
+#: Shingles for each counter of a set's summary.
+LOAD = 2
 
 
 def needed(a: int, b: int) -> int:
@@ -79,6 +81,22 @@ def _class_of(tokens: np.ndarray) -> int:
     return int(mix64(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def _summary(tokens: np.ndarray) -> bytes:
+    """Counts of the shingles in a power of two of buckets: the minima of two sets' counts bound their intersection."""
+    bits = max(0, int(np.ceil(np.log2(max(len(tokens), 1) / LOAD))))
+    counts = np.bincount((mix64(tokens) & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""  # without a summary nothing is ruled out
+
+
+def _most_shared(x: bytes, y: bytes, n: int) -> int:
+    """The largest intersection that two summaries allow; ``n`` where one is missing."""
+    if not x or not y:
+        return n
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    width = min(len(a), len(b))
+    return int(np.minimum(a.reshape(-1, width).sum(0), b.reshape(-1, width).sum(0)).sum())
+
+
 def _docs(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(F.col(text).cast("string")).alias("mark"))
@@ -95,7 +113,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             often = n > OFTEN
             none = pa.nulls(int(often.sum()), pa.int64())
             return pa.RecordBatch.from_arrays([none, pa.array(n[often]), none, pa.nulls(len(none), pa.binary()),
-                                               pa.array(tokens[often].view(np.int64)), none], names=names)
+                                               pa.array(tokens[often].view(np.int64)), none, pa.nulls(len(none), pa.binary())], names=names)
 
         for batch in batches:
             for first, texts in text_slices(batch.column(1)):
@@ -104,7 +122,8 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([len(s) for s in found], pa.int64()), pa.array([_class_of(s) for s in found], pa.int64()),
                     pa.array([s.tobytes() if len(s) <= LIGHT_MOST else None for s in found], pa.binary()),
-                    pa.nulls(len(found), pa.int64()), batch.column(2).slice(first, len(texts))], names=names)
+                    pa.nulls(len(found), pa.int64()), batch.column(2).slice(first, len(texts)),
+                    pa.array([_summary(s) for s in found], pa.binary())], names=names)
                 chunk += found
                 held += sum(map(len, found))
                 if held >= CHUNK:
@@ -113,8 +132,8 @@ def sets_of(docs: DataFrame) -> DataFrame:
         if chunk:
             yield frequent()
 
-    names = ["doc_id", "n", "class", "small", "token", "mark"]
-    return arrow_map(docs, read, "doc_id long, n long, class long, small binary, token long, mark long")
+    names = ["doc_id", "n", "class", "small", "token", "mark", "summary"]
+    return arrow_map(docs, read, "doc_id long, n long, class long, small binary, token long, mark long, summary binary")
 
 
 def light_links(classes: DataFrame, most: int) -> DataFrame:
@@ -147,8 +166,11 @@ def light_links(classes: DataFrame, most: int) -> DataFrame:
     return rows.join(heads, "key").where("class <> a").select("a", F.col("class").alias("b")).distinct()
 
 
-def postings(docs: DataFrame, often: np.ndarray, least: int) -> DataFrame:
-    """(token, class, n): the prefix shingles of every set of at least ``least``, frequent ones last in the order."""
+def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int) -> DataFrame:
+    """(token, class, n): the prefix shingles of every set of at least ``least``; in the order frequent ones come last,
+    by their counts. ``often`` has those shingles, ascending, and the counts."""
+    known, times = often
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_slices(batch.column(1)):
@@ -160,10 +182,11 @@ def postings(docs: DataFrame, often: np.ndarray, least: int) -> DataFrame:
                     if c in seen:
                         continue
                     seen.add(c)
-                    late = np.zeros(len(s), bool)
-                    if len(often):
-                        late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
-                    first = np.concatenate([s[~late], s[late]])[:prefix(len(s))]
+                    first = s
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                        first = s[np.argsort(np.where(known[at] == s, times[at], 0), kind="stable")]
+                    first = first[:prefix(len(s))]
                     rows.append((first, np.full(len(first), c), np.full(len(first), len(s))))
                 if rows:
                     token, own, n = (np.concatenate(x) for x in zip(*rows))
@@ -178,8 +201,23 @@ def _fits(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
 
 
+def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that the sets' summaries don't rule out."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for i, (n, x, m, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)))):
+                good[i] = _most_shared(x, y, min(n, m)) >= needed(n, m)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    for side, (n, x) in (("a", ("n", "x")), ("b", ("m", "y"))):
+        pairs = pairs.join(classes.select(F.col("class").alias(side), F.col("n").alias(n), F.col("summary").alias(x)), side)
+    return arrow_map(pairs.select("a", "b", "n", "x", "m", "y"), check, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` (settled) that link, by the exact intersection of their sets."""
+    pairs = settle(plausible(pairs, classes), "plausible")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     keys = settle(wanted.join(classes.select("class", "rep", "n"), "class"), "wanted")
     texts = docs.join(broadcast_if_bounded(keys.withColumnRenamed("rep", "doc_id")), "doc_id").select("doc_id", "text", "class", "n")
@@ -210,15 +248,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return arrow_map(full, check, "a long, b long")
 
 
-def heavy_links(docs: DataFrame, classes: DataFrame, often: np.ndarray, least: int, known: DataFrame) -> DataFrame:
+def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int, known: DataFrame) -> DataFrame:
     """(a, b): verified links between sets of at least ``least`` shingles, enough of them to connect
     every component together with the links ``known``."""
     rows = postings(docs, often, least)
-    heads = (rows.groupBy("token").agg(F.min(F.struct("n", "class")).alias("head"), F.max(F.struct("n", "class")).alias("tail"))
-             .where("head <> tail").select("token", F.col("head.class").alias("head"), F.col("head.n").alias("head_n")))
+    heads = (rows.groupBy("token").agg(F.min("class").alias("head"), F.max("class").alias("tail"))
+             .where("head <> tail").select("token", "head"))
     lists = settle(rows.join(heads, "token").distinct(), "lists")  # shingles of one set alone are gone
-    star = settle(lists.where("class <> head and " + _fits("n", "head_n")).select(
-        F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct(), "star-pairs")
+    star = settle(lists.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct(), "star-pairs")
     found = settle(verified(star, docs, classes), "star-links")
     groups = settle(connected_components(found.unionByName(known)), "star-groups").withColumnRenamed("node", "class")
     # What each list still holds of different components: its largest part against none, the others against all.
@@ -243,11 +280,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     docs = _docs(docs, key, text)
     read = settle(sets_of(docs), "shingle-sets")
-    sets = read.where("class is not null").select("doc_id", "n", "class", "small", "mark")
+    sets = read.where("class is not null").select("doc_id", "n", "class", "small", "mark", "summary")
     counts = read.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
-    often = np.sort(np.array([r["token"] for r in counts.orderBy(F.desc("n"), "token").limit(OFTEN_MOST).select("token").toLocalIterator()],
-                             np.int64).view(np.uint64))
-    classes = settle(sets.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep"), F.first("small").alias("small")), "classes")
+    top = counts.orderBy(F.desc("n"), "token").limit(OFTEN_MOST).select("token", "n").toArrow()
+    token, times = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    often = (token[np.argsort(token)], times[np.argsort(token)])
+    classes = settle(sets.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep"), F.first("small").alias("small"),
+                                                                   F.first("summary").alias("summary")), "classes")
     sizes = {r["n"]: r["c"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     most = boundary(sizes)
     light = settle(light_links(classes, most), "light-links")
