@@ -100,3 +100,10 @@ def test_hot_customer_join_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_reports_read_stored_gold_and_join_nothing(spark):
+    from orderlake.registry import QUERIES
+    for key in ("agg_qty_by_neighborhood", "agg_qty_by_event_time"):
+        plan = plan_text(QUERIES[key](spark, "/root/testdata/sf0.001"))
+        assert "Join" not in plan and "Scan parquet" in plan
