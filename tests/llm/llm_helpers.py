@@ -1,3 +1,5 @@
+"""Rows and fixtures shared by the tests of this folder."""
+
 import os
 import sys
 

@@ -10,7 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import ODD
+from llm_helpers import ODD, docs_of  # noqa: F401  (a fixture)
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
