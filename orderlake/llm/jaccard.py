@@ -8,7 +8,8 @@ of their five-word shingles is at least ``PERCENT`` per cent.
 * Heavy: for the others, sets that link share a shingle among the first ``prefix(n)`` of each in one
   global order. Those shingles make inverted lists. Shingles that many sets hold come last in
   the order, so that lists are short. Each list is scanned against its least member first; what that leaves
-  in different components is then compared within lists, the smaller parts with the rest. Every
+  in different components is then compared within lists, the smaller parts with the rest, where the places of
+  the shingle in both sets leave room for enough others. Every
   pair is verified by the exact size of the intersection.
 
 The boundary is the size where both methods together cost least, by the histogram of small sizes.
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import arrow_map, mix64, settle, text_slices
+from .common import arrow_map, mix64, settle, ship, text_slices
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -42,9 +43,9 @@ PERCENT = 75
 #: Sizes from which the boundary is chosen; sets up to it keep their shingles with the class.
 LIGHT_MOST = 12
 #: A shingle in more sets than this, of a chunk of ``CHUNK`` shingles in a task, comes late in the order.
-OFTEN, CHUNK = 3, 1 << 21
+OFTEN, CHUNK = 1, 1 << 22
 #: Shingles that the order knows as frequent, the most frequent ones: 16 bytes each in every task.
-OFTEN_MOST = 1 << 20
+OFTEN_MOST = 1 << 21
 #: Shingles for each counter of a set's summary.
 LOAD = 2
 
@@ -167,11 +168,15 @@ def light_links(classes: DataFrame, most: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int) -> DataFrame:
-    """(token, class, n): the prefix shingles of every set of at least ``least``; in the order frequent ones come last,
-    by their counts. ``often`` has those shingles, ascending, and the counts."""
-    known, times = often
+    """(token, class, n, pos, rare): the prefix shingles of every set of at least ``least``, their places in the set's
+    order and the set's shingles that aren't frequent. In the order frequent ones come last, by their counts.
+    ``often`` has those shingles, ascending, and the counts."""
+    spark = docs.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast(often)  # at most OFTEN_MOST shingles
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = sent.value
         for batch in batches:
             for _, texts in text_slices(batch.column(1)):
                 rows, seen = [], set()
@@ -182,23 +187,24 @@ def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int)
                     if c in seen:
                         continue
                     seen.add(c)
-                    first = s
+                    first, rare = s, len(s)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                        first = s[np.argsort(np.where(known[at] == s, times[at], 0), kind="stable")]
-                    first = first[:prefix(len(s))]
-                    rows.append((first, np.full(len(first), c), np.full(len(first), len(s))))
+                        seldom = np.where(known[at] == s, times[at], 0)
+                        first, rare = s[np.argsort(seldom, kind="stable")], int((seldom == 0).sum())
+                    k = prefix(len(s))
+                    rows.append((first[:k], np.full(k, c), np.full(k, len(s)), np.arange(1, k + 1), np.full(k, rare)))
                 if rows:
-                    token, own, n = (np.concatenate(x) for x in zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(own), pa.array(n.astype(np.int32))],
-                                                     names=["token", "class", "n"])
+                    token, own, *more = (np.concatenate(x) for x in zip(*rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(own)] + [pa.array(x.astype(np.int32)) for x in more],
+                                                     names=["token", "class", "n", "pos", "rare"])
 
-    return arrow_map(docs, read, "token long, class long, n int")
+    return arrow_map(docs, read, "token long, class long, n int, pos int, rare int")
 
 
-def _fits(a: str, b: str) -> str:
-    """SQL: sets of these sizes can link at all."""
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+def _fits(n: str, pos: str, m: str, other: str) -> str:
+    """SQL: sets of n and m shingles can link, if the shingle at these places is the first that they share."""
+    return f"{PERCENT} * ({n} + {m}) <= {100 + PERCENT} * (1 + least({n} - {pos}, {m} - {other}))"
 
 
 def plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -252,21 +258,22 @@ def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np
     """(a, b): verified links between sets of at least ``least`` shingles, enough of them to connect
     every component together with the links ``known``."""
     rows = postings(docs, often, least)
-    heads = (rows.groupBy("token").agg(F.min("class").alias("head"), F.max("class").alias("tail"))
-             .where("head <> tail").select("token", "head"))
-    lists = settle(rows.join(heads, "token").distinct(), "lists")  # shingles of one set alone are gone
-    star = settle(lists.where("class <> head").select(F.col("head").alias("a"), F.col("class").alias("b")).distinct(), "star-pairs")
+    # The member with the fewest shingles of its own stands nearest to the others.
+    heads = (rows.groupBy("token").agg(F.min(F.struct("rare", "class")).alias("head"), F.min("class").alias("low"), F.max("class").alias("high"))
+             .where("low <> high").select("token", F.col("head.class").alias("head")))
+    lists = settle(rows.drop("rare").join(heads, "token").distinct(), "lists")  # shingles of one set alone are gone
+    star = settle(lists.where("class <> head").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct(), "star-pairs")
     found = settle(verified(star, docs, classes), "star-links")
     groups = settle(connected_components(found.unionByName(known)), "star-groups").withColumnRenamed("node", "class")
     # What each list still holds of different components: its largest part against none, the others against all.
-    member = settle(lists.select("token", "class", "n").join(groups, "class", "left")
+    member = settle(lists.select("token", "class", "n", "pos").join(groups, "class", "left")
                     .withColumn("component", F.coalesce("component", "class")), "members")
     parts = member.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
     largest = (parts.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
                .where("parts > 1").select("token", F.col("top.component").alias("top")))
     minor = member.join(largest, "token").where("component <> top").select(
-        "token", F.col("class").alias("c"), F.col("n").alias("m"), F.col("component").alias("other"))
-    pairs = (minor.join(member, "token").where("component <> other and " + _fits("n", "m"))
+        "token", F.col("class").alias("c"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("other"))
+    pairs = (minor.join(member, "token").where("component <> other and " + _fits("n", "pos", "m", "at"))
              .select(F.least("c", "class").alias("a"), F.greatest("c", "class").alias("b")).distinct())
     more = settle(pairs.join(star, ["a", "b"], "left_anti"), "rest-pairs")
     return found.unionByName(settle(verified(more, docs, classes), "rest-links"))
