@@ -8,7 +8,8 @@ key, judged on the input. Three steps keep this bounded:
    one text has are gone after one exchange of their hashes, counted once a task. Exact copies of a text
    are one text.
 2. Merging. Around each shared anchor stands a context, all strings that may hold it. Distinct
-   contexts are dealt by anchor. Each shard of them has its Burrows-Wheeler transform from its own suffix
+   contexts are dealt by anchor; those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of
+   their strings hold, at last by whole strings, whose least keys Spark's aggregation finds. Each shard of them has its Burrows-Wheeler transform from its own suffix
    array; the transforms are merged by refining their interleave: a stable counting sort by the
    symbols before each suffix, two symbols a step, deepens the order of all shards' suffixes at once. No suffix is
    compared or sorted again. Where neighbours part in a step, their common prefix ends there; after
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ CONTEXT = LENGTH + WINDOW - 1
 BUCKET, LOOKED_FOR = 1 << 21, 1 << 23
 #: Anchors and contexts a task gathers before it counts them; contexts in a bucket and in a shard of it.
 CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
+#: Strings in a copy of a context whose anchor has too many of them: at each level fewer, at last one.
+LEVELS = (17, 6, 1)
 SYMBOL = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
 NOBODY = np.iinfo(np.int64).max
 
@@ -280,15 +284,13 @@ def _runs(m: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     return rows, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), runs)
 
 
-def first_holders(found: DataFrame) -> DataFrame:
-    """(context, runs): for each distinct context the least doc that holds each of its strings."""
-    distinct = found.where("bytes is not null")
-    buckets = max(1, -(-distinct.count() // CONTEXTS))
-
+def _met(rows: DataFrame, buckets: int) -> DataFrame:
+    """(context, runs) of contexts whose anchors stand in no more than about ``CONTEXTS`` of them, a bucket a group."""
     def meet(group: pa.Table) -> pa.Table:
         anchor, context, doc, stands = (group.column(c).to_numpy() for c in ("anchor", "context", "doc", "stands"))
-        order = np.lexsort((doc, context))
-        head = np.flatnonzero(np.diff(context[order], prepend=~context[order[:1]]))
+        order = np.lexsort((doc, anchor, context))
+        a, c = anchor[order], context[order]
+        head = np.flatnonzero(np.diff(c, prepend=~c[:1]) | np.diff(a, prepend=~a[:1]))
         n, first = np.add.reduceat(stands[order], head), order[head]
         window = np.frombuffer(b"".join(group.column("bytes").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, CONTEXT)
         anchor, context, doc = anchor[first], context[first], doc[first]
@@ -302,11 +304,67 @@ def first_holders(found: DataFrame) -> DataFrame:
         kept, runs = _runs(m)
         return pa.table({"context": pa.array(context[kept]), "runs": runs})
 
-    return (distinct.select("anchor", "context", "doc", "bytes", "stands")
+    return (rows.select("anchor", "context", "doc", "bytes", "stands")
             .groupBy(F.pmod(F.col("anchor"), F.lit(buckets)).alias("bucket"))
             .applyInArrow(meet, "context long, runs array<struct<a int, b int, doc long>>"))
 
 
+def _crowded(rows: DataFrame, buckets: int) -> DataFrame | None:
+    """The anchors in more than ``CONTEXTS`` rows, if any; they are counted only in cells that have as many."""
+    cell, n = F.pmod(F.col("anchor"), F.lit(16 * buckets)), F.count(F.lit(1)).alias("n")
+    full = settle(rows.groupBy(cell.alias("cell")).agg(n).where(F.col("n") > CONTEXTS).select("cell"), "cells")
+    if full.isEmpty():
+        return None
+    counted = rows.select("anchor", cell.alias("cell")).join(broadcast_if_bounded(full), "cell").groupBy("anchor").agg(n)
+    hot = settle(counted.where(F.col("n") > CONTEXTS).select("anchor"), "hot-anchors")
+    return None if hot.isEmpty() else broadcast_if_bounded(hot)
+
+
+def _copies(rows: DataFrame, width: int) -> DataFrame:
+    """A copy of each context for every ``width`` of its strings, zeros beside them; its anchor is what they all hold."""
+    zeros = f"X'{'00' * CONTEXT}'"
+    parts = rows.selectExpr("context", "doc", "bytes", "stands", "hi AS last", f"explode(sequence(lo, hi, {width})) AS lo").selectExpr(
+        "context", "doc", "bytes", "stands", "lo", f"least(lo + {width - 1}, last) AS hi")
+    # Zeros stand at the ends alone, so a part that all strings hold is whole if its ends are.
+    return parts.where(f"substring(bytes, hi + 1, 1) <> X'00' AND substring(bytes, lo + {LENGTH}, 1) <> X'00'").selectExpr(
+        f"xxhash64(lo, substring(bytes, hi + 1, lo + {LENGTH} - hi)) AS anchor", "context", "doc",
+        f"concat(substring({zeros}, 1, lo), substring(bytes, lo + 1, hi + {LENGTH} - lo), "
+        f"substring({zeros}, 1, {WINDOW - 1} - hi)) AS bytes", "stands", "lo", "hi")
+
+
+def _single(rows: DataFrame) -> DataFrame:
+    """(context, runs) of copies that hold one string each: equal strings are reduced by grouped minima."""
+    one = rows.selectExpr("context", "doc", "stands", "lo", f"substring(bytes, lo + 1, {LENGTH}) AS string")
+    least = settle(one.groupBy("string").agg(F.min("doc").alias("first"), F.sum("stands").alias("n")).where("n > 1")
+                   .select("string", "first"), "strings")
+    runs = settle(one.join(broadcast_if_bounded(least), "string").where("first < doc OR stands > 1").select(
+        "context", F.struct(F.col("lo").alias("a"), F.col("lo").alias("b"), F.col("first").alias("doc")).alias("run")), "runs")
+    return runs.groupBy("context").agg(F.collect_list("run").alias("runs"))  # at most WINDOW a context
+
+
+def first_holders(found: DataFrame) -> DataFrame:
+    """(context, runs): for each distinct context the least doc that holds each of its strings.
+
+    Contexts of an anchor in more than ``CONTEXTS`` are dealt by longer parts of their strings, level by level; a
+    context then has a row a copy."""
+    rows = found.where("bytes is not null").select("anchor", "context", "doc", "bytes", "stands")
+    out = []
+    for width in LEVELS:
+        buckets = max(1, -(-rows.count() // CONTEXTS))
+        hot = _crowded(rows, buckets)
+        out.append(_met(rows if hot is None else rows.join(hot, "anchor", "left_anti"), buckets))
+        if hot is None:
+            break
+        rows = rows.join(hot, "anchor")
+        if width == LEVELS[0]:  # tasks' chunks repeat a context
+            rows = (rows.groupBy("context").agg(F.min("doc").alias("doc"), F.first("bytes").alias("bytes"), F.sum("stands").alias("stands"))
+                    .withColumns({"lo": F.lit(0), "hi": F.lit(WINDOW - 1)}))
+        rows = settle(_copies(rows, width), f"copies-{width}")
+    else:
+        out.append(_single(rows))
+    return reduce(DataFrame.unionByName, out)
+
+
 def spans_of(found: DataFrame, holders: DataFrame) -> DataFrame:
     """(doc, one, span): runs of bytes of each text that strings of earlier documents cover, each start << 32 | end."""
     here = found.where("at is not null").select("context", "doc", "one", "at").join(holders, "context")

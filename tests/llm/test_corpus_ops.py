@@ -224,6 +224,28 @@ def test_suffix_dedup_matches_brute_force(spark, docs_of, monkeypatch):
     assert suffixes.dedupe(docs_of([])).count() == 0
 
 
+def test_suffix_dedup_deals_a_common_gram_to_many_groups(spark, docs_of, monkeypatch):
+    """One gram before unique text in every document, repeated strings of all lengths around it: no group is larger than the bound."""
+    rng = random.Random(3)
+    draw = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    head, tails, rows = "Confidential header", [draw(60) for _ in range(6)], []
+    for i in range(240):
+        before, after = rng.choice(["", draw(40), tails[0], tails[1][20:]]), rng.choice([draw(60), draw(60), rng.choice(tails)[:rng.randrange(20, 60)] + draw(30)])
+        rows.append((i // 2 if i % 5 else i, before + head + after))
+    rows += [(1000 + i, "A much longer header that stands before all of these texts, " + draw(80)) for i in range(80)] + [(None, head + tails[2])]
+    monkeypatch.setattr(suffixes, "CONTEXTS", 20)
+    met, largest = suffixes._met, []
+
+    def watch(contexts, buckets):
+        largest.append(contexts.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return met(contexts, buckets)
+
+    monkeypatch.setattr(suffixes, "_met", watch)
+    got = suffixes.dedupe(docs_of(rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == Counter((k, *x) for (k, _), x in zip(rows, _cut(rows)))
+    assert len(largest) == 3 and max(largest) <= 20
+
+
 def test_merged_transform_equals_sorted_suffixes():
     rng = np.random.default_rng(4)
     rows = np.zeros((50, 83), np.uint8)
