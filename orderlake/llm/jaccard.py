@@ -225,8 +225,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     """The (a, b) of ``pairs`` (settled) that link, by the exact intersection of their sets."""
     pairs = settle(plausible(pairs, classes), "plausible")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    keys = settle(wanted.join(classes.select("class", "rep", "n"), "class"), "wanted")
-    texts = docs.join(broadcast_if_bounded(keys.withColumnRenamed("rep", "doc_id")), "doc_id").select("doc_id", "text", "class", "n")
+    keys = settle(wanted.join(classes.select("class", F.col("rep").alias("_rep"), F.col("rep_mark").alias("_mark"), "n"), "class"), "wanted")
+    same = F.col("doc_id").eqNullSafe(F.col("_rep")) & F.col("mark").eqNullSafe(F.col("_mark"))
+    texts = docs.join(broadcast_if_bounded(keys), same).select("doc_id", "text", "class", "n")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,7 +238,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int64()),
                                                   pa.array([s.tobytes() for _, s in got], pa.binary())], names=["class", "tokens"])
 
-    # A key may stand on several rows; the class picks the one with this set, and one of equal ones.
+    # Rows with the same key and text have one set; the class takes one of them.
     sets = settle(arrow_map(texts, read, "class long, tokens binary").dropDuplicates(["class"]), "sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,8 +293,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     top = counts.orderBy(F.desc("n"), "token").limit(OFTEN_MOST).select("token", "n").toArrow()
     token, times = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
     often = (token[np.argsort(token)], times[np.argsort(token)])
-    classes = settle(sets.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("rep"), F.first("small").alias("small"),
-                                                                   F.first("summary").alias("summary")), "classes")
+    # Null keys come last; the mark tells rows with the same key apart.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("least")
+    classes = settle(sets.where("n > 0").groupBy("class", "n").agg(least, F.first("small").alias("small"), F.first("summary").alias("summary"))
+                     .select("class", "n", F.col("least.doc_id").alias("rep"), F.col("least.mark").alias("rep_mark"), "small", "summary"), "classes")
     sizes = {r["n"]: r["c"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     most = boundary(sizes)
     light = settle(light_links(classes, most), "light-links")

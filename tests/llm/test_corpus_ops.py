@@ -137,6 +137,28 @@ def test_jaccard_join_of_odd_rows(spark, docs_of):
     assert [k for k, _ in rows] == [1, 2, 3, 4, 6, 7, 8, None, None]
 
 
+def test_jaccard_join_links_rows_with_null_and_repeated_keys(spark, docs_of):
+    """Near copies of more shingles than the light method takes: all without a key, a chain through such a row, and one key on many rows."""
+    rng = random.Random(12)
+    draw = lambda n=60: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = []
+    for keys in ((None, None), (None, None, None), (3, None, 2), (9, None), (7, 7), (7, 7, 8)):
+        words = draw()
+        for i, k in enumerate(keys):  # each has three more words than the one before it
+            rows.append((k, " ".join(words + draw(3 * i))))
+    chain = draw(80)
+    rows += [(21, " ".join(chain[:50])), (None, " ".join(chain[:64])), (20, " ".join(chain[:80]))]  # 46, 60 and 76 shingles
+    rows += [(7, " ".join(draw(30))) for _ in range(20)] + [(None, " ".join(draw(30))) for _ in range(20)]
+    rows += rows[:2]
+    assert min(len(_set(t)) for _, t in rows) > jaccard.LIGHT_MOST
+    key = lambda r: tuple((x is None, x) for x in r)
+    found = jaccard.near_duplicates(docs_of(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=key) == sorted(_components(rows), key=key)
+    assert len({r.group for r in found}) == 7 + 40
+    kept = jaccard.keep_one(docs_of(rows)).collect()
+    assert len(kept) == 7 + 40 and {2, 7, 9, 20} <= {r.doc_id for r in kept}
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({}) == 0
     assert jaccard.boundary({3: 10_000, 20: 5}) >= 3          # many tiny sets: cheaper to enumerate
