@@ -45,8 +45,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs, tokens.public_path(PACK_TOKENIZER), PACK_END, SEQUENCE)
+    """The pieces of all documents in sequences of at most 2048 tokens, each with its ids."""
+    return packing.pack(docs, tokens.public_path(PACK_TOKENIZER), PACK_END, SEQUENCE, keep_ids=True)
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("repeated_strings", repeated_strings),

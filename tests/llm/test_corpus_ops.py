@@ -375,6 +375,20 @@ def test_pipeline_matches_brute_force(spark):
             assert kept == {k for k, r in before.items() if not any(len(q & _set(r.text)) >= 0.75 * len(q) for q in items)}
 
 
+def test_pipeline_writes_the_packed_ids(spark):
+    rows = dict(_documents(spark)[:20])
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id").isin(list(rows)))
+    name, stage = corpus_pipeline.STAGES[-1]
+    out = corpus_pipeline.settle(stage(spark, docs, SF), f"test-ids-{name}")
+    whole = tokens.words(tokens.public_path("word_bpe_49k.json"), False)
+    ids = {k: np.append(whole.encode(t or ""), 1).astype("<u4") for k, t in rows.items()}
+    pieces = out.collect()
+    assert sum(r.length for r in pieces) == sum(map(len, ids.values()))
+    assert all(bytes(r.ids) == ids[r.doc_id][r.start:r.start + r.length].tobytes() for r in pieces)
+    made = packing.sequences_of(out).collect()
+    assert all(len(r.ids) == 4 * r.n_tokens <= 4 * 2048 for r in made)
+
+
 def test_pipeline_on_empty_documents(spark, scratch):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").where("false").write.parquet(f"{scratch}/{t}.parquet")
