@@ -61,6 +61,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[f"`{c}`" for c in df.columns if c.lower() not in new])
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have (compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    name = stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def extended(df: DataFrame, fields: str) -> StructType:
     """The schema of ``df`` with more fields after it."""
     return StructType(df.schema.fields + StructType.fromDDL(fields).fields)

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bitpack, chat, decontaminate, fingerprint, jaccard, langid, packing, quality, suffixes, tokens, urlrules
+from . import (bitpack, chat, decontaminate, fim, fingerprint, jaccard, langid, mixing, packing, quality, ranked, suffixes, tokens,
+               urlrules)
 from .common import settle, table
 
 
@@ -103,6 +104,20 @@ def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("doc_id", "quality", "toxic", "quality_site", "toxic_site", keep.alias("keep"))
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    made = fim.restore(fim.transform(table(spark, d, "documents").select("doc_id", "text")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.plan(table(spark, d, "documents")).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items())
            if name.startswith("op") and callable(fn)}
 
@@ -186,4 +201,49 @@ n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
 p AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
 FROM p JOIN n USING (item_id) WHERE n_shared >= 0.75 * n_shingles""",
+    "op11_fill_in_middle": f"""
+WITH h AS (SELECT *, length(text) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+g AS (SELECT doc_id, text, n, {", ".join(f"('0x' || substr(s, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))} FROM h),
+c AS (SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
+    "op12_mixing": """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS hash FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+f AS (SELECT *, sum(size) OVER () AS total, sum(weight) OVER () AS every,
+    coalesce(sum(size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s0,
+    coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w0
+  FROM w WINDOW o AS (ORDER BY size / weight, source NULLS LAST)),
+j AS (SELECT *, 150 * total - 200 * s0 AS remaining, every - w0 AS rest FROM f),
+k AS (SELECT *, 200 * size * rest <= weight * remaining AS stops FROM j),
+g AS (SELECT max(remaining) AS l, max(rest) AS r FROM k WHERE NOT stops),
+t AS (SELECT source, size AS source_size, CASE WHEN stops THEN (2 * size)::DOUBLE ELSE (weight * l)::DOUBLE / (100 * r)::DOUBLE END AS target
+  FROM k CROSS JOIN g),
+p AS (SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS budget, coalesce(sum(size) OVER (
+    PARTITION BY d.source ORDER BY hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0
+  ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - start)) END::BIGINT AS taken FROM p""",
+    "op13_ranked_search": """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+n AS (SELECT doc_id, r, len(w) AS n FROM d WHERE len(w) > 0), c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+t AS (SELECT r, unnest(w) AS term FROM d), f AS (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+q AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+v AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term) CROSS JOIN c),
+s AS (SELECT item_id, text, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN v USING (term) JOIN f USING (term) JOIN (SELECT r, n FROM n) USING (r) CROSS JOIN c GROUP BY item_id, text, r),
+o AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM s JOIN n USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 50""",
 }
