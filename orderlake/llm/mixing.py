@@ -94,6 +94,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.md5(body.cast("binary"))))
     rows = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"),
                        hashed.alias("hash"), (F.col(row) if row else F.monotonically_increasing_id()).alias("row"))
+    rows = settle(rows, "mix-sizes")  # the range sort samples its input first: without this it would read the texts twice
     placed = settle(before(rows, ["source"], ["hash", "row"], {"start": "size"}, "mix-rows"), "mix-placed")
     goals = targets(placed.groupBy("source").agg(F.sum("size").alias("size")), weights, share, epochs)
     goals = settle(goals, "mix-targets").select(F.col("source").alias("of"), F.col("size").alias("source_size"), "target")
