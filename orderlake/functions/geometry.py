@@ -69,3 +69,51 @@ def inside(edges: Column | str, px: Column, py: Column) -> Column:
 
     total = F.aggregate(ed, F.lit(0).cast("bigint"), step)
     return (total < _ON_EDGE) & ((total % 2) == 1)
+
+
+def _x_at(e: Column, py: Column) -> Column:
+    return (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+
+
+def _rises(e: Column) -> Column:
+    return (e["x2"] > e["x1"]) == (e["y2"] > e["y1"])
+
+
+def _odd_on_path(e: Column, ref: Column, px: Column, py: Column) -> Column:
+    """True if an edge is crossed an odd number of times on the way from (px, py) along its height to the line
+    ``x = ref`` and from there straight up.
+
+    The bend of the path is never tested: an edge that straddles both the height and the line passes the bend on
+    a side that its slope and its side of (px, py) decide, so rounding at the bend can't count an edge twice or not at all.
+    """
+    across = (e["y1"] > py) != (e["y2"] > py)
+    over = (e["x1"] > ref) != (e["x2"] > ref)
+    right = F.when(across, px < _x_at(e, py)).otherwise(False)
+    return (F.when(across & over, right != _rises(e))
+            .when(across, right != (F.least(e["x1"], e["x2"]) > ref))
+            .otherwise(over & (F.least(e["y1"], e["y2"]) > py)))
+
+
+def path_parity(edges: Column, odd: Column, ref: Column, px: Column, py: Column) -> Column:
+    """Even-odd state of (px, py) from the edges near it: ``odd`` is the parity of the other edges above, at ``ref``."""
+    return F.aggregate(edges, odd, lambda acc, e: acc != _odd_on_path(e, ref, px, py))
+
+
+def inside_from(edges: Column, odd: Column, ref: Column, px: Column, py: Column) -> Column:
+    """Strict containment from a cell's own edges and its reference parity; a point on an edge is not contained."""
+    def step(acc: Column, e: Column) -> Column:
+        return acc + F.when(_on_edge(e, px, py), F.lit(_ON_EDGE).cast("bigint")).otherwise(
+            _odd_on_path(e, ref, px, py).cast("bigint"))
+
+    total = F.aggregate(edges, odd.cast("bigint"), step)
+    return (total < _ON_EDGE) & ((total % 2) == 1)
+
+
+def moved_reference(edges: Column, state: Column, x: Column, y: Column) -> Column:
+    """The reference parity of ``edges`` at the line through (x, y), a point whose even-odd state is known."""
+    def above(e: Column) -> Column:
+        across = (e["y1"] > y) != (e["y2"] > y)
+        right = F.when(across, x < _x_at(e, y)).otherwise(False)
+        return ((e["x1"] > x) != (e["x2"] > x)) & F.when(across, right != _rises(e)).otherwise(F.least(e["y1"], e["y2"]) > y)
+
+    return F.aggregate(edges, state, lambda acc, e: acc != above(e))

@@ -53,7 +53,7 @@ def test_bounds_and_cell_clipping(spark):
     b = {r.polygon_id: tuple(r)[1:] for r in polygon_bounds(tf.polygons(spark)).collect()}
     assert b[1] == (0.0, 0.0, 4.0, 4.0) and b[2] == (5.0, 5.0, 9.0, 9.0)
     idx = cell_index(tf.boundary(spark), 1.0).collect()
-    assert len(idx) == 11 * 11  # a row of slack below y = 0
+    assert len(idx) == 11 * 10  # no cell beyond the edges
     # every cell keeps only the boundary edges that can matter for it, and inner cells none
     assert max(len(r.candidates[0].edges) for r in idx) <= 4
     assert all(r.candidates[0].whole and not r.candidates[0].edges for r in idx if 1 <= r.cx <= 8 and 1 <= r.cy <= 7)
@@ -140,3 +140,106 @@ def test_point_columns_named_like_internals_survive(spark):
     out = points_in_polygons(pts, tf.polygons(spark), 1.0)
     assert {"cx", "candidates"} <= set(out.columns)
     assert {r.cx for r in out.collect()} == {"keep"}
+
+
+def _even_odd(rings, x, y):
+    """Plain even-odd containment; None on an edge."""
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2) and (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1):
+                return None
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+def _star(rnd, n, cx, cy, least, most):
+    import math
+    return [(cx + r * math.cos(2 * math.pi * i / n), cy + r * math.sin(2 * math.pi * i / n))
+            for i in range(n) for r in [rnd.uniform(least, most)]]
+
+
+def _shapes(seed):
+    """Stars (one with a star-shaped hole), a comb of long teeth, a spiral-like ring on grid lines, a ring that crosses itself."""
+    import random
+    rnd = random.Random(seed)
+    comb = [p for i in range(40) for p in ((i * 0.25, 0.0), (i * 0.25 + 0.125, 7.3 + rnd.random()))] + [(10.0, -1.0), (0.0, -1.0)]
+    steps = [(0, 0), (6, 0), (6, 6), (1, 6), (1, 2), (4, 2), (4, 4), (3, 4), (3, 3), (2, 3), (2, 5), (5, 5), (5, 1), (0, 1)]
+    wild = [(rnd.uniform(0, 9), rnd.uniform(0, 9)) for _ in range(25)]
+    return [(1, "star", [_star(rnd, 300, 3, 3, 0.5, 3), _star(rnd, 50, 3, 3, 0.1, 0.4)]), (2, "comb", [comb]),
+            (3, "steps", [[(float(x), float(y)) for x, y in steps]]), (4, "wild", [wild]),
+            (5, "slanted", [[(-2.0, 1.0), (5.0, 8.5), (9.1, -3.7)]]), (6, "tall", [[(4.5, -9.0), (4.5000001, 9.0), (4.6, 0.0)]])]
+
+
+@pytest.mark.parametrize(("seed", "cell"), [(1, 0.1), (2, 0.37), (3, 1.0), (4, (2.5, 0.2)), (5, (0.2, 2.5)), (6, 40.0)])
+def test_cells_keep_the_reference_parity(spark, seed, cell):
+    """Any shape, any cell: the same as the plain rule, grid points and points near vertices included."""
+    import random
+    shapes, rnd = _shapes(seed), random.Random(seed + 100)
+    spots = [(i / 4, j / 4) for i in range(-12, 42, 2) for j in range(-12, 42, 3)] + [(rnd.uniform(-3, 10), rnd.uniform(-4, 9)) for _ in range(1500)]
+    spots += [(x, y) for _, _, rings in shapes for ring in rings for x, y in ring] + [(x + 1e-7, y) for _, _, rings in shapes for x, y in rings[0]]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "order_id long, longitude double, latitude double")
+    got = {(r.order_id, r.polygon_id) for r in points_in_polygons(points, tf._polygon_frame(spark, shapes), cell).collect()}
+    assert got == {(i, pid) for i, (x, y) in enumerate(spots) for pid, _, rings in shapes if _even_odd(rings, x, y)}
+
+
+@pytest.mark.parametrize("shape", ["star", "comb"])
+def test_index_entries_are_linear_in_vertices(spark, shape):
+    import random
+
+    from pyspark.sql import functions as F
+    per_vertex = []
+    for n in (1_000, 10_000):
+        ring = _star(random.Random(n), n, 50, 50, 49, 50) if shape == "star" else [
+            (i * 100 / n, 100.0 * (i % 2)) for i in range(n)] + [(100.0, -1.0), (0.0, -1.0)]
+        polys = spark.createDataFrame([(1, [ring])], "polygon_id int, rings array<array<struct<x:double,y:double>>>")
+        cells = cell_index(polys, 1.0).select(F.explode("candidates").alias("c")).agg(
+            F.count(F.lit(1)).alias("cells"), F.sum(F.size("c.edges")).alias("edges")).first()
+        per_vertex.append((cells.cells + cells.edges) / n)
+    assert max(per_vertex) < 12 and per_vertex[1] < 1.5 * per_vertex[0] + 1
+
+
+def _hot_points(spark, n, one_spot):
+    from pyspark.sql import functions as F
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0.5) if one_spot else 0.1 + 0.8 * F.rand(1)).otherwise(-2 + 12 * F.rand(2))
+    other = F.when(F.col("id") % 3 == 0, F.lit(0.5) if one_spot else 0.1 + 0.8 * F.rand(3)).otherwise(-3 + 12 * F.rand(4))
+    return spark.range(n).select(F.col("id").alias("order_id"), hot.alias("longitude"), other.alias("latitude"))
+
+
+@pytest.mark.parametrize("one_spot", [False, True])
+def test_hot_cell_is_split_without_broadcast(spark, scratch, one_spot):
+    """A third of all points in one cell: no key and no task of the join gets more than the bound allows."""
+    from pyspark.sql import functions as F
+
+    from orderlake.operators import spatial
+    n, bound, shapes = 30_000, 400, _shapes(9)
+    _hot_points(spark, n, one_spot).write.parquet(scratch)
+    points, polys = spark.read.parquet(scratch), tf._polygon_frame(spark, shapes)
+    expect = {tuple(r) for r in points_in_polygons(points, polys, 1.0).select("order_id", "polygon_id").collect()}
+    brute = {(r.order_id, pid) for r in points.limit(2_000).collect() for pid, _, rings in shapes if _even_odd(rings, r.longitude, r.latitude)}
+    some = {r.order_id for r in points.limit(2_000).collect()}
+    assert {e for e in expect if e[0] in some} == brute
+    placed = points.withColumns({"_ol_ux": F.col("longitude"), "_ol_uy": F.col("latitude"), "_ol_cx": F.floor("longitude"), "_ol_cy": F.floor("latitude")})
+    hot = spatial.hot_cells(placed, bound).collect()
+    assert any(len(r.leaves) + sum(r.leaves.values()) > n / 3 / bound for r in hot)
+    seen = []
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for k, v in zip(was, ("-1", "false", "64")):
+        spark.conf.set(k, v)
+    try:
+        joined = spatial.points_in_polygons(points, polys, 1.0, max_broadcast_rows=0, max_cell_points=bound)
+        dealt = spatial._with_candidates(points, cell_index(polys, 1.0), 1.0, "longitude", "latitude", 0, bound)
+        seen = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert {tuple(r) for r in joined.select("order_id", "polygon_id").collect()} == expect
+        assert joined.columns == [*points.columns, "polygon_id"]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert sum(seen) == n and max(seen) < n / 6  # one key alone had a third before
+
+
+def test_null_coordinates_and_hot_cells(spark):
+    pts = spark.createDataFrame([(i, None if i % 2 else 1.0, 3.0) for i in range(50)], "order_id long, longitude double, latitude double")
+    out = assign_polygon(pts, tf.polygons(spark), 1.0, max_broadcast_rows=0, max_cell_points=4).collect()
+    assert len(out) == 50 and all(r.polygon_id == (None if r.order_id % 2 else 1) for r in out)
