@@ -274,4 +274,13 @@ UNION ALL SELECT 3, NULL, NULL, NULL, NULL, NULL, NULL, 'first'""",
     "ingest_quarantine": "SELECT * FROM (VALUES ('not json at all'), ('')) AS t(value)",
     "consume_incremental": with_(FEED, NEIGHBORHOODS, SILVER) + "SELECT * FROM silver",
     "flush_by_count": with_(FEED).replace("WITH", "WITH RECURSIVE", 1) + GATE + "SELECT rn - 1 AS batch_id, n, flush_id, flushed FROM gate",
+    "gold_gated": with_(FEED, CUSTOMERS, EMPLOYEES, NEIGHBORHOODS, GOLD).replace("WITH", "WITH RECURSIVE", 1) + GATE + """
+SELECT * FROM gold WHERE order_id IN (
+  SELECT order_id FROM feed f JOIN gate g ON CAST(substring(date, 1, 2) AS INT) // 3 = g.part WHERE g.flush_id IS NOT NULL)""",
+    "sink_table_append_retry": with_(FEED) + "SELECT * FROM feed",
+    "sink_table_overwrite_self": with_(FEED) + "SELECT * FROM feed WHERE object_id < 20",
+    "catalog_databases": "SELECT lower(regexp_replace(r_name, '[^A-Za-z]', '_', 'g')) AS region FROM region",
 }
+ORACLES |= {"publish_dims_atomic": ORACLES["publish_dims"], "report_incremental_neighborhood": ORACLES["agg_qty_by_neighborhood"],
+            "report_incremental_time": ORACLES["agg_qty_by_event_time"], "topk_latest_stored": ORACLES["topk_latest"],
+            "sort_desc_stored": ORACLES["sort_desc"]}

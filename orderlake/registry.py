@@ -20,13 +20,17 @@ from .operators import (add_customer, add_employee, add_neighborhood, append_ord
                         qty_by_event_time, qty_by_neighborhood, rename, sample_dim,
                         union_versions, with_constant, within_area)
 from .plans import add_time_parts, to_gold, to_silver
-from .schemas import GOLD_COLUMNS, ORDER_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
+from .schemas import GOLD_COLUMNS, GOLD_SCHEMA, ORDER_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from .session import scratch_path
-from .sinks import append_layer, append_table, export_csv, publish_dims, replace_table, write_layer
-from .sources import (empty_orders, init_catalog, list_tables, orders_stream, read_bronze_json,
+from .sinks import (append_layer, append_table, append_table_once, export_csv, latest_stored, publish_dims, publish_snapshots,
+                    read_snapshot, replace_table, replace_table_snapshot, sorted_stored, write_clustered, write_layer)
+from .sources import (empty_orders, init_catalog, list_databases, list_tables, orders_stream, read_bronze_json,
                       read_landing, read_parquet, scan_table)
-from .streaming import (LANDING_SCHEMA, flush_ledger, parse_orders, quarantine, read_flushed, run_gold,
-                        run_silver, start_gated_ingest, start_ingest, start_ingest_with_quarantine)
+from .storage import move, names
+from .streaming import (LANDING_SCHEMA, consume_flushes, consume_layer, flush_ledger, parse_orders, quarantine, read_consumed,
+                        read_flushed, run_gold, run_reports, run_silver, start_gated_ingest, start_ingest,
+                        start_ingest_with_quarantine, stored_qty_by_event_time, stored_qty_by_neighborhood)
+from .streaming.incremental import GOLD_PARTITIONS, SILVER_PARTITIONS, gold_layout
 
 # Grid cell of the spatial joins: about the width of a test polygon.
 CELL = 1.0
@@ -356,18 +360,22 @@ def q_ingest_with_quarantine(spark, d):
 GATE_ROWS, GATE_DAYS = 600, 3
 
 
-def _gated(spark: SparkSession, d: str) -> str:
-    """Run the gate over wire files of three days each, one a micro-batch; the staging folder."""
+def _gated(spark: SparkSession, d: str, between: Callable[[str], None] | None = None) -> str:
+    """Run the gate over a feed that comes three days at a time, each in one micro-batch; the staging folder.
+
+    ``between`` is called with it after the first half of the feed and at the end.
+    """
     base = scratch_path(spark, "gated")
     feed = tf.feed(spark, d).withColumn("part", F.floor(F.substring("date", 1, 2).cast("int") / GATE_DAYS))
-    parts = [r.part for r in feed.select("part").distinct().orderBy("part").collect()]  # at most eleven
-    stored = write_layer(feed, f"{base}/feed", 1, partition_by=["part"])
-    for part in parts:  # the stream takes files in the order they were written
-        one = spark.read.schema(ORDER_SCHEMA).parquet(f"{stored}/part={part}")
-        one.select(F.to_json(F.array(F.struct(*ORDER_SCHEMA.names))).alias("value")).coalesce(1).write.text(f"{base}/wire/part-{part:02d}")
-    lines = orders_stream(spark, "text", f"{base}/wire/*", maxFilesPerTrigger="1")
-    start_gated_ingest(lines, f"{base}/staging", f"{base}/_ckpt", threshold=GATE_ROWS,
-                       trigger={"availableNow": True}).awaitTermination()
+    wire = feed.select("part", F.to_json(F.array(F.struct(*ORDER_SCHEMA.names))).alias("value"))
+    wire.write.partitionBy("part").text(f"{base}/wire")
+    parts = sorted(int(n.split("=")[1]) for n in names(spark, f"{base}/wire", "part=*"))  # at most eleven
+    for i, part in enumerate(parts):  # as many files as there are tasks; one scheduled run of the gate each
+        move(spark, f"{base}/wire/part={part}", f"{base}/landed/days-{part:02d}")
+        start_gated_ingest(orders_stream(spark, "text", f"{base}/landed/*"), f"{base}/staging", f"{base}/_ckpt", threshold=GATE_ROWS,
+                           trigger={"availableNow": True}).awaitTermination()
+        if between and i in (len(parts) // 2, len(parts) - 1):
+            between(f"{base}/staging")
     return f"{base}/staging"
 
 
@@ -379,6 +387,86 @@ def q_ingest_gated(spark, d):
     return read_flushed(spark, _gated(spark, d))
 
 
+def q_gold_gated(spark, d):
+    """Silver and gold made flush by flush, in two runs."""
+    base, nb, dims = scratch_path(spark, "gold-gated"), tf.neighborhoods(spark, d), (tf.customers(spark, d), tf.employees(spark, d))
+
+    def run(staging: str) -> None:
+        consume_flushes(spark, staging, lambda df: to_silver(df, nb), f"{base}/silver", SILVER_PARTITIONS)
+        consume_layer(spark, f"{base}/silver", SILVER_SCHEMA, lambda df: gold_layout(df, *dims), f"{base}/gold", GOLD_PARTITIONS)
+
+    _gated(spark, d, run)
+    return read_consumed(spark, f"{base}/gold", GOLD_SCHEMA)
+
+
+# --- replacement without a gap, retries, incremental reports, clustered layers --------
+
+def q_sink_table_append_retry(spark, d):
+    db = _scratch_db(spark, "append-retry")
+    feed, half = tf.feed(spark, d), F.pmod(F.hash("order_id"), F.lit(2))
+    for batch in (0, 1, 1, 0):  # both batches come twice
+        append_table_once(feed.where(half == batch), f"{db}.bronze", batch)
+    return scan_table(spark, f"{db}.bronze").drop("batch_id")
+
+
+def q_sink_table_overwrite_self(spark, d):
+    name = f"{_scratch_db(spark, 'overwrite-self')}.bronze"
+    replace_table_snapshot(tf.feed(spark, d), name)
+    replace_table_snapshot(scan_table(spark, name).where("object_id < 20"), name)  # reads the table that it replaces
+    return scan_table(spark, name)
+
+
+def q_publish_dims_atomic(spark, d):
+    dest, dims = scratch_path(spark, "dims-atomic"), ("customer", "supplier", "nation")
+    for _ in range(2):
+        out = publish_snapshots(spark, [f"{d}/{n}.parquet" for n in dims], dest)
+    frames = [read_snapshot(spark, out[n]).select(F.lit(n).alias("dim"), F.col(k).cast("bigint").alias("k"), F.col(c).alias("name"))
+              for n, k, c in zip(dims, ("c_custkey", "s_suppkey", "n_nationkey"), ("c_name", "s_name", "n_name"))]
+    return append_orders(*frames)
+
+
+def _report_sums(spark: SparkSession, d: str) -> str:
+    """Partial sums of a gold layer that grew in three steps, a report run after each."""
+    base, gold = scratch_path(spark, "report-sums"), _gold(spark, d)
+    third = F.pmod(F.hash("order_id"), F.lit(3))
+    for i in range(3):
+        write_layer(gold.where(third == i), f"{base}/gold", i)
+        run_reports(spark, f"{base}/gold/run-*", f"{base}/sums", f"{base}/_ckpt")
+    return f"{base}/sums"
+
+
+def q_report_incremental_neighborhood(spark, d):
+    return stored_qty_by_neighborhood(spark, _report_sums(spark, d))
+
+
+def q_report_incremental_time(spark, d):
+    return stored_qty_by_event_time(spark, _report_sums(spark, d))
+
+
+def _clustered(spark: SparkSession, d: str) -> str:
+    path, feed = scratch_path(spark, "clustered"), tf.feed(spark, d)
+    half = F.pmod(F.hash("order_id"), F.lit(2))
+    for i in (0, 1):  # two runs of one layer
+        write_clustered(feed.where(half == i), path, files=32)
+    return path
+
+
+def q_topk_latest_stored(spark, d):
+    return latest_stored(spark, _clustered(spark, d), ORDER_SCHEMA, 20)
+
+
+def q_sort_desc_stored(spark, d):
+    return sorted_stored(spark, _clustered(spark, d), ORDER_SCHEMA)
+
+
+def q_catalog_databases(spark, d):
+    """One database a region, listed."""
+    stem = "ol_" + scratch_path(spark, "databases").rsplit("-", 1)[-1] + "_"
+    for r in tf.table(spark, d, "region").select(F.lower(F.regexp_replace("r_name", "[^A-Za-z]", "_")).alias("n")).collect():  # five regions
+        spark.sql(f"CREATE DATABASE {stem}{r.n} LOCATION '{scratch_path(spark, r.n)}'")
+    return list_databases(spark).where(F.col("namespace").startswith(stem)).select(F.expr(f"substr(namespace, {len(stem) + 1})").alias("region"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -48,6 +48,9 @@ GOLD_COLUMNS = ["order_id", "customer_name", "employee_name", "employee_commissi
                 "latitude", "longitude", "commune", "neighborhood",
                 "quantity_products", "event_date"]
 
+GOLD_SCHEMA = StructType([StructField(c, t, True) for c, t in zip(GOLD_COLUMNS, [
+    StringType(), StringType(), StringType(), DoubleType(), DoubleType(), DoubleType(), StringType(), StringType(), IntegerType(), TimestampType()])])
+
 CUSTOMER_COLUMNS = ["customer_id", "name", "phone", "email", "address"]
 EMPLOYEE_COLUMNS = ["employee_id", "name", "phone", "email", "address", "comission"]
 NEIGHBORHOOD_KEY = "OBJECTID"

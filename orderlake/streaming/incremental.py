@@ -110,6 +110,11 @@ def run_silver(spark: SparkSession, raw: str, neighborhoods: DataFrame, silver_d
                            silver_dir, checkpoint, archive, partition_by, max_files=max_files)
 
 
+def gold_layout(silver: DataFrame, customers: DataFrame, employees: DataFrame) -> DataFrame:
+    """Gold with ``sale_date``, the day of the event, which lays out its files."""
+    return to_gold(silver, customers, employees).withColumn("sale_date", F.to_date("event_date"))
+
+
 def run_gold(spark: SparkSession, silver_dir: str, silver_schema: StructType,
              customers: DataFrame, employees: DataFrame, gold_dir: str, checkpoint: str,
              archive: str | None = None, partition_by: list[str] | None = GOLD_PARTITIONS,
@@ -120,8 +125,7 @@ def run_gold(spark: SparkSession, silver_dir: str, silver_schema: StructType,
     :data:`~orderlake.schemas.GOLD_COLUMNS` for the layer's own columns.
     """
     def gold(df: DataFrame) -> DataFrame:
-        out = to_gold(df, customers, employees)
-        return out.withColumn("sale_date", F.to_date("event_date")) if partition_by == GOLD_PARTITIONS else out
+        return gold_layout(df, customers, employees) if partition_by == GOLD_PARTITIONS else to_gold(df, customers, employees)
 
     return consume_landing(spark, silver_dir, silver_schema, gold, gold_dir, checkpoint, archive, partition_by,
                            max_files=max_files)

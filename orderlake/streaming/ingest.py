@@ -8,9 +8,9 @@ lists files through that log, so the chain ingest -> silver is exactly once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,7 @@ from ..functions.wire import parse_wire, wire_text
 from ..operators.flush import flush_ready
 from ..schemas import ORDER_SCHEMA
 from ..sources.files import empty_orders
+from . import ledger
 
 #: What the ingest with quarantine lands: an order's fields, or the rejected line, by status.
 LANDING_SCHEMA = StructType(ORDER_SCHEMA.fields + [StructField("value", StringType(), True),
@@ -103,68 +104,48 @@ def start_ingest_with_quarantine(lines: DataFrame, landing: str, checkpoint: str
     return _start(landed(lines), landing, checkpoint, trigger, name, ["status"])
 
 
-def _read_if_there(spark, schema, *paths: str) -> DataFrame | None:
-    """The Parquet below ``paths``; None where no such path exists (any other error is raised)."""
-    try:
-        return spark.read.schema(schema).parquet(*paths)
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-LEDGER_COLUMNS = ["batch_id", "n", "level", "flushes", "open_from"]
-LEDGER_SCHEMA = ", ".join(f"{c} bigint" for c in LEDGER_COLUMNS)
-
-
 def _stage(staging: str, batch_id: int) -> str:
     return f"{staging}/batch-{batch_id:012d}"
 
 
-def _ledger_before(spark, ledger: str, batch_id: int):
-    """The ledger row of the last micro-batch before ``batch_id`` (None at the start)."""
-    if batch_id == 0:
-        return None
-    prev = _read_if_there(spark, LEDGER_SCHEMA, f"{ledger}/batch-{batch_id - 1:012d}")
-    if prev is not None:
-        return prev.first()
-    rows = _read_if_there(spark, LEDGER_SCHEMA, f"{ledger}/batch-*")
-    if rows is None:
-        return None
-    return rows.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).first()
-
-
-def gated_batch_handler(staging: str, threshold: int = 50):
+def gated_batch_handler(staging: str, threshold: int = 50, max_age: int | None = None, clock: Callable[[], float] = time.time):
     """The ``foreachBatch`` function of :func:`start_gated_ingest`.
 
     Orders are staged first, the ledger row that publishes them comes second. A retry of the batch
     writes the same folder and the same row again; until the row is there, nobody reads the folder.
     """
-    ledger = f"{staging}/_ledger"
+    book = f"{staging}/_ledger"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parse_orders(batch).write.mode("overwrite").parquet(_stage(staging, batch_id))
         staged = spark.read.schema(ORDER_SCHEMA).parquet(_stage(staging, batch_id))
-        prev = _ledger_before(spark, ledger, batch_id)
+        prev = ledger.last_before(spark, book, batch_id)
         level, flushes = (prev.level, prev.flushes) if prev else (0, 0)
         open_from = prev.open_from if prev and prev.open_from is not None else batch_id
+        now = int(clock())
+        opened_at = prev.opened_at if prev and prev.opened_at is not None else now
         held = F.lit(level) + F.col("n")
         ready = flush_ready(held, threshold)
+        if max_age is not None and now - opened_at >= max_age:
+            ready |= held > 0
         row = {"batch_id": F.lit(batch_id), "n": F.col("n"), "level": F.when(ready, 0).otherwise(held),
-               "flushes": F.lit(flushes) + F.when(ready, 1).otherwise(0), "open_from": F.when(~ready, F.lit(open_from))}
-        (staged.agg(F.count(F.lit(1)).alias("n")).select(*[row[c].cast("bigint").alias(c) for c in LEDGER_COLUMNS])
-         .write.mode("overwrite").parquet(f"{ledger}/batch-{batch_id:012d}"))
+               "flushes": F.lit(flushes) + F.when(ready, 1).otherwise(0), "open_from": F.when(~ready, F.lit(open_from)),
+               "opened_at": F.when(~ready, F.lit(opened_at))}
+        (staged.agg(F.count(F.lit(1)).alias("n")).select(*[row[c].cast("bigint").alias(c) for c in ledger.COLUMNS])
+         .write.mode("overwrite").parquet(ledger.single(book, batch_id)))
+        ledger.compact(spark, book, batch_id)
 
     return handle
 
 
 def start_gated_ingest(lines: DataFrame, staging: str, checkpoint: str,
                        threshold: int = 50, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, max_age: int | None = None) -> StreamingQuery:
     """C1 with the reference's count gate (T3/A6): micro-batches gather until more
     than ``threshold`` rows are buffered, then all of them count as one flush and the buffer
-    starts empty.
+    starts empty. With ``max_age`` (seconds) a buffer that has waited so long also goes out with the next micro-batch;
+    :func:`close_flush` lets it out when none comes.
 
     The buffer is on shared storage, not on the driver: every micro-batch is
     staged once under its batch id, and a one-row ledger per batch keeps the buffer level, the
@@ -173,70 +154,50 @@ def start_gated_ingest(lines: DataFrame, staging: str, checkpoint: str,
     retry can't double anything. Rows below the threshold stay out of sight until a
     later batch carries them out. Memory does not depend on the threshold.
     """
-    writer = (lines.writeStream.foreachBatch(gated_batch_handler(staging, threshold))
+    writer = (lines.writeStream.foreachBatch(gated_batch_handler(staging, threshold, max_age))
               .option("checkpointLocation", checkpoint))
     if name:
         writer = writer.queryName(name)
     return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
-def flush_ledger(spark, staging: str) -> DataFrame:
+def flush_ledger(spark, staging: str, after: int = 0) -> DataFrame:
     """``batch_id, n, flush_id, flushed`` per micro-batch, from the gate's ledger.
 
     ``flush_id`` numbers (from 1) the flush that carries the batch out, null while it is buffered;
-    ``flushed`` marks the batch that closes its flush.
+    ``flushed`` marks the batch that closes its flush. With ``after`` only batches of later flushes are listed, and only
+    their part of the ledger is read.
     """
-    rows = _read_if_there(spark, LEDGER_SCHEMA, f"{staging}/_ledger/batch-*")
+    rows = ledger.rows(spark, f"{staging}/_ledger", after)
     if rows is None:
         return empty_orders(spark, StructType.fromDDL("batch_id bigint, n bigint, flush_id bigint, flushed boolean"))
     total = rows.agg(F.max("flushes")).first()[0]
     closes = F.col("open_from").isNull()
     own = F.col("flushes") + F.when(closes, 0).otherwise(1)
-    return rows.select("batch_id", "n", F.when(own <= F.lit(total), own).cast("bigint").alias("flush_id"), closes.alias("flushed"))
+    out = rows.select("batch_id", "n", F.when(own <= F.lit(total), own).cast("bigint").alias("flush_id"), closes.alias("flushed"))
+    return out.where(F.col("flush_id").isNull() | (F.col("flush_id") > after)) if after else out
+
+
+def close_flush(spark, staging: str, max_age: int = 0, now: float | None = None) -> bool:
+    """Let the buffered rows out (by age, or whatever their age at the end of a feed); between runs of the gate."""
+    return ledger.close_open(spark, f"{staging}/_ledger", int(time.time() if now is None else now), max_age)
 
 
 def read_flushed(spark, staging: str, after: int = 0, upto: int | None = None) -> DataFrame:
     """Orders of the flushes numbered above ``after`` (to ``upto``), as the manifest lists them."""
-    listed = flush_ledger(spark, staging).where(F.col("flush_id") > after)
+    listed = flush_ledger(spark, staging, after).where(F.col("flush_id") > after)
     if upto is not None:
         listed = listed.where(F.col("flush_id") <= upto)
-    batches = [r.batch_id for r in listed.orderBy("batch_id").select("batch_id").collect()]  # a row a micro-batch
+    batches = [r.batch_id for r in listed.orderBy("batch_id").select("batch_id").collect()]  # a row a new micro-batch
     if not batches:
         return empty_orders(spark)
     return spark.read.schema(ORDER_SCHEMA).parquet(*[_stage(staging, b) for b in batches])
 
 
-MANIFEST_SCHEMA = "first bigint, last bigint"
-
-
-def consume_flushes(spark, staging: str, transform: Callable[[DataFrame], DataFrame], out_dir: str) -> int:
-    """Process the flushes not yet in ``out_dir``'s manifest, as one part; returns the last flush done.
-
-    The part is written before its manifest row, so a cut-off run leaves nothing that
-    :func:`read_consumed` reads, and the next run starts from the same flush.
-    """
-    done = _read_if_there(spark, MANIFEST_SCHEMA, f"{out_dir}/_manifest/part-of-*")
-    before = (done.agg(F.max("last")).first()[0] or 0) if done is not None else 0
-    last = flush_ledger(spark, staging).agg(F.max("flush_id")).first()[0] or 0
-    if last > before:
-        transform(read_flushed(spark, staging, before, last)).write.mode("overwrite").parquet(
-            f"{out_dir}/flush-{before + 1:010d}-{last:010d}")
-        (spark.range(1).select(F.lit(before + 1).cast("bigint").alias("first"), F.lit(last).cast("bigint").alias("last"))
-         .write.mode("overwrite").parquet(f"{out_dir}/_manifest/part-of-{before + 1:010d}"))
-    return max(last, before)
-
-
-def read_consumed(spark, out_dir: str, schema: StructType) -> DataFrame:
-    """The parts that ``out_dir``'s manifest lists."""
-    done = _read_if_there(spark, MANIFEST_SCHEMA, f"{out_dir}/_manifest/part-of-*")
-    parts = [] if done is None else [f"{out_dir}/flush-{r.first:010d}-{r.last:010d}" for r in done.collect()]
-    return spark.read.schema(schema).parquet(*parts) if parts else empty_orders(spark, schema)
-
-
 def ingest(lines: DataFrame, path: str, checkpoint: str, min_rows: int | None = None,
-           trigger: dict | None = None) -> StreamingQuery:
+           trigger: dict | None = None, max_age: int | None = None) -> StreamingQuery:
     """C1 as planned: land wire lines in ``path``; with ``min_rows`` (51 in the reference, i.e.
     more than 50) ``path`` is the staging folder of a gated ingest."""
     if min_rows is None:
         return start_ingest(lines, path, checkpoint, trigger)
-    return start_gated_ingest(lines, path, checkpoint, threshold=min_rows - 1, trigger=trigger)
+    return start_gated_ingest(lines, path, checkpoint, threshold=min_rows - 1, trigger=trigger, max_age=max_age)

@@ -167,7 +167,7 @@ def test_gated_batch_retry_after_a_cut_commit(spark, scratch):
     for i, b in enumerate(batches[8:], 8):
         handle(b, i)
     # A consumer that dies between its part and the manifest leaves nothing to read, and starts over.
-    to_silver(read_flushed(spark, staging, 1, 2), nb).write.parquet(f"{out}/flush-0000000002-0000000002")
+    to_silver(read_flushed(spark, staging, 1, 2), nb).write.parquet(f"{out}/_staging/flush=f0000000002-0000000002-cut")
     assert read_consumed(spark, out, SILVER_SCHEMA).count() == 56
     assert consume_flushes(spark, staging, silver, out) == 2
     got = read_consumed(spark, out, SILVER_SCHEMA)
