@@ -46,6 +46,8 @@ LIGHT_MOST = 12
 OFTEN, CHUNK = 1, 1 << 22
 #: Shingles that the order knows as frequent, the most frequent ones: 16 bytes each in every task.
 OFTEN_MOST = 1 << 21
+#: Postings of a shingle that one task takes; a longer list is dealt over shares.
+LIST_MOST = 1 << 16
 #: Shingles for each counter of a set's summary.
 LOAD = 2
 
@@ -168,9 +170,10 @@ def light_links(classes: DataFrame, most: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int) -> DataFrame:
-    """(token, class, n, pos, rare): the prefix shingles of every set of at least ``least``, their places in the set's
-    order and the set's shingles that aren't frequent. In the order frequent ones come last, by their counts.
-    ``often`` has those shingles, ascending, and the counts."""
+    """(token, share, class, size, spot): the prefix shingles of every set of at least ``least``. ``size`` holds the set's
+    shingles that aren't frequent and all its shingles, ``spot`` the shingle's place in the set's order and its number of
+    shares (each two 32-bit numbers). In the order frequent ones come last, by their counts. ``often`` has those
+    shingles, ascending, and the counts; a list longer than ``LIST_MOST`` is dealt over shares by class."""
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(often)  # at most OFTEN_MOST shingles
@@ -187,19 +190,41 @@ def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int)
                     if c in seen:
                         continue
                     seen.add(c)
-                    first, rare = s, len(s)
+                    k = prefix(len(s))
+                    first, seldom, rare = s, np.zeros(len(s), np.int64), len(s)
                     if len(known):
                         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                         seldom = np.where(known[at] == s, times[at], 0)
-                        first, rare = s[np.argsort(seldom, kind="stable")], int((seldom == 0).sum())
-                    k = prefix(len(s))
-                    rows.append((first[:k], np.full(k, c), np.full(k, len(s)), np.arange(1, k + 1), np.full(k, rare)))
+                        order = np.argsort(seldom, kind="stable")
+                        first, seldom, rare = s[order], seldom[order], int((seldom == 0).sum())
+                    shares = np.maximum(1, -(-seldom[:k] // LIST_MOST))
+                    rows.append((first[:k], (c & 0x7FFFFFFF) % shares, np.full(k, c), np.full(k, rare << 32 | len(s)),
+                                 np.arange(1, k + 1) << 32 | shares))
                 if rows:
-                    token, own, *more = (np.concatenate(x) for x in zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(own)] + [pa.array(x.astype(np.int32)) for x in more],
-                                                     names=["token", "class", "n", "pos", "rare"])
+                    token, share, *more = (np.concatenate(x) for x in zip(*rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(share.astype(np.int32))] + [pa.array(x) for x in more],
+                                                     names=["token", "share", "class", "size", "spot"])
+
+    return arrow_map(docs, read, "token long not null, share int not null, class long not null, size long not null, spot long not null")
 
-    return arrow_map(docs, read, "token long, class long, n int, pos int, rare int")
+
+def listed(rows: DataFrame) -> DataFrame:
+    """(token, class, n, pos, head): the postings that several sets share; a list's head is the member with the fewest
+    shingles of its own, which stands nearest to the others.
+
+    Postings are shuffled once: heads and lists are read from the same exchange (both need all its columns). A share's
+    head is final where the list has one share; the others' few heads meet in a second, small grouping.
+    """
+    low = "4294967295"
+    dealt = rows.repartition("token", "share")
+    first = dealt.groupBy("token", "share").agg(F.min(F.struct("size", "class")).alias("head"), F.min("class").alias("low"),
+                                                F.max("class").alias("high"), F.max(F.expr(f"spot & {low}")).alias("shares"))
+    whole = first.where("shares = 1 and low <> high").select("token", "share", F.col("head.class").alias("head"))
+    split = (first.where("shares > 1").groupBy("token").agg(F.min("head").alias("head"), F.min("low").alias("low"), F.max("high").alias("high"),
+                                                            F.max("shares").alias("shares")).where("low <> high")
+             .select("token", F.explode(F.expr("sequence(0, cast(shares as int) - 1)")).alias("share"), F.col("head.class").alias("head")))
+    return dealt.join(whole.unionByName(split), ["token", "share"]).select(
+        "token", "class", F.expr(f"cast(size & {low} as int)").alias("n"), F.expr("cast(shiftright(spot, 32) as int)").alias("pos"), "head")
 
 
 def _fits(n: str, pos: str, m: str, other: str) -> str:
@@ -258,11 +283,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int, known: DataFrame) -> DataFrame:
     """(a, b): verified links between sets of at least ``least`` shingles, enough of them to connect
     every component together with the links ``known``."""
-    rows = postings(docs, often, least)
-    # The member with the fewest shingles of its own stands nearest to the others.
-    heads = (rows.groupBy("token").agg(F.min(F.struct("rare", "class")).alias("head"), F.min("class").alias("low"), F.max("class").alias("high"))
-             .where("low <> high").select("token", F.col("head.class").alias("head")))
-    lists = settle(rows.drop("rare").join(heads, "token").distinct(), "lists")  # shingles of one set alone are gone
+    lists = settle(listed(postings(docs, often, least)).distinct(), "lists")  # shingles of one set alone are gone
     star = settle(lists.where("class <> head").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct(), "star-pairs")
     found = settle(verified(star, docs, classes), "star-links")
     groups = settle(connected_components(found.unionByName(known)), "star-groups").withColumnRenamed("node", "class")

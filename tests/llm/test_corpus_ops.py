@@ -406,3 +406,16 @@ def test_entry_works_without_the_optional_part(tmp_path):
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op1') for k in e.queries()))"],
                           cwd=tmp_path, capture_output=True, text=True)
     assert said.returncode == 0 and said.stdout.endswith("False\n"), said.stderr
+
+
+def test_jaccard_long_lists_are_dealt_over_shares(spark, docs_of, monkeypatch):
+    """Lists of three classes a share: heads and members of split lists meet, links are those of brute force."""
+    monkeypatch.setattr(jaccard, "LIST_MOST", 3)
+    common = [f"c{i}" for i in range(30)]
+    rows = [(i, " ".join(common[i % 7:] + [f"own{i % 9}_{j}" for j in range(2 + i % 5)])) for i in range(60)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs_of(rows).repartition(5)).collect())
+    assert got == sorted(_components(rows))
+    dealt = jaccard.postings(jaccard._docs(docs_of(rows), "doc_id", "text"), (
+        np.sort(np.unique(np.concatenate([s for s in jaccard.shingle_sets([t.encode() for _, t in rows])]))), np.full(10_000, 7)), 1)
+    shares = dealt.selectExpr("share", "spot & 4294967295 AS shares").distinct().collect()
+    assert {tuple(r) for r in shares} == {(0, 3), (1, 3), (2, 3)}
