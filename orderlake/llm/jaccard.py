@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import arrow_map, mix64, settle, ship, text_slices
+from .common import arrow_map, free_name, mix64, settle, ship, text_slices
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -295,7 +295,13 @@ def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np
                .where("parts > 1").select("token", F.col("top.component").alias("top")))
     minor = member.join(largest, "token").where("component <> top").select(
         "token", F.col("class").alias("c"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("component").alias("other"))
-    pairs = (minor.join(member, "token").where("component <> other and " + _fits("n", "pos", "m", "at"))
+    # Members alike in size and place are judged together first: a list of which no two places can meet makes no pairs.
+    span = [F.min("component").alias("from"), F.max("component").alias("to")]
+    kinds = minor.withColumnRenamed("other", "component").groupBy("token", "m", "at").agg(*span)
+    places = member.join(largest.select("token"), "token").groupBy("token", "n", "pos").agg(*[x.alias(f"{n}_") for x, n in zip(span, ("from", "to"))])
+    meet = settle(kinds.join(places, "token").where(_fits("n", "pos", "m", "at") + " and (`from` <> from_ or `to` <> to_ or `from` <> `to`)")
+                  .select("token", "m", "at", "n", "pos"), "meeting-places")
+    pairs = (minor.join(meet, ["token", "m", "at"]).join(member, ["token", "n", "pos"]).where("component <> other")
              .select(F.least("c", "class").alias("a"), F.greatest("c", "class").alias("b")).distinct())
     more = settle(pairs.join(star, ["a", "b"], "left_anti"), "rest-pairs")
     return found.unionByName(settle(verified(more, docs, classes), "rest-links"))
@@ -310,8 +316,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     docs = _docs(docs, key, text)
     read = settle(sets_of(docs), "shingle-sets")
     sets = read.where("class is not null").select("doc_id", "n", "class", "small", "mark", "summary")
-    counts = read.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(OFTEN_MOST).select("token", "n").toArrow()
+    counts = settle(read.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
+    # The count above which there are at most OFTEN_MOST shingles, from a histogram of counts.
+    more = floor = 0
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("n")).collect():  # a row a count
+        more += r.c
+        if more > OFTEN_MOST:
+            floor = r.n
+            break
+    top = counts.where(F.col("n") > floor).toArrow()
     token, times = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
     often = (token[np.argsort(token)], times[np.argsort(token)])
     # Null keys come last; the mark tells rows with the same key apart.
@@ -343,15 +356,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     found = settle(near_duplicates(docs, key, text), "near-duplicates")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
     best = found.where("group is not null").groupBy("group").agg(first).select("first.doc_id", "first.mark")
+    own, mark, key_name = free_name(docs, "text_mark"), free_name(docs, "kept_mark"), free_name(docs, "kept_key")
     times = found.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("times"))
     stay = best.unionByName(found.where("group is null").select("doc_id", "mark")).distinct()
     same = (stay["doc_id"].eqNullSafe(times["doc_id"])) & (stay["mark"] == times["mark"])
-    stay = settle(stay.join(times, same).select(stay["doc_id"].alias("_doc_id"), stay["mark"].alias("_mark"), "times"), "stay")
-    marked = docs.withColumn("_m", F.xxhash64(F.col(text).cast("string")))
+    stay = settle(stay.join(times, same).select(stay["doc_id"].alias(key_name), stay["mark"].alias(mark), F.col("times")), "stay")
+    marked = docs.withColumn(own, F.xxhash64(F.col(text).cast("string")))
 
     def kept(which: DataFrame) -> DataFrame:
         which = broadcast_if_bounded(which.drop("times"))
-        return marked.join(which, F.col(key).cast("long").eqNullSafe(F.col("_doc_id")) & (F.col("_m") == F.col("_mark")), "left_semi")
+        return marked.join(which, F.col(key).cast("long").eqNullSafe(F.col(key_name)) & (F.col(own) == F.col(mark)), "left_semi")
 
-    repeated = kept(stay.where("times > 1")).dropDuplicates([key, "_m"])
-    return kept(stay.where("times = 1")).unionByName(repeated).drop("_m")
+    repeated = kept(stay.where("times > 1")).dropDuplicates([key, own])
+    return kept(stay.where("times = 1")).unionByName(repeated).drop(own)

@@ -419,3 +419,31 @@ def test_jaccard_long_lists_are_dealt_over_shares(spark, docs_of, monkeypatch):
         np.sort(np.unique(np.concatenate([s for s in jaccard.shingle_sets([t.encode() for _, t in rows])]))), np.full(10_000, 7)), 1)
     shares = dealt.selectExpr("share", "spot & 4294967295 AS shares").distinct().collect()
     assert {tuple(r) for r in shares} == {(0, 3), (1, 3), (2, 3)}
+
+
+def test_jaccard_boilerplate_makes_no_pairs(spark, docs_of):
+    """Documents of 84 common and 20 own words link with none, and no two members of the common lists are paired."""
+    common = " ".join(f"c{i}" for i in range(84))
+    rows = [(i, common + " " + " ".join(f"w{i}_{j}" for j in range(20))) for i in range(400)]
+    made = []
+    settled = jaccard.settle
+
+    def watch(df, name, *a):
+        out = settled(df, name, *a)
+        made.append((name, out))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard, "settle", watch)
+        got = jaccard.near_duplicates(docs_of(rows)).collect()
+    assert {r.component_id for r in got} == set(range(400))
+    sizes = {name: df.count() for name, df in made if name in ("rest-pairs", "star-pairs")}
+    assert sizes["rest-pairs"] == 0 and sizes["star-pairs"] <= 800
+
+
+def test_keep_one_keeps_every_column(spark, docs_of):
+    names = ["_m", "_doc_id", "_mark", "text_mark", "kept_mark", "kept_key", "times", "group", "mark"]
+    docs = docs_of([(1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "x")]).selectExpr("*", *[f"'{n}' AS {n}" for n in names])
+    out = jaccard.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, *[r[n] for n in names]) for r in out.collect()) == [(1, *names), (3, *names)]
