@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_bounded
 from . import tokens
 from .common import arrow_map, settle
 
@@ -103,7 +104,10 @@ def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_pivots: int
 
 def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, grain: int, key: str, text: str,
               keep_ids: bool) -> DataFrame:
-    """A row a piece, with its class (0: a whole sequence) and its rank among the task's of that class."""
+    """A row a piece, with its class (0: a whole sequence) and its rank among the task's of that class.
+
+    ``ids`` has 16 bits an id where all ids of a piece fit, else 32.
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end, task = tokens.words(tokenizer, False), np.array([end_id], np.uint32), TaskContext.get().partitionId()
         ranks = np.zeros(capacity // grain + 2, np.int64)
@@ -114,10 +118,10 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, grain
                 for at in range(0, len(ids), capacity):
                     piece = ids[at:at + capacity]
                     c = 0 if len(piece) == capacity else -(-len(piece) // grain)
-                    raw = piece.tobytes()
-                    rows.append((k, at, len(piece), zlib.crc32(raw), len(ids), task, c, int(ranks[c]), raw if keep_ids else None))
+                    kept = None if not keep_ids else (piece.astype("<u2") if piece.max() < 1 << 16 else piece).tobytes()
+                    rows.append((k, at, len(piece), zlib.crc32(piece.tobytes()), len(ids), task, c, int(ranks[c]), kept))
                     ranks[c] += 1
-                if len(rows) >= 20_000:
+                if len(rows) >= (2_000 if keep_ids else 20_000):
                     yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
                     rows = []
             if rows:
@@ -162,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, gra
     slots, sequences = slots_of(solve(classes, demand, capacity // grain), classes)
     before = (tally.withColumn("base", F.sum("n").over(Window.partitionBy("class").orderBy("task")) - F.col("n"))
               .select("task", "class", "base"))
-    ranked = (pieces.join(before, ["task", "class"])
+    ranked = (pieces.join(broadcast_if_bounded(before), ["task", "class"])  # so that ids move once, to their sequences
               .select(*[c for c in pieces.columns if c not in ("task", "rank")], (F.col("rank") + F.col("base")).alias("rank")))
     at = {c: i for i, c in enumerate(ranked.columns)}
 
@@ -185,7 +189,16 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, gra
     order = Window.partitionBy("sequence_id").orderBy("slot")
     offset = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("length")
     out = placed.withColumn("offset", offset).drop("slot")
-    return out if keep_ids else out.drop("ids")
+    return arrow_map(out, _wide_ids, out.schema) if keep_ids else out.drop("ids")
+
+
+def _wide_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """32 bits an id, whatever the pieces were moved with."""
+    for batch in batches:
+        at = batch.schema.get_field_index("ids")
+        wide = [np.frombuffer(raw, f"<u{len(raw) // n}").astype("<u4").tobytes()
+                for raw, n in zip(batch.column(at).to_pylist(), batch.column("length").to_pylist())]
+        yield batch.set_column(at, "ids", pa.array(wide, pa.binary()))
 
 
 def sequences_of(packed: DataFrame) -> DataFrame:
