@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..session import scratch_path
+from ..storage import remove
 
 #: Bytes of text that a task turns into numpy arrays at a time.
 SLICE_BYTES = 2 << 20
@@ -28,9 +29,28 @@ def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", compression).parquet(path)
+    for made in _made:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_made: list[list[str]] = []
+
+
+def settle_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Settle what ``make`` returns and delete the tables that it settled on the way: nothing else reads them."""
+    _made.append([])
+    try:
+        out = settle(make(), name)
+    finally:
+        paths = _made.pop()
+    for path in paths[:-1]:
+        remove(out.sparkSession, path)
+    for outer in _made:
+        outer[:] = [p for p in outer if p not in paths[:-1]]
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

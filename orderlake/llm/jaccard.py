@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import arrow_map, free_name, mix64, settle, ship, text_slices
+from .common import arrow_map, free_name, mix64, settle, settle_alone, ship, text_slices
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -285,7 +285,7 @@ def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np
     every component together with the links ``known``."""
     lists = settle(listed(postings(docs, often, least)).distinct(), "lists")  # shingles of one set alone are gone
     star = settle(lists.where("class <> head").select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct(), "star-pairs")
-    found = settle(verified(star, docs, classes), "star-links")
+    found = settle_alone(lambda: verified(star, docs, classes), "star-links")
     groups = settle(connected_components(found.unionByName(known)), "star-groups").withColumnRenamed("node", "class")
     # What each list still holds of different components: its largest part against none, the others against all.
     member = settle(lists.select("token", "class", "n", "pos").join(groups, "class", "left")
@@ -304,7 +304,7 @@ def heavy_links(docs: DataFrame, classes: DataFrame, often: tuple[np.ndarray, np
     pairs = (minor.join(meet, ["token", "m", "at"]).join(member, ["token", "n", "pos"]).where("component <> other")
              .select(F.least("c", "class").alias("a"), F.greatest("c", "class").alias("b")).distinct())
     more = settle(pairs.join(star, ["a", "b"], "left_anti"), "rest-pairs")
-    return found.unionByName(settle(verified(more, docs, classes), "rest-links"))
+    return found.unionByName(settle_alone(lambda: verified(more, docs, classes), "rest-links"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -334,7 +334,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sizes = {r["n"]: r["c"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     most = boundary(sizes)
     light = settle(light_links(classes, most), "light-links")
-    heavy = heavy_links(docs, classes, often, -(-PERCENT * (most + 1) // 100), light)
+    heavy = settle_alone(lambda: heavy_links(docs, classes, often, -(-PERCENT * (most + 1) // 100), light), "heavy-links")
     groups = connected_components(light.unionByName(heavy)).withColumnRenamed("node", "class")
     named = classes.select("class", "rep").join(groups, "class")
     names = settle(named.join(named.groupBy("component").agg(F.min("rep").alias("name")), "component")
@@ -353,7 +353,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Documents with an empty set all stay. Rows with the same key and text are one document.
     """
-    found = settle(near_duplicates(docs, key, text), "near-duplicates")
+    found = settle_alone(lambda: near_duplicates(docs, key, text), "near-duplicates")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
     best = found.where("group is not null").groupBy("group").agg(first).select("first.doc_id", "first.mark")
     own, mark, key_name = free_name(docs, "text_mark"), free_name(docs, "kept_mark"), free_name(docs, "kept_key")

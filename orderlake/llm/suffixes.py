@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import arrow_map, extended, mix64, settle, ship, text_slices, without
+from .common import arrow_map, extended, free_name, mix64, settle, settle_alone, ship, text_slices, without
 from .shingles import powers
 
 LENGTH, GRAM = 50, 18
@@ -397,11 +397,8 @@ def united(spans: DataFrame) -> DataFrame:
     return arrow_map(lists, unite, "doc long, one long, spans array<bigint>")
 
 
-def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs), kept, the bytes that stay, and kept_text,
-    the same as text."""
-    new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
-    docs = without(docs, new)
+def covered(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, one, spans): of each text that loses bytes, the runs of bytes that go."""
     texts = _texts(docs, key, text)
     thin = settle(texts.select("doc", "one", "two", "n"), "texts")
     classes = thin.groupBy("one", "two").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -415,11 +412,20 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         found = settle(contexts(single, wanted), "contexts")
         holders = settle(first_holders(found), "holders")
         spans = spans.unionByName(spans_of(found, holders))
-    gone = settle(united(spans), "spans").select(F.col("doc").alias("_doc"), F.col("one").alias("_one"), F.col("spans").alias("_spans"))
-    gone = broadcast_if_bounded(gone, size=F.lit(64) + 8 * F.size("_spans"))
+    return united(spans)
+
+
+def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs), kept, the bytes that stay, and kept_text,
+    the same as text."""
+    new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
+    docs = without(docs, new)
+    doc, one, spans = (free_name(docs, n) for n in ("own_doc", "own_one", "own_spans"))
+    gone = settle_alone(lambda: covered(docs, key, text), "spans").select(F.col("doc").alias(doc), F.col("one").alias(one), F.col("spans").alias(spans))
+    gone = broadcast_if_bounded(gone, size=F.lit(64) + 8 * F.size(spans))
     identity = _identity(key, text)
-    joined = docs.withColumns({"_doc": identity["doc"], "_one": identity["one"]}).join(gone, ["_doc", "_one"], "left")
-    rows = joined.select(*[f"`{c}`" for c in docs.columns], "_spans")
+    joined = docs.withColumns({doc: identity["doc"], one: identity["one"]}).join(gone, [doc, one], "left")
+    rows = joined.select(*[f"`{c}`" for c in docs.columns], spans)
     at = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
