@@ -7,7 +7,8 @@ than its language's limit is rejected.
 
 Document frequencies are counted over all training rows by grouped aggregation. The centroids are
 fitted on a bounded sample of labelled rows (``sample_per_lang`` rows a language, chosen by a hash
-of the key). The model, ``languages x centroids x DIMS`` floats, is what tasks receive.
+of the text). Limits come from the cosines of all training rows, by language and length of text: short clean texts lie
+farther from a centroid than long ones, and noise or an unlearned language lies farther than either. The model, ``languages x centroids x DIMS`` floats, is what tasks receive.
 
 Edge cases: a null text, an empty one or one without a letter gives ``und`` with score 0 and is
 rejected; with no training rows every text does. Repeated rows are judged one by one; ties between
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, extended, text_slices, without
@@ -31,19 +32,22 @@ DIMS = 4096
 GRAMS = (1, 2, 3)
 #: Texts whose vectors a task holds at a time.
 ROWS = 256
-#: A text is rejected below this share of the lowest cosine that training texts have.
-REJECT_SHARE = 0.25
+#: Limits: this share of the cosine that all but ``QUANTILE`` of a language's training texts reach, by length in characters.
+MARGIN, QUANTILE = 0.75, 0.01
+BANDS = (64, 256, 1024)
+#: Training texts that a band needs for a limit of its own; smaller ones take the least of their language's limits.
+BAND_LEAST = 50
 UNKNOWN = "und"
 
 
 @dataclass
 class Model:
-    """Centroids (unit rows), their languages, each language's least cosine, and the IDF weights."""
+    """Centroids (unit rows), their languages, the least cosine by language and length band, and the IDF weights."""
 
     idf: np.ndarray
     centroids: np.ndarray
     langs: list[str]
-    floors: dict[str, float]
+    floors: dict[str, list[float]]
 
 
 def has_letter(text: str | None) -> bool:
@@ -120,12 +124,40 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: Column | None = None,
+def _band(texts: list[str | None]) -> np.ndarray:
+    return np.searchsorted(BANDS, [len(t or "") for t in texts], "right")
+
+
+def _limits(train: DataFrame, model: Model) -> dict[str, list[float]]:
+    """For each language its limits by length band, from the cosines of all training rows to their own centroids."""
+    own = {g: model.centroids[[x == g for x in model.langs]] for g in set(model.langs)}
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array([has_letter(t) and g in own for t, g in zip(*(batch.column(c).to_pylist() for c in ("_text", "_lang")))], pa.bool_()))
+            langs, cos = np.array(batch.column("_lang").to_pylist(), object), np.zeros(batch.num_rows)
+            for first, texts in _blocks(batch.column("_text")):
+                v, part = vectors(texts, model.idf), slice(first, first + len(texts))
+                for g in set(langs[part]):
+                    rows = first + np.flatnonzero(langs[part] == g)
+                    cos[rows] = (v[rows - first] @ own[g].T).max(1)
+            yield pa.RecordBatch.from_arrays([batch.column("_lang").cast(pa.string()), pa.array(_band(batch.column("_text").to_pylist()), pa.int64()),
+                                              pa.array(cos, pa.float64())], names=["_lang", "band", "cos"])
+
+    rows = (arrow_map(train.select("_text", "_lang"), score, "_lang string, band long, cos double").groupBy("_lang", "band")
+            .agg(F.percentile_approx("cos", QUANTILE, 10_000).alias("low"), F.count(F.lit(1)).alias("n")).collect())  # languages x bands
+    out = {}
+    for g in own:
+        some = {r["band"]: MARGIN * r["low"] for r in rows if r["_lang"] == g and r["n"] >= BAND_LEAST}
+        some = some or {r["band"]: MARGIN * r["low"] for r in rows if r["_lang"] == g}
+        out[g] = [some.get(b, min(some.values(), default=0.0)) for b in range(len(BANDS) + 1)]
+    return out
+
+
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
         centroids_per_lang: int = 4, sample_per_lang: int = 300) -> Model:
     """Fit on rows with a text that has a letter and a non-null language."""
-    key = F.col("doc_id") if key is None else key
-    train = (labelled.select(F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"),
-                             key.alias("_key"))
+    train = (labelled.select(F.col(text).alias("_text"), F.col(lang).cast("string").alias("_lang"))
              .where(F.col("_text").isNotNull() & F.col("_lang").isNotNull()))
     totals = {r["_lang"]: r["n"] for r in train.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
@@ -134,7 +166,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: Column
     # Twice the wanted share, so that a language falls short of its bound but rarely.
     share = F.coalesce(*[F.when(F.col("_lang") == g, F.lit(min(1.0, 2 * sample_per_lang / n)))
                          for g, n in totals.items()])
-    draw = F.pmod(F.xxhash64("_key", F.lit("langid")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    draw = F.pmod(F.xxhash64("_text", F.lit("langid")), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,14 +186,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: Column
         rows = by_lang.setdefault(r["_lang"], [])
         if len(rows) < sample_per_lang:
             rows.append(np.frombuffer(r["v"], np.float32))
-    cents, langs, floors = [], [], {}
+    cents, langs = [], []
     for g, rows in sorted(by_lang.items()):
         x = np.stack(rows)
         c = _cluster(x, centroids_per_lang)
         cents.append(c)
         langs += [g] * len(c)
-        floors[g] = float((x @ c.T).max(1).min()) * REJECT_SHARE
-    return Model(idf, np.concatenate(cents) if cents else np.zeros((0, DIMS), np.float32), langs, floors)
+    model = Model(idf, np.concatenate(cents) if cents else np.zeros((0, DIMS), np.float32), langs, {})
+    model.floors = _limits(train, model) if langs else {}
+    return model
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -183,7 +216,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             known = np.array([bool(model.langs) and has_letter(t) for t in raw], bool)
             score = np.where(known, np.clip(score, 0, 1), 0.0)
             lang = [model.langs[b] if k else UNKNOWN for b, k in zip(best, known)]
-            accepted = [k and s >= model.floors[g] for k, s, g in zip(known, score.tolist(), lang)]
+            accepted = [k and s >= model.floors[g][b] for k, s, g, b in zip(known, score.tolist(), lang, _band(raw))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(map(bool, accepted), pa.bool_())],
                 names=[*batch.schema.names, "lang_pred", "score", "accepted"])

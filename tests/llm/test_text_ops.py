@@ -206,3 +206,38 @@ def test_quality_of_odd_rows(spark, docs_of):
     none = quality.judge(docs, labels.where("false")).collect()
     assert all(r.quality == pytest.approx(0.5) for r in none)
     assert quality.judge(docs_of([]), labels).count() == 0
+
+
+def test_language_limits_reject_noise_and_keep_clean_texts(spark, docs_of):
+    """Noise and unlearned languages in Latin letters go; nearly all clean texts stay, short ones too."""
+    import base64
+    rnd = np.random.default_rng(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.where("doc_id % 4 <> 2"))
+    fresh = docs.where("doc_id % 4 = 2 AND lang IS NOT NULL AND length(text) >= 20").select("doc_id", "text", "lang")
+    kept = langid.predict(fresh, model).where("accepted").count()
+    assert kept >= 0.99 * fresh.count()
+    noise = [base64.b64encode(rnd.bytes(300)).decode() for _ in range(20)]
+    other = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on "
+             "toimittava toisiaan kohtaan veljeyden hengessä, sillä jokaisella on oikeus elämään ja vapauteen ja henkilökohtaiseen turvallisuuteen.",
+             "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben "
+             "testvéri szellemben kell hogy viseltessenek, és mindenkinek joga van az élethez és a szabadsághoz."]
+    judged = langid.predict(docs_of([(i, t) for i, t in enumerate(noise + other)]), model).collect()
+    assert sum(r.accepted for r in judged) <= 1
+
+
+def test_language_is_that_of_the_nearest_centroid(spark):
+    """Prediction and limit against a plain reading of the model: counts, TF-IDF and cosines text by text."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    rows = langid.predict(docs.select("doc_id", "text"), model).collect()
+    for r in rows:
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0.0, False)
+            continue
+        tf = np.log1p(langid.counts([r.text.lower().encode()])[0].astype(float)) * model.idf
+        cos = model.centroids.astype(float) @ (tf / np.linalg.norm(tf))
+        assert cos[[g == r.lang_pred for g in model.langs]].max() >= cos.max() - 1e-5 and r.score == pytest.approx(min(cos.max(), 1), abs=1e-4)
+        band = sum(len(r.text) >= b for b in langid.BANDS)
+        if abs(cos.max() - model.floors[r.lang_pred][band]) > 1e-4:
+            assert r.accepted == (cos.max() >= model.floors[r.lang_pred][band])
