@@ -17,7 +17,7 @@ def held_out(key: Column) -> Column:
 
 
 def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
-    cut = suffixes.dedupe(table(spark, d, "documents").select("doc_id", "text"))
+    cut = suffixes.dedupe(table(spark, d, "documents").select("doc_id", "text"), as_text=False)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

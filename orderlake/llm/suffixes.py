@@ -415,10 +415,10 @@ def covered(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     return united(spans)
 
 
-def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs), kept, the bytes that stay, and kept_text,
+def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = True) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans (longest removed runs), kept, the bytes that stay, and with ``as_text`` kept_text,
     the same as text."""
-    new = ["n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
+    new = ["n_bytes", "n_removed", "n_spans", "kept"] + ["kept_text"] * as_text
     docs = without(docs, new)
     doc, one, spans = (free_name(docs, n) for n in ("own_doc", "own_one", "own_spans"))
     gone = settle_alone(lambda: covered(docs, key, text), "spans").select(F.col("doc").alias(doc), F.col("one").alias(one), F.col("spans").alias(spans))
@@ -440,7 +440,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 runs.append(len(whole))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
                                               pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
-                                              pa.array([k.decode(errors="ignore") for k in kept], pa.string())],
+                                              *([pa.array([k.decode(errors="ignore") for k in kept], pa.string())] if as_text else [])],
                                              names=[*batch.schema.names[:-1], *new])
 
-    return arrow_map(rows, cut, extended(docs, "n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"))
+    return arrow_map(rows, cut, extended(docs, "n_bytes long, n_removed long, n_spans long, kept binary" + ", kept_text string" * as_text))
