@@ -32,6 +32,8 @@ DIMS = 4096
 GRAMS = (1, 2, 3)
 #: Texts whose vectors a task holds at a time.
 ROWS = 256
+#: Rows whose texts a task holds as strings at a time.
+PART = 1024
 #: Limits: this share of the cosine that all but ``QUANTILE`` of a language's training texts reach, by length in characters.
 MARGIN, QUANTILE = 0.75, 0.01
 BANDS = (64, 256, 1024)
@@ -79,6 +81,13 @@ def vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
     return tf / np.where(norm > 0, norm, 1)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of ``PART`` rows: what a task holds as Python strings at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART):
+            yield batch.slice(i, PART)
+
+
 def _lowered(column: pa.Array) -> pa.Array:
     """Lower case; what counts() hashes."""
     return pa.array([(t or "").lower() for t in column.to_pylist()], pa.large_string())
@@ -94,7 +103,7 @@ def _idf(train: DataFrame) -> np.ndarray:
     """IDF over all training rows: one vector of counts a task, added up by Spark."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(DIMS, np.int64), 0
-        for batch in batches:
+        for batch in _parts(batches):
             for _, texts in _blocks(batch.column(0)):
                 df += (counts(texts) > 0).sum(0)
                 n += len(texts)
@@ -133,7 +142,7 @@ def _limits(train: DataFrame, model: Model) -> dict[str, list[float]]:
     own = {g: model.centroids[[x == g for x in model.langs]] for g in set(model.langs)}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             batch = batch.filter(pa.array([has_letter(t) and g in own for t, g in zip(*(batch.column(c).to_pylist() for c in ("_text", "_lang")))], pa.bool_()))
             langs, cos = np.array(batch.column("_lang").to_pylist(), object), np.zeros(batch.num_rows)
             for first, texts in _blocks(batch.column("_text")):
@@ -169,7 +178,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     draw = F.pmod(F.xxhash64("_text", F.lit("langid")), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             keep = pa.array([has_letter(t) for t in batch.column("_text").to_pylist()])
             batch = batch.filter(keep)
             langs, draws = batch.column("_lang").to_pylist(), batch.column("_draw").to_pylist()
@@ -204,7 +213,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = extended(df, "lang_pred string, score double, accepted boolean")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             raw = batch.column(at).to_pylist()
             score = np.zeros(len(raw))
             best = np.zeros(len(raw), np.int64)
