@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -70,9 +71,28 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, task: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the task."""
+    """``mapInArrow`` with this package at hand in the task; after each batch a worker hands freed memory back."""
     ship(df.sparkSession)
-    return df.mapInArrow(task, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                hand_back()
+
+        yield from task(each())
+        hand_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def hand_back() -> None:
+    """Return memory that numpy and Arrow have freed to the system: workers are reused and would sit on it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:

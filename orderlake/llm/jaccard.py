@@ -48,6 +48,8 @@ OFTEN, CHUNK = 1, 1 << 22
 OFTEN_MOST = 1 << 21
 #: Postings of a shingle that one task takes; a longer list is dealt over shares.
 LIST_MOST = 1 << 16
+#: Bytes of text whose shingles a task computes at a time.
+SLICE = 1 << 20
 #: Shingles for each counter of a set's summary.
 LOAD = 2
 
@@ -119,7 +121,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                                                pa.array(tokens[often].view(np.int64)), none, pa.nulls(len(none), pa.binary())], names=names)
 
         for batch in batches:
-            for first, texts in text_slices(batch.column(1)):
+            for first, texts in text_slices(batch.column(1), SLICE):
                 found = shingle_sets(texts)
                 ids = batch.column(0).slice(first, len(texts))
                 yield pa.RecordBatch.from_arrays([
@@ -181,7 +183,7 @@ def postings(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], least: int)
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = sent.value
         for batch in batches:
-            for _, texts in text_slices(batch.column(1)):
+            for _, texts in text_slices(batch.column(1), SLICE):
                 rows, seen = [], set()
                 for s in shingle_sets(texts):
                     if len(s) < least or not len(s):
@@ -257,7 +259,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own, size = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for first, texts in text_slices(batch.column(1)):
+            for first, texts in text_slices(batch.column(1), SLICE):
                 got = [(own[first + i], s) for i, s in enumerate(shingle_sets(texts))
                        if len(s) == size[first + i] and _class_of(s) == own[first + i]]
                 yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int64()),
