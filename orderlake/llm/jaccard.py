@@ -114,7 +114,11 @@ def sets_of(docs: DataFrame) -> DataFrame:
         held = 0
 
         def frequent() -> pa.RecordBatch:
-            tokens, n = np.unique(np.concatenate(chunk), return_counts=True)
+            tokens = np.concatenate(chunk)
+            chunk.clear()
+            tokens.sort()
+            head = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            tokens, n = tokens[head], np.diff(np.append(head, len(tokens)))
             often = n > OFTEN
             none = pa.nulls(int(often.sum()), pa.int64())
             return pa.RecordBatch.from_arrays([none, pa.array(n[often]), none, pa.nulls(len(none), pa.binary()),
@@ -133,8 +137,8 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 held += sum(map(len, found))
                 if held >= CHUNK:
                     yield frequent()
-                    chunk, held = [], 0
-        if chunk:
+                    held = 0
+        if held:
             yield frequent()
 
     names = ["doc_id", "n", "class", "small", "token", "mark", "summary"]
