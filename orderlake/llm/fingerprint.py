@@ -1,20 +1,26 @@
 """Document fingerprints: invertible Bloom lookup tables over paragraph digests.
 
-A text is the set of its paragraphs: lines, a longer line in pieces of ``PARAGRAPH_WORDS`` words, each
-hashed with the number of times it occurs. A table has three parts of equal width; an element
-falls into one cell of each part, where a signed count, the XOR of the digests and the XOR of their
-checks add up. The tables of two versions subtract cell by cell: what they share cancels, and
-peeling recovers the rest. A cell whose count is 1 or -1 and whose check fits holds exactly one differing digest, which is taken out
-of its three cells, which lays bare others. A table that doesn't peel is retried at twice the width.
+A text is the set of its paragraphs: lines, cut further after words that a hash picks (one in ``COARSE``; one in
+``FINE`` among the first ``OPENING`` words, so that a short text has several), each hashed with the number of
+times it occurs. The words themselves decide where paragraphs end, so a word put in changes one or two of them.
+
+A table has three parts of equal width; an element falls into one cell of each part, where a signed count, the XOR
+of the digests and the XOR of their checks add up. The width is a power of two that follows the number of the text's
+paragraphs, so a table can list all its own. Tables of two versions are folded to the narrower one's width (cells whose
+places agree modulo it add up) and subtract cell by cell: what they share cancels, and peeling
+recovers the rest. A cell whose count is 1 or -1 and whose check fits holds exactly one differing digest, which is taken out
+of its three cells, which lays bare others. A difference that doesn't peel is retried with larger tables, twice as
+wide each time.
 
 Everything is built-in DataFrame operations. Cells are rows keyed by the pair of texts, dealt by the
-pair once; each peeling round is an explode and a grouped sum within the partition, over one part of
-the table (where a digest occurs in one cell only). The cost is linear in the paragraphs, whatever a
-document's length. Only counts of failed pairs reach the driver.
+pair once and laid out at the folded width from the start; each peeling round is an explode and a grouped sum within the
+partition, over one part of the table (where a digest occurs in one cell only). The cost is linear in the paragraphs,
+whatever a document's length. Only counts of failed pairs reach the driver.
 
 Edge cases: a null text is empty; a text without words has no paragraphs; two texts without
 paragraphs are alike (1.0). Order of paragraphs and white space between words don't count for the
-digests. Repeated rows are pairs of their own. An empty table gives no rows.
+digests. Repeated rows are pairs of their own. Only the key and the text are read, so further columns can't clash. A line
+is one array of word hashes while it is cut, 8 bytes a word. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,20 +32,50 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-PARAGRAPH_WORDS = 16
+#: A paragraph ends after one word in so many; in the opening of a text, its first words, after more of them.
+COARSE, FINE, OPENING = 16, 2, 16
 PARTS = 3
-#: Cells of a part for each paragraph of the two texts together: more than any difference needs.
+#: Cells of a part for each paragraph: a difference of as many peels.
 ROOM = 0.6
 LEAST_WIDTH = 4
 ROUNDS = 12
-#: Width of a part in the fingerprint itself.
-BASE_WIDTH = 2
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _cut(words: Column, line: Column) -> Column:
+    """Digests of the paragraphs of a line, given its words' hashes and its number."""
+    def last(word: Column, i: Column) -> Column:
+        fine = (line == 0) & (i < OPENING) & (F.pmod(word, F.lit(FINE)) == 0)
+        return F.when((F.pmod(word, F.lit(COARSE)) == 0) | fine | (i == F.size(words) - 1), i)
+
+    def digests(ends: Column) -> Column:
+        def digest(end: Column, k: Column) -> Column:
+            before = F.coalesce(F.get(ends, k - 1), F.lit(-1))
+            return F.xxhash64(F.slice(words, before + 2, end - before))
+
+        return F.transform(ends, digest)
+
+    return _bound(F.filter(F.transform(words, last), lambda i: i.isNotNull()), digests)
 
 
 def paragraphs(text: Column) -> Column:
     """Digests of the paragraphs, in order."""
-    found = F.regexp_extract_all(text, F.lit(rf"\S++(?:[ \t]++\S++){{0,{PARAGRAPH_WORDS - 1}}}+"), F.lit(0))
-    return F.transform(found, lambda p: F.xxhash64(p))
+    lines = F.regexp_extract_all(text, F.lit(r"[^\n\x0B\f\r]++"), F.lit(0))
+
+    def of_line(line: Column, nth: Column) -> Column:
+        words = F.transform(F.regexp_extract_all(line, F.lit(r"\S++"), F.lit(0)), lambda w: F.xxhash64(w))
+        return _bound(words, lambda w: _cut(w, nth))
+
+    return F.flatten(F.transform(lines, of_line))
+
+
+def width(n: Column) -> Column:
+    """Cells in a part of a table for n paragraphs: a power of two."""
+    return F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(LEAST_WIDTH), n * F.lit(ROOM))))).cast("int")
 
 
 def _check(key: Column) -> Column:
@@ -61,30 +97,33 @@ def elements(rows: DataFrame, sides: list[str], keep: list[str]) -> DataFrame:
 
 
 def fingerprints(found: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., fingerprint): the smallest table of the elements, as text."""
-    cells = [(_cell(F.col("key"), p, F.lit(BASE_WIDTH)) == p * BASE_WIDTH + j) for p in range(PARTS) for j in range(BASE_WIDTH)]
-    sums = []
-    for i, here in enumerate(cells):
-        sums += [F.count(F.when(here, 1)).alias(f"c{i}"), F.bit_xor(F.when(here, F.col("key"))).alias(f"k{i}"),
-                 F.bit_xor(F.when(here, _check(F.col("key")))).alias(f"x{i}")]
-    text = [F.concat(F.col(f"c{i}").cast("string"), F.lit("."), *[F.lower(F.hex(F.coalesce(F.col(f"{v}{i}"), F.lit(0).cast("long")))) for v in "kx"])
-            for i in range(len(cells))]
-    return found.groupBy(*keep).agg(*sums).select(*keep, F.concat_ws(":", *text).alias("fingerprint"))
+    """(keep..., fingerprint): the table of the elements as text, the width of a part and then each cell that isn't empty:
+    its place, count, digests and checks (hexadecimal).
+
+    ``found`` has the elements with ``width``, that of their table.
+    """
+    placed = found.select(*keep, "width", "key", F.explode(F.array(*[_cell(F.col("key"), p, F.col("width")) for p in range(PARTS)])).alias("cell"))
+    cells = placed.groupBy(*keep, "width", "cell").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("key").alias("key"),
+                                                       F.bit_xor(_check(F.col("key"))).alias("chk"))
+    text = F.concat_ws(".", "cell", "n", F.lower(F.hex("key")), F.lower(F.hex("chk")))
+    one = cells.groupBy(*keep, "width").agg(F.array_sort(F.collect_list(F.struct("cell", text.alias("text")))).alias("cells"))
+    return one.select(*keep, F.concat_ws(":", F.col("width").cast("string"), F.col("cells.text")).alias("fingerprint"))
 
 
 #: The fingerprint of a text without paragraphs.
-EMPTY = ":".join(["0.00"] * (PARTS * BASE_WIDTH))
+EMPTY = str(LEAST_WIDTH)
 
 
 def peel(pairs: DataFrame, left: str, right: list[str], grow: int) -> DataFrame:
     """(uid, k, only_left, only_right, stuck) for every pair whose tables differ.
 
     ``pairs`` has uid, the digests ``left`` and those of the texts to compare with, ``right[k]``, and
-    ``todo``, the list of k to do. It is dealt by uid.
+    ``todo``, the list of k to do. It is dealt by uid. Without ``grow`` the tables are those of the fingerprints, folded to
+    the narrower one's width; with it, tables with room for all of both texts, ``grow`` times as wide.
     """
     n = len(right)
-    width = [F.greatest(F.lit(LEAST_WIDTH), F.ceil((F.size(left) + F.size(r)) * ROOM)).cast("int") * grow for r in right]
-    rows = pairs.withColumns({f"w{k}": w for k, w in enumerate(width)})
+    wide = [width(F.size(left) + F.size(r)) * grow if grow else F.least(width(F.size(left)), width(F.size(r))) for r in right]
+    rows = pairs.withColumns({f"w{k}": w for k, w in enumerate(wide)})
     found = elements(rows, [left, *right], ["uid", "todo", *[f"w{k}" for k in range(n)]])
     # The left side counts towards every pair, each other side against its own.
     signed = F.filter(F.array(*[F.struct(
@@ -127,7 +166,7 @@ def likeness(texts: DataFrame, left: str, right: list[str], partitions: int | No
     """
     ks = list(range(len(right)))
     todo = texts.select("uid", left, *right, F.array(*[F.lit(k) for k in ks]).alias("todo"))
-    done, grow = None, 1
+    done, grow = None, 0
     while True:
         dealt = todo.repartition(partitions, "uid") if partitions else todo.repartition("uid")
         out = settle(peel(dealt, left, right, grow), "peeled")
@@ -136,7 +175,7 @@ def likeness(texts: DataFrame, left: str, right: list[str], partitions: int | No
         failed = out.where("stuck").groupBy("uid").agg(F.collect_list("k").alias("todo"))
         if failed.isEmpty():
             break
-        todo, grow = texts.select("uid", left, *right).join(failed, "uid"), 2 * grow
+        todo, grow = texts.select("uid", left, *right).join(failed, "uid"), max(1, 2 * grow)
     diff = done.groupBy("uid").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}")
                                      for k in ks for c in ("only_left", "only_right")])
     size = texts.select("uid", F.size(F.array_distinct(left)).alias("n"))

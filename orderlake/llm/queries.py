@@ -89,7 +89,9 @@ def op1_fingerprints(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         *[fingerprint.paragraphs(F.col(c)).alias(n) for n, c in sides.items()], F.monotonically_increasing_id().alias("uid")), "texts")
     near = fingerprint.likeness(rows, "own", ["edit", "next"])
-    found = fingerprint.elements(rows.select("uid", "own", "edit").repartition("uid"), ["own", "edit"], ["uid"])
+    dealt = rows.select("uid", "own", "edit", *[fingerprint.width(F.size(n)).alias(f"{n}_width") for n in ("own", "edit")]).repartition("uid")
+    found = (fingerprint.elements(dealt, ["own", "edit"], ["uid", "own_width", "edit_width"])
+             .withColumn("width", F.when(F.col("side") == 0, F.col("own_width")).otherwise(F.col("edit_width"))))
     prints = fingerprint.fingerprints(found, ["uid", "side"]).groupBy("uid").agg(
         *[F.max(F.when(F.col("side") == i, F.col("fingerprint"))).alias(n) for i, n in enumerate(("fingerprint", "edited_fingerprint"))])
     return rows.select("uid", "doc_id", "n_chars", "edited_sha256").join(near, "uid").join(prints, "uid", "left").select(

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_helpers import ODD, docs_of  # noqa: F401  (a fixture)
 from pyspark.sql import functions as F
 
@@ -19,8 +20,21 @@ def _documents(spark):
     return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
 
 
+def _hash(word):
+    return xxhash.xxh64(word.encode(), seed=42).intdigest()
+
+
 def _paragraphs(text):
-    return set(Counter(re.findall(r"[^ \t\n\x0b\f\r]+(?:[ \t]+[^ \t\n\x0b\f\r]+){0,15}", text)).items())
+    found = []
+    for nth, line in enumerate(re.findall(r"[^\n\x0b\f\r]+", text)):
+        piece = []
+        for i, word in enumerate(re.findall(r"[^ \t\n\x0b\f\r]+", line)):
+            piece.append(word)
+            if _hash(word) % fingerprint.COARSE == 0 or (nth == 0 and i < fingerprint.OPENING and _hash(word) % fingerprint.FINE == 0):
+                found.append(tuple(piece))
+                piece = []
+        found += [tuple(piece)] if piece else []
+    return set(Counter(found).items())
 
 
 def _likeness(a, b):
@@ -45,7 +59,7 @@ def test_fingerprints_match_brute_force(spark):
 
 
 def test_peeling_retries_larger_until_whole(spark, monkeypatch):
-    """Tables far too small fail to peel, and are retried at twice the width until they do."""
+    """Tables far too small fail to peel, and are retried at larger widths until they do."""
     monkeypatch.setattr(fingerprint, "ROOM", 0.05)
     monkeypatch.setattr(fingerprint, "LEAST_WIDTH", 1)
     a, b = list(range(1, 200)), list(range(100, 260))
@@ -57,6 +71,85 @@ def test_peeling_retries_larger_until_whole(spark, monkeypatch):
     assert (got[3].near0, got[3].near1) == (0.0, 1.0)  # twice the paragraph isn't once the paragraph
 
 
+def _table(text):
+    """(width, {cell: [count, digests, checks]}) of a returned fingerprint."""
+    width, *cells = text.split(":")
+    out = {}
+    for c in cells:
+        place, n, key, chk = c.split(".")
+        out[int(place)] = [int(n), int(key, 16), int(chk, 16)]
+    return int(width), out
+
+
+def _folded(table, width):
+    out = {}
+    for place, (n, key, chk) in table[1].items():
+        part, at = divmod(place, table[0])
+        cell = out.setdefault(part * width + at % width, [0, 0, 0])
+        cell[:] = cell[0] + n, cell[1] ^ key, cell[2] ^ chk
+    return out
+
+
+def _signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _spark_hash(key, more):
+    return xxhash.xxh64(more, seed=xxhash.xxh64(key.to_bytes(8, "little"), seed=42).intdigest()).intdigest()
+
+
+def _peeled(a, b):
+    """(only in a, only in b) peeled from two returned fingerprints alone; None if they don't peel."""
+    a, b = _table(a), _table(b)
+    width = min(a[0], b[0])
+    cells, minus = _folded(a, width), _folded(b, width)
+    for place, (n, key, chk) in minus.items():
+        cell = cells.setdefault(place, [0, 0, 0])
+        cell[:] = cell[0] - n, cell[1] ^ key, cell[2] ^ chk
+    only = [0, 0]
+    while True:
+        pure = [c for c in cells.values() if abs(c[0]) == 1 and c[2] == _spark_hash(c[1], b"check")]
+        if not pure:
+            return None if any(map(any, cells.values())) else tuple(only)
+        n, key, chk = pure[0]
+        only[n < 0] += 1
+        for part in range(fingerprint.PARTS):
+            cell = cells[part * width + _signed(_spark_hash(key, part.to_bytes(4, "little"))) % width]
+            cell[:] = cell[0] - n, cell[1] ^ key, cell[2] ^ chk
+
+
+def test_likeness_is_that_of_the_returned_fingerprints(spark):
+    """Read as tables, folded, subtracted and peeled, the returned strings give the returned likeness wherever they peel."""
+    rows = sorted(entry.queries()["op1_fingerprints"](spark, SF).collect(), key=lambda r: -r.doc_id)
+    whole = alone = 0
+    for i, r in enumerate(rows):
+        n = sum(c for c, _, _ in _table(r.fingerprint)[1].values()) // fingerprint.PARTS
+        own = _peeled(r.fingerprint, r.fingerprint.split(":")[0])
+        assert own in ((n, 0), None)
+        alone += own is not None
+        for other, near in ((r.edited_fingerprint, r.near_edited), (rows[(i + 1) % len(rows)].fingerprint, r.near_next)):
+            only = _peeled(r.fingerprint, other)
+            if only is not None:
+                both = n - only[0]
+                assert near == pytest.approx(2 * both / (n + both + only[1]) if n + both + only[1] else 1.0)
+                whole += 1
+    assert whole > len(rows) and alone > 0.95 * len(rows)  # nearly every table lists all its own paragraphs
+
+
+def test_a_word_put_in_changes_little(spark):
+    """Paragraphs end where words say so: one word in front or in the middle of a long line leaves the rest alike."""
+    rnd = np.random.default_rng(3)
+    words = [f"w{i}" for i in rnd.integers(0, 10**6, 400)]
+    texts = [" ".join(words), " ".join(["new", *words]), " ".join(words[:200] + ["new"] + words[200:]), " ".join(words[:200])]
+    row = spark.createDataFrame([(0, *texts)], "uid long, a string, b string, c string, d string")
+    found = row.select("uid", *[fingerprint.paragraphs(F.col(c)).alias(c) for c in "abcd"])
+    r = fingerprint.likeness(found, "a", ["b", "c", "d"]).first()
+    assert r.near0 > 0.8 and r.near1 > 0.8 and 0.5 < r.near2 < 0.8
+    short = "one two three four five six seven eight nine ten eleven twelve"
+    pair = spark.createDataFrame([(0, short, short + " thirteen")], "uid long, a string, b string")
+    assert fingerprint.likeness(pair.select("uid", *[fingerprint.paragraphs(F.col(c)).alias(c) for c in "ab"]), "a", ["b"]).first().near0 > 0.5
+
+
 def test_next_lower_over_sparse_keys(spark):
     keys = [-(1 << 63), -5, 0, 1, 2, 3, 1 << 20, (1 << 20) + 1, 1 << 40, (1 << 62) + 3]
     out = {r.k: r.next for r in fingerprint.next_lower(spark.createDataFrame([(k,) for k in keys], "k long"), bits=2, few=2).collect()}
@@ -198,6 +291,40 @@ def test_sparse_sites_shrink_to_what_is_above_them(spark):
     assert abs(got["big"] - 0.9) < 0.02 and abs(got["other"] - 0.1) < 0.02 and 0.5 < got["tiny"] < 0.9
 
 
+def test_quality_posteriors_match_a_plain_reading(spark):
+    """Site rates and probabilities from the evidence by the formulas, host by host and path by path."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels, ["quality"])
+    keep = {"doc_id": F.col("doc_id"), "host": F.coalesce("source", F.lit("")), "path": F.coalesce("lang", F.lit(""))}
+    rows = [(r.doc_id, r.host, r.path, r._equality) for r in quality.evidence(docs, model, keep).collect()]
+    known = {r.doc_id: float(r.quality) for r in labels.collect()}
+    base = sum(known.values()) / len(known)
+    logit = lambda p: np.log(p / (1 - p))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def shrunk(sites, above):
+        a = {s: min(max(above(s), 1e-4), 1 - 1e-4) for s in sites}
+        excess = sum(n * (k / n - a[s]) ** 2 / (a[s] * (1 - a[s])) for s, (n, k) in sites.items()) - len(sites)
+        more = sum(n - 1 for n, _ in sites.values())
+        m = 1 / min(max(excess / more, 1e-4), 0.9999) - 1
+        return {s: (k + m * a[s]) / (n + m) for s, (n, k) in sites.items()}
+
+    paths, hosts = {}, {}
+    for doc, host, path, e in rows:
+        k = known.get(doc, sigmoid(e + logit(base)))
+        for sites, s in ((paths, (host, path)), (hosts, host)):
+            n, total = sites.get(s, (0, 0.0))
+            sites[s] = n + 1, total + k
+    of_host = shrunk(hosts, lambda s: base)
+    of_path = shrunk(paths, lambda s: of_host[s[0]])
+    got = {r.doc_id: r for r in quality.judge(docs, labels, names=("quality",)).collect()}
+    assert len(got) == len(rows)
+    for doc, host, path, e in rows:
+        site = of_path[host, path]
+        assert got[doc].quality_site == pytest.approx(site, abs=1e-6)
+        assert got[doc].quality == pytest.approx(sigmoid(logit(min(max(site, 1e-4), 1 - 1e-4)) + e), abs=1e-6)
+
+
 def test_quality_of_odd_rows(spark, docs_of):
     labels = spark.createDataFrame([(1, 1, 0), (4, 1, 0), (4, 0, 0), (None, 1, 1), (7, None, 1)], "doc_id long, quality int, toxic int")
     docs = docs_of(ODD).withColumn("quality", F.lit("clash"))
