@@ -1,18 +1,20 @@
 """Benchmark decontamination: MinHash containment search, size by size, then exact containment.
 
 Test items are short, documents are long, so a document's own MinHash says nothing of an item in
-it. Items are partitioned by size (classes of doubling length); for each class the document
+it. Items are partitioned by size (classes of doubling length, from one shingle); for each class the document
 is seen through windows of two blocks of that length, so that any run holding the item lies within a
 window of similar size. A window and an item of its class that share one of ``HASHES`` minima are
 a candidate, and every candidate is verified by the exact share of the item's distinct shingles
-(five words) that the whole document holds. A passage in one piece with the least allowed share is missed with
-a chance of about 1e-5, a whole one with about 1e-8.
+(five words) that the whole document holds. A window holds at most twice its class's length and an item more than half
+of it, so a whole item is missed with a chance of at most (3/4)**64, about 1e-8, and a passage in one piece with the
+least allowed share with about 1e-5.
 
 The items are what tasks receive, in blocks of at most ``block_bytes`` of text: a larger benchmark
 takes further passes over the documents, with the same result. Documents aren't shuffled.
 
 Edge cases: null, empty or wordless items and documents match nothing. An item of fewer than five
-words is one shingle, its whole sequence, and so matches only documents that are that sequence.
+words is one shingle, its whole sequence, and so matches only documents that are that sequence. Null keys are keys
+like others: such rows are searched and reported each. A very long text is searched in one piece, some 16 bytes a byte of it.
 Repeated items count once, repeated documents each. Empty tables give no matches.
 """
 
@@ -30,8 +32,6 @@ from .shingles import shingle_sets, shingles
 
 THRESHOLD = 0.75
 HASHES = 64
-#: Shingles in the smallest block.
-BLOCK = 8
 BLOCK_BYTES = 8 << 20
 _rng = np.random.default_rng(7)
 XOR = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -50,8 +50,9 @@ class Index:
     def __init__(self, texts: list[bytes]):
         self.sets = shingle_sets(texts) if texts else []
         sizes = np.array([len(s) for s in self.sets], np.int64)
-        level = np.ceil(np.log2(np.maximum(sizes, 1) / BLOCK)).clip(0).astype(int)
+        level = np.ceil(np.log2(np.maximum(sizes, 1))).astype(int)
         self.classes = []
+        self.block = 1 << int(level[sizes > 0].min()) if (sizes > 0).any() else 1
         for g in np.unique(level[sizes > 0]):
             items = np.flatnonzero((level == g) & (sizes > 0))
             rows = []
@@ -61,7 +62,7 @@ class Index:
                 seen = np.zeros(1 << 16, bool)
                 seen[least & MASK] = True
                 rows.append((least[order], items[order], seen))
-            self.classes.append((1 << int(g), rows))
+            self.classes.append(((1 << int(g)) // self.block, rows))
 
     def search(self, texts: list[bytes], threshold: float) -> Iterator[tuple[int, int, int]]:
         """(text, item, shared shingles) of every verified pair."""
@@ -69,11 +70,11 @@ class Index:
         if not len(hashes) or not self.classes:
             return
         sizes = np.diff(ends, prepend=0)
-        n_blocks = -(-sizes // BLOCK)
+        n_blocks = -(-sizes // self.block)
         block_ends = np.cumsum(n_blocks)
         owner = np.repeat(np.arange(len(texts)), n_blocks)
         nth = np.arange(len(owner)) - np.repeat(block_ends - n_blocks, n_blocks)
-        first = np.repeat(ends - sizes, n_blocks) + nth * BLOCK
+        first = np.repeat(ends - sizes, n_blocks) + nth * self.block
         heads = [np.flatnonzero(nth % span == 0) for span, _ in self.classes]
         pairs: set[tuple[int, int]] = set()
         for i in range(HASHES):

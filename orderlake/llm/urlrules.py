@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import without
+from .common import free_name, without
 from .components import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,19 +94,19 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str | None
     if redirects is not None:
         given = redirects.select(node_of(F.col("from_url")).alias("a"), node_of(F.col("to_url")).alias("b"))
         edges = given if edges is None else edges.unionByName(given)
-    placed = pages.withColumns({"host": host_of(link), "path": path_of(link)})
+    action, alias, node = (free_name(pages, n) for n in ("rule_action", "alias_action", "link_node"))
+    placed = pages.withColumns({"host": host_of(link), "path": path_of(link), node: node_of(link)})
+    judged = placed.join(match_rules(placed, rules).withColumnRenamed("action", action), ["host", "path"], "left")
     if edges is None:
-        judged = placed.join(match_rules(placed, rules), ["host", "path"], "left").withColumn("alias", F.lit(None).cast("string"))
+        judged = judged.withColumn(alias, F.lit(None).cast("string"))
     else:
         found = connected_components(edges)
         as_url = F.concat(F.lit("x://"), F.col("node"))
         members = found.withColumns({"host": host_of(as_url), "path": path_of(as_url)})
         said = members.join(match_rules(members, rules), ["host", "path"], "left")
         # min over the actions: "allow" sorts before "block", and null (no rule) is skipped.
-        votes = said.groupBy("component").agg(F.min("action").alias("alias"))
-        alias = found.join(votes, "component").select(F.col("node").alias("_node"), "alias")
-        judged = (placed.join(match_rules(placed, rules), ["host", "path"], "left")
-                  .withColumn("_node", node_of(link)).join(alias, "_node", "left").drop("_node"))
+        votes = said.groupBy("component").agg(F.min("action").alias(alias))
+        judged = judged.join(found.join(votes, "component").select(F.col("node").alias(node), alias), node, "left")
     keep = [F.col(f"`{c}`") for c in pages.columns]
-    return judged.select(*keep, "host", "path", "rule", F.coalesce("action", "alias", F.lit(default)).alias("verdict"),
-                         (F.col("action").isNull() & F.col("alias").isNotNull()).alias("by_alias"))
+    return judged.select(*keep, "host", "path", "rule", F.coalesce(action, alias, F.lit(default)).alias("verdict"),
+                         (F.col(action).isNull() & F.col(alias).isNotNull()).alias("by_alias"))

@@ -204,6 +204,16 @@ def test_decontamination_matches_brute_force(spark, docs_of):
     assert decontaminate.leaks(docs_of([]), bench).count() == 0
 
 
+def test_decontamination_finds_short_items_anywhere(spark, docs_of):
+    """Items of one to four shingles, each deep in many documents: none is missed."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**5)}"
+    items = [(i, " ".join(word() for _ in range(5 + i % 4))) for i in range(40)]
+    docs = [(100 * i + j, " ".join([word() for _ in range(rng.randrange(200))] + [t] + [word() for _ in range(60)])) for i, t in items for j in range(25)]
+    got = decontaminate.leaks(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got if r.containment == 1} == {(k, k // 100) for k, _ in docs}
+
+
 def _cut(rows):
     raw = [(k if k is not None else -(1 << 63), (t or "").encode()) for k, t in rows]
     first = {}
@@ -317,6 +327,12 @@ def test_url_rules_and_aliases(spark):
                         10: ("allow", False), 11: ("allow", False), 14: ("allow", False), 15: ("block", True)} | (
                             {13: ("allow", False)} if 13 in verdicts else {})
     assert urlrules.judge(frame.where("false"), urlrules.rules_frame(spark, [("allow", "org/")])).count() == 0
+    # Columns named like the operator's own pass through.
+    own = ["action", "Alias", "_node", "node", "component", "a", "b", "tag", "best", "rule_action", "alias_action", "link_node"]
+    odd = urlrules.judge(frame.withColumns({c: F.lit(c) for c in own}), urlrules.rules_frame(spark, [("block", "com/de/")]), redirects=redirects)
+    assert all(r[c] == c for r in odd.collect() for c in own) and odd.count() == len(pages)
+    odd = urlrules.judge(frame.withColumns({c: F.lit(c) for c in own}), urlrules.rules_frame(spark, [("block", "com/de/")]), html=None)
+    assert all(r[c] == c for r in odd.collect() for c in own)
 
 
 def test_chat_round_trip(spark):
