@@ -19,6 +19,8 @@ from ..storage import remove
 
 #: Bytes of text that a task turns into numpy arrays at a time.
 SLICE_BYTES = 2 << 20
+#: Bytes of an Arrow batch, of which a task holds one in Spark and one in Python; a row beyond it is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
@@ -71,8 +73,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, task: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the task; after each batch a worker hands freed memory back."""
+    """``mapInArrow`` with this package at hand in the task; after each batch a worker hands freed memory back.
+
+    Batches are bounded by bytes as well as by rows: the session's ``spark.sql.execution.arrow.maxBytesPerBatch`` is lowered
+    to ``BATCH_BYTES``, unless it is lower already.
+    """
     ship(df.sparkSession)
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = conf.get(name).lower().rstrip("b")
+    if not given.isdigit() or not 0 < int(given) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each() -> Iterator[pa.RecordBatch]:

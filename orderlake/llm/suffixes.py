@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import arrow_map, extended, free_name, mix64, settle, settle_alone, ship, text_slices, without
+from .common import arrow_map, extended, free_name, hand_back, mix64, settle, settle_alone, text_slices, without
 from .shingles import powers
 
 LENGTH, GRAM = 50, 18
@@ -46,6 +46,8 @@ CONTEXT = LENGTH + WINDOW - 1
 BUCKET, LOOKED_FOR = 1 << 21, 1 << 23
 #: Anchors and contexts a task gathers before it counts them; contexts in a bucket and in a shard of it.
 CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
+#: Bytes of text whose anchors a task computes at a time, in some twenty 8-byte numbers a byte.
+SLICE = 1 << 19
 #: Strings in a copy of a context whose anchor has too many of them: at each level fewer, at last one.
 LEVELS = (17, 6, 1)
 SYMBOL = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -109,7 +111,7 @@ def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[i
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b)], pa.int32()), "once": [own[k == 1].tobytes()], "more": [own[k > 1].tobytes()]})
 
         for batch in batches:
-            for _, raw in text_slices(batch.column(0)):
+            for _, raw in text_slices(batch.column(0), SLICE):
                 _, text, _, h, _ = anchors(raw)
                 for own in np.split(h, np.flatnonzero(np.diff(text)) + 1):
                     held.append(np.unique(own))
@@ -120,6 +122,7 @@ def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[i
             yield from flush()
 
     def meet(group: pa.Table) -> pa.Table:
+        hand_back()  # what the last group used
         once = np.sort(np.frombuffer(b"".join(group.column("once").to_pylist()), np.uint64))
         more = np.frombuffer(b"".join(group.column("more").to_pylist()), np.uint64)
         both = np.concatenate([once[1:][once[1:] == once[:-1]], more])
@@ -144,9 +147,7 @@ def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[i
 def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
     """Rows of two kinds. An occurrence of a wanted anchor: context (its hash), doc, one, at (place in the text). A
     distinct context of a task's chunk: anchor, context, bytes, the least doc and the occurrences it stands for."""
-    spark = texts.sparkSession
-    ship(spark)
-    known = spark.sparkContext.broadcast(wanted)  # at most LOOKED_FOR hashes
+    known = texts.sparkSession.sparkContext.broadcast(wanted)  # at most LOOKED_FOR hashes
     names = ["anchor", "context", "doc", "one", "at", "bytes", "stands"]
     kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
 
@@ -168,7 +169,7 @@ def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
         up = powers(CONTEXT)[0]
         for batch in batches:
             doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
-            for first, raw in text_slices(batch.column("raw"), 1 << 19):
+            for first, raw in text_slices(batch.column("raw"), SLICE):
                 data, text, place, h, begin = anchors(raw)
                 hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
                 text, place, h = text[hit], place[hit], h[hit]
@@ -196,8 +197,7 @@ def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
         if held:
             yield distinct(held)
 
-    return texts.select("doc", "raw", "one").mapInArrow(
-        read, "anchor long, context long, doc long, one long, at long, bytes binary, stands long")
+    return arrow_map(texts.select("doc", "raw", "one"), read, "anchor long, context long, doc long, one long, at long, bytes binary, stands long")
 
 
 def shard_order(strings: np.ndarray) -> np.ndarray:
@@ -287,6 +287,7 @@ def _runs(m: np.ndarray) -> tuple[np.ndarray, pa.Array]:
 def _met(rows: DataFrame, buckets: int) -> DataFrame:
     """(context, runs) of contexts whose anchors stand in no more than about ``CONTEXTS`` of them, a bucket a group."""
     def meet(group: pa.Table) -> pa.Table:
+        hand_back()  # what the last group used
         anchor, context, doc, stands = (group.column(c).to_numpy() for c in ("anchor", "context", "doc", "stands"))
         order = np.lexsort((doc, anchor, context))
         a, c = anchor[order], context[order]
