@@ -5,8 +5,9 @@ key, judged on the input. Three steps keep this bounded:
 
 1. Anchors. Every string of ``LENGTH`` bytes holds a ``GRAM``-byte gram with the least hash among its
    grams (winnowing), so two equal strings hold the same anchor at the same place. Anchors that only
-   one text has are gone after one exchange of their hashes, counted once a task. Exact copies of a text
-   are one text.
+   one text has are gone after one exchange of their hashes, counted once a task. The others are broadcast while
+   they are at most ``LOOKED_FOR``; beyond it joins on the anchor, then on the text, give each text its own, so the
+   texts are read a fixed number of times however many there are. Exact copies of a text are one text.
 2. Merging. Around each shared anchor stands a context, all strings that may hold it. Distinct
    contexts are dealt by anchor; those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of
    their strings hold, at last by whole strings, whose least keys Spark's aggregation finds. Each shard of them has its Burrows-Wheeler transform from its own suffix
@@ -42,7 +43,7 @@ from .shingles import powers
 LENGTH, GRAM = 50, 18
 WINDOW = LENGTH - GRAM + 1  # grams in a string, and strings that may hold an anchor
 CONTEXT = LENGTH + WINDOW - 1
-#: Anchors in a bucket of their exchange; shared anchors that a pass over the texts looks for.
+#: Anchors in a bucket of their exchange; shared anchors that may be broadcast.
 BUCKET, LOOKED_FOR = 1 << 21, 1 << 23
 #: Anchors and contexts a task gathers before it counts them; contexts in a bucket and in a shard of it.
 CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
@@ -96,8 +97,8 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(*[c.alias(n) for n, c in _identity(key, text).items()], raw.alias("raw"), F.octet_length(raw).cast("long").alias("n"))
 
 
-def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[int]]]:
-    """The anchors that several texts have: (buckets of hashes, the numbers of those that make a slice of ``LOOKED_FOR``)."""
+def shared_anchors(texts: DataFrame, total: int) -> DataFrame:
+    """(bucket, n, anchors): the hashes of the anchors that several texts have, distinct and sorted, a row a bucket."""
     bits = max(4, int(np.ceil(np.log2(max(total, 1) / 16 / BUCKET + 1))) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,23 +132,42 @@ def shared_anchors(texts: DataFrame, total: int) -> list[tuple[DataFrame, list[i
                          "anchors": pa.array([both.tobytes()], pa.binary())})
 
     rows = arrow_map(texts.select("raw"), count, "bucket int, once binary, more binary")
-    met = settle(rows.groupBy("bucket").applyInArrow(meet, "bucket int, n long, anchors binary"), "anchors")
-    slices, now, size = [], [], 0
-    sizes = met.where("n > 0").select("bucket", "n").orderBy("bucket").collect()  # a row a bucket
-    for r in sizes:
-        if now and size + r["n"] > LOOKED_FOR:
-            slices.append(now)
-            now, size = [], 0
-        now.append(r["bucket"])
-        size += r["n"]
-    slices += [now] if now else []
-    return [(met, s) for s in slices]
-
-
-def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows of two kinds. An occurrence of a wanted anchor: context (its hash), doc, one, at (place in the text). A
+    return settle(rows.groupBy("bucket").applyInArrow(meet, "bucket int, n long, anchors binary"), "anchors")
+
+
+def with_own(texts: DataFrame, met: DataFrame) -> DataFrame:
+    """The texts that hold any shared anchor, with ``wanted``, the hashes of those that they hold."""
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
+            for first, raw in text_slices(batch.column("raw"), SLICE):
+                _, text, _, h, _ = anchors(raw)
+                order = np.lexsort((h, text))
+                text, h = text[order], h[order]
+                fresh = (np.diff(text, prepend=-1) != 0) | (h != np.roll(h, 1))  # an anchor of a text once
+                at = first + text[fresh]
+                yield pa.RecordBatch.from_pydict({"anchor": pa.array(h[fresh].view(np.int64)), "doc": pa.array(doc[at]), "one": pa.array(one[at])})
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket in batch.column("anchors"):
+                yield pa.RecordBatch.from_pydict({"anchor": pa.array(np.frombuffer(bucket.as_py(), np.int64))})
+
+    shared = arrow_map(met.where("n > 0").select("anchors"), listed, "anchor long")
+    of_text = (arrow_map(texts.select("doc", "raw", "one"), held, "anchor long, doc long, one long")
+               .join(shared, "anchor", "left_semi").groupBy("doc", "one").agg(F.collect_list("anchor").alias("wanted")))
+    return texts.join(of_text, ["doc", "one"])
+
+
+def contexts(texts: DataFrame, met: DataFrame) -> DataFrame:
+    """Rows of two kinds. An occurrence of a shared anchor: context (its hash), doc, one, at (place in the text). A
     distinct context of a task's chunk: anchor, context, bytes, the least doc and the occurrences it stands for."""
-    known = texts.sparkSession.sparkContext.broadcast(wanted)  # at most LOOKED_FOR hashes
+    known, fields = None, ["doc", "raw", "one"]
+    if (met.agg(F.sum("n")).first()[0] or 0) <= LOOKED_FOR:
+        buckets = met.where("n > 0").orderBy("bucket").select("anchors").collect()  # at most LOOKED_FOR hashes, 8 bytes each
+        known = texts.sparkSession.sparkContext.broadcast(np.frombuffer(b"".join(r["anchors"] for r in buckets), np.uint64))
+    else:
+        texts, fields = with_own(texts, met), [*fields, "wanted"]
     names = ["anchor", "context", "doc", "one", "at", "bytes", "stands"]
     kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64()]
 
@@ -165,12 +185,16 @@ def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
                     bytes=raw.cast(pa.binary()), stands=n)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, held = known.value, []
+        held: list[tuple] = []
         up = powers(CONTEXT)[0]
         for batch in batches:
             doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
             for first, raw in text_slices(batch.column("raw"), SLICE):
                 data, text, place, h, begin = anchors(raw)
+                # An anchor is shared or not, whichever text it stands in.
+                wanted = known.value if known else np.unique(batch.column("wanted").slice(first, len(raw)).flatten().to_numpy().view(np.uint64))
+                if not len(wanted):
+                    continue
                 hit = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
                 text, place, h = text[hit], place[hit], h[hit]
                 if not len(h):
@@ -197,7 +221,7 @@ def contexts(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
         if held:
             yield distinct(held)
 
-    return arrow_map(texts.select("doc", "raw", "one"), read, "anchor long, context long, doc long, one long, at long, bytes binary, stands long")
+    return arrow_map(texts.select(*fields), read, "anchor long, context long, doc long, one long, at long, bytes binary, stands long")
 
 
 def shard_order(strings: np.ndarray) -> np.ndarray:
@@ -407,13 +431,9 @@ def covered(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     single = texts.join(broadcast_if_bounded(copies.select("doc", "one", "two")), ["doc", "one", "two"], "left_anti")
     total = thin.agg(F.sum("n")).first()[0] or 0
     spans = copies.where(F.col("n") >= LENGTH).select("doc", "one", F.col("n").alias("span"))  # a copy goes whole: 0 << 32 | n
-    for met, slice_ in shared_anchors(single, total):
-        wanted = np.concatenate([np.frombuffer(r["anchors"], np.uint64) for r in
-                                 met.where(F.col("bucket").isin(slice_)).orderBy("bucket").select("anchors").collect()])
-        found = settle(contexts(single, wanted), "contexts")
-        holders = settle(first_holders(found), "holders")
-        spans = spans.unionByName(spans_of(found, holders))
-    return united(spans)
+    found = settle(contexts(single, shared_anchors(single, total)), "contexts")
+    holders = settle(first_holders(found), "holders")
+    return united(spans.unionByName(spans_of(found, holders)))
 
 
 def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = True) -> DataFrame:

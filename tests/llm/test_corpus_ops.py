@@ -249,8 +249,8 @@ def test_suffix_dedup_matches_brute_force(spark, docs_of, monkeypatch):
     monkeypatch.setattr(suffixes, "SHARD", 64)  # several shards a bucket, several buckets
     monkeypatch.setattr(suffixes, "CONTEXTS", 300)
     expect = Counter((k, *x) for (k, _), x in zip(rows, _cut(rows)))
-    for slice_ in (1 << 23, 40):  # all shared anchors in one pass, or in several
-        monkeypatch.setattr(suffixes, "LOOKED_FOR", slice_)
+    for most in (1 << 23, 40):  # the shared anchors broadcast, or joined
+        monkeypatch.setattr(suffixes, "LOOKED_FOR", most)
         got = suffixes.dedupe(docs_of(rows).withColumn("kept", F.lit("clash"))).collect()
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expect
     assert suffixes.dedupe(docs_of([])).count() == 0
