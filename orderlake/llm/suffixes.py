@@ -21,7 +21,8 @@ key, judged on the input. Three steps keep this bounded:
 Edge cases: a null or empty text has nothing to remove; texts under ``LENGTH`` bytes are kept whole; a
 null key counts as the smallest; rows with the same key never remove from each other. A cut may part a
 UTF-8 character; ``bytes`` of the kept text are exact, as text the broken character is dropped. An empty table
-gives no rows. Very long texts are read in one piece each, as they come.
+gives no rows. A text longer than ``SLICE`` bytes is read in overlapping pieces, with the same result, so what a task computes
+at a time is bounded; the text itself is held whole, as Spark hands it over. To the count of shared anchors its pieces are texts.
 """
 
 from __future__ import annotations
@@ -47,8 +48,9 @@ CONTEXT = LENGTH + WINDOW - 1
 BUCKET, LOOKED_FOR = 1 << 21, 1 << 23
 #: Anchors and contexts a task gathers before it counts them; contexts in a bucket and in a shard of it.
 CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
-#: Bytes of text whose anchors a task computes at a time, in some twenty 8-byte numbers a byte.
-SLICE = 1 << 19
+#: Bytes of text whose anchors a task computes at a time, in some twenty 8-byte numbers a byte; a longer text is read in
+#: pieces of as many, each with the bytes beside it that decide its anchors and fill their contexts.
+SLICE, MARGIN = 1 << 17, CONTEXT
 #: Strings in a copy of a context whose anchor has too many of them: at each level fewer, at last one.
 LEVELS = (17, 6, 1)
 SYMBOL = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -85,6 +87,21 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return data, text, place, grams[place], begin
 
 
+def anchored(column: pa.Array, limit: int) -> Iterator[tuple]:
+    """(first row, where the first text read starts in its row's text, the texts read, *their ``anchors``) of about ``limit`` bytes at a
+    time. A longer text comes in pieces; each anchor is in one of them, at least ``MARGIN`` bytes from where it was parted."""
+    for first, raw in text_slices(column, limit):
+        if len(raw) > 1 or len(raw[0]) <= limit:
+            yield first, 0, raw, *anchors(raw)
+            continue
+        for a in range(0, len(raw[0]), limit):
+            ahead = min(a, MARGIN)
+            part = [raw[0][a - ahead:a + limit + MARGIN]]
+            data, text, place, h, begin = anchors(part)
+            own = (place - begin[0] >= ahead) & (place - begin[0] < ahead + limit)
+            yield first, a - ahead, part, data, text[own], place[own], h[own], begin
+
+
 def _identity(key: str, text: str) -> dict[str, Column]:
     """The key (null: the smallest) and two hashes of the text, by which a text is known."""
     raw = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
@@ -112,13 +129,13 @@ def shared_anchors(texts: DataFrame, total: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([int(b)], pa.int32()), "once": [own[k == 1].tobytes()], "more": [own[k > 1].tobytes()]})
 
         for batch in batches:
-            for _, raw in text_slices(batch.column(0), SLICE):
-                _, text, _, h, _ = anchors(raw)
+            for _, _, _, _, text, _, h, _ in anchored(batch.column(0), SLICE):
                 for own in np.split(h, np.flatnonzero(np.diff(text)) + 1):
                     held.append(np.unique(own))
                 if sum(map(len, held)) >= CHUNK:
                     yield from flush()
                     held = []
+                    hand_back()
         if held:
             yield from flush()
 
@@ -140,8 +157,7 @@ def with_own(texts: DataFrame, met: DataFrame) -> DataFrame:
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
-            for first, raw in text_slices(batch.column("raw"), SLICE):
-                _, text, _, h, _ = anchors(raw)
+            for first, _, _, _, text, _, h, _ in anchored(batch.column("raw"), SLICE):
                 order = np.lexsort((h, text))
                 text, h = text[order], h[order]
                 fresh = (np.diff(text, prepend=-1) != 0) | (h != np.roll(h, 1))  # an anchor of a text once
@@ -155,7 +171,7 @@ def with_own(texts: DataFrame, met: DataFrame) -> DataFrame:
 
     shared = arrow_map(met.where("n > 0").select("anchors"), listed, "anchor long")
     of_text = (arrow_map(texts.select("doc", "raw", "one"), held, "anchor long, doc long, one long")
-               .join(shared, "anchor", "left_semi").groupBy("doc", "one").agg(F.collect_list("anchor").alias("wanted")))
+               .join(shared, "anchor", "left_semi").groupBy("doc", "one").agg(F.collect_set("anchor").alias("wanted")))
     return texts.join(of_text, ["doc", "one"])
 
 
@@ -189,8 +205,7 @@ def contexts(texts: DataFrame, met: DataFrame) -> DataFrame:
         up = powers(CONTEXT)[0]
         for batch in batches:
             doc, one = batch.column("doc").to_numpy(), batch.column("one").to_numpy()
-            for first, raw in text_slices(batch.column("raw"), SLICE):
-                data, text, place, h, begin = anchors(raw)
+            for first, since, raw, data, text, place, h, begin in anchored(batch.column("raw"), SLICE):
                 # An anchor is shared or not, whichever text it stands in.
                 wanted = known.value if known else np.unique(batch.column("wanted").slice(first, len(raw)).flatten().to_numpy().view(np.uint64))
                 if not len(wanted):
@@ -210,7 +225,7 @@ def contexts(texts: DataFrame, met: DataFrame) -> DataFrame:
                 for k in range(CONTEXT):
                     code += SYMBOL[window[:, k]] * up[k]
                 code, own = mix64(code ^ h), doc[first + text]
-                yield rows(len(h), context=code.view(np.int64), doc=own, one=one[first + text], at=(place - start).astype(np.int64))
+                yield rows(len(h), context=code.view(np.int64), doc=own, one=one[first + text], at=(place - start + since).astype(np.int64))
                 order = np.lexsort((own, code))
                 head = np.flatnonzero(np.diff(code[order], prepend=~code[order[:1]]))
                 least = order[head]
@@ -218,6 +233,7 @@ def contexts(texts: DataFrame, met: DataFrame) -> DataFrame:
                 if sum(len(x[0]) for x in held) >= KEPT:
                     yield distinct(held)
                     held = []
+                    hand_back()
         if held:
             yield distinct(held)
 

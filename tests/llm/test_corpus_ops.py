@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import ODD, docs_of  # noqa: F401  (a fixture)
 from pyspark.sql import functions as F
@@ -249,8 +250,9 @@ def test_suffix_dedup_matches_brute_force(spark, docs_of, monkeypatch):
     monkeypatch.setattr(suffixes, "SHARD", 64)  # several shards a bucket, several buckets
     monkeypatch.setattr(suffixes, "CONTEXTS", 300)
     expect = Counter((k, *x) for (k, _), x in zip(rows, _cut(rows)))
-    for most in (1 << 23, 40):  # the shared anchors broadcast, or joined
+    for most, piece in ((1 << 23, suffixes.SLICE), (40, 90)):  # the shared anchors broadcast, or joined and long texts in pieces
         monkeypatch.setattr(suffixes, "LOOKED_FOR", most)
+        monkeypatch.setattr(suffixes, "SLICE", piece)
         got = suffixes.dedupe(docs_of(rows).withColumn("kept", F.lit("clash"))).collect()
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expect
     assert suffixes.dedupe(docs_of([])).count() == 0
@@ -278,6 +280,24 @@ def test_suffix_dedup_deals_a_common_gram_to_many_groups(spark, docs_of, monkeyp
     assert len(largest) == 3 and max(largest) <= 20
 
 
+def test_pieces_of_a_long_text_have_its_anchors():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab \n") for _ in range(n)).encode() for n in (20, 3000, 0, 49, 701, 150)] + [b"x" * 2000]
+    for text in texts:
+        _, _, place, h, begin = suffixes.anchors([text])
+        whole = sorted(zip((place - begin[0]).tolist(), h.tolist()))
+        for limit in (1, 60, 83, 700, 5000):
+            parts, edges = [], []
+            for first, since, raw, _, _, at, hashes, start in suffixes.anchored(pa.array([text]), limit):
+                assert first == 0 and len(raw[0]) <= limit + 2 * suffixes.MARGIN or len(text) <= limit
+                parts += zip((at - start[0] + since).tolist(), hashes.tolist())
+                edges += [(p, since, since + len(raw[0])) for p in (at - start[0] + since).tolist()]
+            assert sorted(parts) == whole
+            ahead = suffixes.WINDOW - 1
+            assert all(p - ahead >= max(a, 0) or a == 0 for p, a, _ in edges)
+            assert all(p - ahead + suffixes.CONTEXT <= b or b == len(text) for p, _, b in edges)
+
+
 def test_merged_transform_equals_sorted_suffixes():
     rng = np.random.default_rng(4)
     rows = np.zeros((50, 83), np.uint8)
