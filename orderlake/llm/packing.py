@@ -113,8 +113,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, grain
         ranks = np.zeros(capacity // grain + 2, np.int64)
         for batch in batches:
             rows: list[tuple] = []
-            for k, t in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = np.concatenate([words.encode(t or ""), end]).astype("<u4")
+            ks, ts = (c.to_pylist() for c in batch.columns)
+            for k, ids in zip(ks, words.encode_all(t or "" for t in ts)):
+                ids = np.concatenate([ids, end]).astype("<u4")
                 for at in range(0, len(ids), capacity):
                     piece = ids[at:at + capacity]
                     c = 0 if len(piece) == capacity else -(-len(piece) // grain)

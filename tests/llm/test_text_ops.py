@@ -185,6 +185,27 @@ def test_words_encode_like_the_library(spark, name, spaced):
         assert own.encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_texts_are_encoded_together(name, spaced, monkeypatch):
+    """Some texts at a time: their new pieces go to the library in one call, known ones not at all; a full cache starts anew."""
+    from tokenizers import Tokenizer
+    rng = np.random.default_rng(4)
+    parts = ["the", "The", "it's", "a" * 40, "a" * 32, "\xe9t\xe9", "1", "23", ",", "!!", "'", "  ", "\n ", "\t", "\u65e5", "<|endoftext|>", " ", " ", " "]
+    texts = ["", " ", *["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(300)], *[f"w{i}x w{i * i}" for i in range(300)]]
+    whole = Tokenizer.from_file(tokens.public_path(name))
+    ids = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    own, asked = tokens.Words(tokens.public_path(name), spaced), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda pieces: asked.append(len(pieces)) or learn(pieces))
+    for _ in range(2):
+        assert [x.tolist() for x in own.encode_all(texts)] == ids
+        assert len(asked) == 1 and own.count == asked[0]
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 20)
+    monkeypatch.setattr(tokens, "AT_ONCE", 50)
+    assert [x.tolist() for x in own.encode_all(texts)] == ids
+    assert own.count < 100 and len(asked) > 10
+
+
 def test_token_files_match_the_library(spark, docs_of, scratch):
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(tokens.public_path("byte_bpe_50k.json"))
