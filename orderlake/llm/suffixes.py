@@ -9,10 +9,10 @@ key, judged on the input. Three steps keep this bounded:
    they are at most ``LOOKED_FOR``; beyond it joins on the anchor, then on the text, give each text its own, so the
    texts are read a fixed number of times however many there are. Exact copies of a text are one text.
 2. Merging. Around each shared anchor stands a context, all strings that may hold it. Distinct
-   contexts are dealt by anchor; those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of
+   contexts are dealt by anchor, those that share no long part with another one of theirs are left out (``met_again``); those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of
    their strings hold, at last by whole strings, whose least keys Spark's aggregation finds. Each shard of them has its Burrows-Wheeler transform from its own suffix
    array; the transforms are merged by refining their interleave: a stable counting sort by the
-   symbols before each suffix, two symbols a step, deepens the order of all shards' suffixes at once. No suffix is
+   symbols before each suffix, two to ``STEP`` of them a step, deepens the order of all shards' suffixes at once. No suffix is
    compared or sorted again. Where neighbours part in a step, their common prefix ends there; after
    ``LENGTH`` symbols the unparted runs are the repeated intervals, and each takes its least key.
 3. Removal. Occurrences look up the least keys of their context's strings; strings that an earlier document
@@ -51,8 +51,12 @@ CHUNK, KEPT, CONTEXTS, SHARD = 1 << 20, 1 << 18, 1 << 14, 1 << 12
 #: Bytes of text whose anchors a task computes at a time, in some twenty 8-byte numbers a byte; a longer text is read in
 #: pieces of as many, each with the bytes beside it that decide its anchors and fill their contexts.
 SLICE, MARGIN = 1 << 17, CONTEXT
+#: Symbols that a step of the merge takes at most.
+STEP = 5
 #: Strings in a copy of a context whose anchor has too many of them: at each level fewer, at last one.
 LEVELS = (17, 6, 1)
+#: Neighbouring strings of a context of which another context of its anchor must hold the common part, or none is compared.
+PART = 9
 SYMBOL = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
 NOBODY = np.iinfo(np.int64).max
 
@@ -241,36 +245,49 @@ def contexts(texts: DataFrame, met: DataFrame) -> DataFrame:
 
 
 def shard_order(strings: np.ndarray) -> np.ndarray:
-    """The suffix array of a shard: rotations of its rows (each with its end mark), sorted to 64 symbols."""
+    """The suffix array of a shard: rotations of its rows (each with its end mark), sorted to 72 symbols."""
     m, width = strings.shape
     key = np.zeros((m, width), np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | np.roll(strings, -k, 1)
-    rank = np.unique(key, return_inverse=True)[1].reshape(m, width)
-    for step in (8, 16, 32):
-        pair = (rank.astype(np.uint64) << np.uint64(32)) | np.roll(rank, -step, 1).astype(np.uint64)
-        rank = np.unique(pair, return_inverse=True)[1].reshape(m, width)
-    return np.argsort(rank.ravel(), kind="stable")
+    bits = np.uint64(21)  # of a rank: a shard has at most ``SHARD`` rows
+    for step in (8, 24):
+        rank = np.unique(key, return_inverse=True)[1].reshape(m, width).astype(np.uint64)
+        key = (rank << (bits + bits)) | (np.roll(rank, -step, 1) << bits) | np.roll(rank, -2 * step, 1)
+    return np.argsort(key.ravel())  # ties hold the same symbols as far as any merge reads
 
 
 def merge(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, group) over all suffixes of the shards, numbered shard by shard: sorted by their first ``depth``
-    symbols (even), ``group`` the runs that share them.
+    symbols, ``group`` the runs that share them.
 
-    ``shards`` are rows of symbols; the last column is the end mark, 0.
+    ``shards`` are rows of symbols; the last column is the end mark, 0. A step takes as many symbols, at most ``STEP``, as make
+    no more than 65,536 different strings.
     """
-    orders, before = [], []
-    for s in shards:
+    key = np.concatenate(shards).astype(np.uint64)
+    for k in range(1, STEP):
+        key = (key << np.uint64(8)) | np.concatenate([np.roll(s, -k, 1) for s in shards])
+    seen, code = np.unique(key, return_inverse=True)
+    code, deep = code.reshape(key.shape), STEP
+    while len(seen) > 1 << 16:
+        seen, fewer = np.unique(seen >> np.uint64(8), return_inverse=True)
+        code, deep = fewer[code], deep - 1
+    code = code.astype(np.uint16)
+    orders, before, first = [], [], []
+    cuts = np.cumsum([0] + [len(s) for s in shards])
+    rest = depth % deep
+    short = np.unique(seen >> np.uint64(8 * (deep - rest)), return_inverse=True)[1].astype(np.uint16)
+    for s, a, b in zip(shards, cuts[:-1], cuts[1:]):
         order = shard_order(s)
         orders.append(order)
-        two = (np.roll(s, 2, 1).astype(np.uint16) << np.uint16(8)) | np.roll(s, 1, 1)
-        before.append(two.ravel()[order])  # the transform: two symbols before each suffix
+        before.append(np.roll(code[a:b], deep, 1).ravel()[order])  # the transform: the symbols before each suffix
+        first.append(np.roll(short[code[a:b]], rest, 1).ravel()[order])
     total = sum(map(len, orders))
     origin = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(o) for o in orders])
     group = np.zeros(total, np.int32)
     symbol = np.empty(total, np.uint16)
-    for _ in range(depth // 2):
-        for i, b in enumerate(before):
+    for these in [first] * (rest > 0) + [before] * (depth // deep):
+        for i, b in enumerate(these):
             symbol[origin == i] = b
         step = np.argsort(symbol, kind="stable")
         origin, group, parted = origin[step], group[step], symbol[step]
@@ -309,6 +326,24 @@ def least_docs(window: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def met_again(anchor: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Contexts that may share a string with another one of their anchor.
+
+    ``PART`` strings in a row have a part in common that any two equal ones among them share, gram and all; where no
+    other context of the anchor holds such a part, no string of the context stands in another.
+    """
+    out = np.zeros(len(anchor), bool)
+    up = powers(CONTEXT)[0]
+    for low in range(0, WINDOW, PART):
+        high = min(low + PART, WINDOW) - 1
+        code = np.zeros(len(anchor), np.uint64)
+        for k in range(high, low + LENGTH):
+            code += SYMBOL[window[:, k]] * up[k]
+        _, which, times = np.unique(mix64(code ^ mix64(anchor.view(np.uint64))), return_inverse=True, return_counts=True)
+        out |= (times[which] > 1) & (window[:, high] > 0) & (window[:, low + LENGTH - 1] > 0)
+    return out
+
+
 def _runs(m: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """(rows that have any, for each of those its runs (a, b, doc): strings a to b are first in doc)."""
     value = m.ravel()
@@ -335,10 +370,8 @@ def _met(rows: DataFrame, buckets: int) -> DataFrame:
         n, first = np.add.reduceat(stands[order], head), order[head]
         window = np.frombuffer(b"".join(group.column("bytes").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, CONTEXT)
         anchor, context, doc = anchor[first], context[first], doc[first]
-        # The strings of an anchor with one context alone have no other place to stand in.
-        _, which, times = np.unique(anchor, return_inverse=True, return_counts=True)
         m = np.where((window[:, :WINDOW] > 0) & (window[:, LENGTH - 1:] > 0), doc[:, None], NOBODY)
-        several = np.flatnonzero(times[which] > 1)
+        several = np.flatnonzero(met_again(anchor, window))
         if len(several):
             m[several] = least_docs(window[several], doc[several])
         m[(n == 1) & ((m == doc[:, None]) | (m == NOBODY)).all(1)] = NOBODY  # held by that one place alone

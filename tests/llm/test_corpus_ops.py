@@ -309,6 +309,39 @@ def test_merged_transform_equals_sorted_suffixes():
     assert all((group[i] == group[i - 1]) == (text[i] == text[i - 1]) for i in range(1, len(text)))
 
 
+@pytest.mark.parametrize("symbols", [3, 90, 254])
+def test_merge_takes_as_many_symbols_a_step_as_fit(symbols):
+    """Any number of symbols a step, and a depth that it doesn't divide, give the groups of a plain sort."""
+    rng = np.random.default_rng(symbols)
+    rows = rng.integers(1, symbols + 1, (1_000, suffixes.CONTEXT + 1)).astype(np.uint8)
+    rows[500:900] = rows[:400]
+    rows[:, -1] = 0
+    shards = [rows[:300], rows[300:301], rows[301:]]
+    for depth in (50, 49, 5, 4):
+        order, group = suffixes.merge(shards, depth)
+        row, place = np.divmod(order, suffixes.CONTEXT + 1)
+        strings = [np.roll(rows[r], -p)[:depth].tobytes() for r, p in zip(row.tolist(), place.tolist())]
+        assert sorted(order.tolist()) == list(range(rows.size)) and strings == sorted(strings)
+        assert np.diff(group).tolist() == [int(a != b) for a, b in zip(strings, strings[1:])]
+
+
+def test_contexts_that_share_the_gram_alone_are_not_merged():
+    rng = np.random.default_rng(5)
+    window = rng.integers(1, 255, (400, suffixes.CONTEXT)).astype(np.uint8)
+    anchor = np.arange(400) // 8
+    gram = slice(suffixes.WINDOW - 1, suffixes.LENGTH)
+    window[:, gram] = window[anchor * 8, gram]
+    assert not suffixes.met_again(anchor, window).any()
+    shares = np.zeros(400, bool)
+    for place in range(suffixes.WINDOW):  # contexts 8 p and 8 p + 1 share string p alone, and one of another anchor has it too
+        window[8 * place + 1, place:place + suffixes.LENGTH] = window[8 * place, place:place + suffixes.LENGTH]
+        window[8 * place + 14] = window[8 * place]
+        shares[8 * place:8 * place + 2] = True
+    assert (suffixes.met_again(anchor, window) == shares).all()
+    window[:2, :suffixes.PART] = 0  # their texts begin after the string that they shared
+    assert not suffixes.met_again(anchor, window)[:2].any()
+
+
 def _rule(url):
     if url is None or "://" not in url:
         return "", "", None
