@@ -94,9 +94,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, vocabulary: int, end_i
             return row
 
         for batch in batches:
-            for k, t, p in zip(*(c.to_pylist() for c in batch.columns)):
+            ks, ts, ps = (c.to_pylist() for c in batch.columns)
+            for k, p, ids in zip(ks, ps, words.encode_all(t or "" for t in ts)):
                 part = p
-                ids = np.concatenate([words.encode(t or ""), end])
+                ids = np.concatenate([ids, end])
                 held.append(ids)
                 keys.append(k)
                 size += len(ids)
