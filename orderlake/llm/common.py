@@ -40,17 +40,19 @@ def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
 _made: list[list[str]] = []
 
 
-def settle_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """Settle what ``make`` returns and delete the tables that it settled on the way: nothing else reads them."""
+def settle_alone(make: Callable[[], DataFrame], name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Settle what ``make`` returns and delete the tables that it settled on the way, but for those named in ``keep``:
+    nothing else reads them."""
     _made.append([])
     try:
         out = settle(make(), name)
     finally:
         paths = _made.pop()
-    for path in paths[:-1]:
+    gone = [p for p in paths[:-1] if p.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in keep]
+    for path in gone:
         remove(out.sparkSession, path)
     for outer in _made:
-        outer[:] = [p for p in outer if p not in paths[:-1]]
+        outer[:] = [p for p in outer if p not in gone]
     return out
 
 

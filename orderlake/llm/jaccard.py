@@ -340,7 +340,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sizes = {r["n"]: r["c"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     most = boundary(sizes)
     light = settle(light_links(classes, most), "light-links")
-    heavy = settle_alone(lambda: heavy_links(docs, classes, often, -(-PERCENT * (most + 1) // 100), light), "heavy-links")
+    heavy = settle_alone(lambda: heavy_links(docs, classes, often, -(-PERCENT * (most + 1) // 100), light), "heavy-links",
+                         keep=("star-pairs", "rest-pairs"))  # how many pairs were judged can be read afterwards
     groups = connected_components(light.unionByName(heavy)).withColumnRenamed("node", "class")
     named = classes.select("class", "rep").join(groups, "class")
     names = settle(named.join(named.groupBy("component").agg(F.min("rep").alias("name")), "component")

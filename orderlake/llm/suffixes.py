@@ -9,8 +9,9 @@ key, judged on the input. Three steps keep this bounded:
    they are at most ``LOOKED_FOR``; beyond it joins on the anchor, then on the text, give each text its own, so the
    texts are read a fixed number of times however many there are. Exact copies of a text are one text.
 2. Merging. Around each shared anchor stands a context, all strings that may hold it. Distinct
-   contexts are dealt by anchor, those that share no long part with another one of theirs are left out (``met_again``); those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of
-   their strings hold, at last by whole strings, whose least keys Spark's aggregation finds. Each shard of them has its Burrows-Wheeler transform from its own suffix
+   contexts are dealt by anchor, and those that share no long part with another one of theirs are left out (``met_again``);
+   those of an anchor in more than ``CONTEXTS`` are dealt by longer parts that some of their strings hold, at last by whole
+   strings, whose least keys Spark's aggregation finds. Each shard of them has its Burrows-Wheeler transform from its own suffix
    array; the transforms are merged by refining their interleave: a stable counting sort by the
    symbols before each suffix, two to ``STEP`` of them a step, deepens the order of all shards' suffixes at once. No suffix is
    compared or sorted again. Where neighbours part in a step, their common prefix ends there; after
